@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tradelake.functions.literals import literal_table
 from tradelake.schema import PERIOD_PATTERN
 
 # Sections of the Harmonized System nomenclature with their chapter ranges.
@@ -53,25 +54,27 @@ def hs_chapter(code: Column) -> Column:
     return F.when(F.length(head) == 2, head.cast("int"))
 
 
+#: Periods that name a year, and those that name a month of one.
+HAS_YEAR = "^[0-9]{4}"
+HAS_MONTH = "^[0-9]{4}(0[1-9]|1[0-2])"
+
+
 def period_year(period: Column) -> Column:
     """Calendar year of ``YYYY`` or ``YYYYMM`` text, null when there are fewer than 4 digits."""
-    head = F.regexp_extract(period, r"^([0-9]{4})", 1)
-    return F.when(F.length(head) == 4, head.cast("int"))
+    return F.when(period.rlike(HAS_YEAR), F.substring(period, 1, 4).cast("int"))
 
 
 def period_month(period: Column) -> Column:
     """Month 1..12 of ``YYYYMM`` text, null for annual or out-of-range periods."""
-    tail = F.regexp_extract(period, r"^[0-9]{4}([0-9]{2})", 1)
-    month = F.when(F.length(tail) == 2, tail.cast("int"))
-    return F.when(month.between(1, 12), month)
+    return F.when(period.rlike(HAS_MONTH), F.substring(period, 5, 2).cast("int"))
 
 
 def section_of(chapter: Column) -> Column:
     """Section id of a chapter; chapters outside the nomenclature (or null) are unknown."""
-    out = F.lit(UNKNOWN_SECTION[0])
-    for section_id, _, low, high in reversed(HS_SECTIONS):
-        out = F.when(chapter.between(low, high), F.lit(section_id)).otherwise(out)
-    return out
+    out = F
+    for section_id, _, low, high in HS_SECTIONS:
+        out = out.when((chapter >= low) & (chapter <= high), F.lit(section_id))
+    return out.otherwise(F.lit(UNKNOWN_SECTION[0]))
 
 
 def section_for_chapter(chapter: int) -> tuple[str, str]:
@@ -85,7 +88,8 @@ def section_for_chapter(chapter: int) -> tuple[str, str]:
 def section_table(spark: SparkSession) -> DataFrame:
     """The 22 section rows (21 plus unknown) in nomenclature order."""
     rows = [(i, s[0], s[1]) for i, s in enumerate((*HS_SECTIONS, UNKNOWN_SECTION), start=1)]
-    return spark.createDataFrame(rows, "section_no int, sector_id string, sector_name string")
+    columns = {"section_no": "int", "sector_id": "string", "sector_name": "string"}
+    return literal_table(spark, columns, rows)
 
 
 def period_list(periods: str | Sequence[str]) -> list[str]:

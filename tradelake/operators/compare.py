@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tradelake.functions.literals import literal_table
 from tradelake.functions.ratios import percent
 from tradelake.operators import flow_totals as ft
 from tradelake.operators.selection import narrow
@@ -121,10 +122,9 @@ def compare_sides(
 
 def _summary(cells: DataFrame, values: list) -> DataFrame:
     """One row per side in the given order, zero for a side without rows."""
-    spark = cells.sparkSession
     kind = "int" if isinstance(values[0], int) else "string"
-    listed = spark.createDataFrame(
-        list(enumerate(values)), f"side_no int, _side {kind}"
+    listed = literal_table(
+        cells.sparkSession, {"side_no": "int", "_side": kind}, enumerate(values)
     )
     found = cells.groupBy("_side").agg(
         F.sum(ft.AMOUNT).alias("total_value"), F.sum(ft.VALUED).alias("total_records")

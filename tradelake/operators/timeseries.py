@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradelake.functions.codes import period_month, period_year
+from tradelake.functions.codes import HAS_MONTH, HAS_YEAR
 from tradelake.functions.ratios import compound_growth, ratio
 from tradelake.operators.metrics import Metric
 from tradelake.operators.selection import narrow
@@ -37,15 +37,15 @@ def annual_trend(
         commodity_code=commodity_code,
     )
     measure = metric or Metric.sum_primary_value()
+    # Grouping by text leaves the conversion to numbers for the few finished rows.
     return (
-        picked.withColumn("year", period_year(F.col("period")))
-        .filter(F.col("year").isNotNull())
-        .groupBy(*by, "year")
+        picked.filter(F.col("period").rlike(HAS_YEAR))
+        .groupBy(*by, F.substring("period", 1, 4).alias("period"))
         .agg(measure.build().alias("value"), F.count(F.lit(1)).alias("record_count"))
         .select(
             *by,
-            "year",
-            F.col("year").cast("string").alias("period"),
+            F.col("period").cast("int").alias("year"),
+            "period",
             "value",
             "record_count",
             F.lit(None).cast("int").alias("month"),
@@ -74,19 +74,16 @@ def monthly_trend(
     )
     measure = metric or Metric.sum_primary_value()
     return (
-        picked.withColumn("year", period_year(F.col("period")))
-        .withColumn("month", period_month(F.col("period")))
-        .filter(F.col("month").isNotNull())
-        .groupBy(*by, "year", "month")
+        picked.filter(F.col("period").rlike(HAS_MONTH))
+        .groupBy(*by, F.substring("period", 1, 6).alias("period"))
         .agg(measure.build().alias("value"), F.count(F.lit(1)).alias("record_count"))
         .select(
             *by,
-            "year",
-            F.concat(F.col("year").cast("string"), F.lpad(F.col("month").cast("string"), 2, "0"))
-            .alias("period"),
+            F.substring("period", 1, 4).cast("int").alias("year"),
+            "period",
             "value",
             "record_count",
-            "month",
+            F.substring("period", 5, 2).cast("int").alias("month"),
         )
         .orderBy(*by, "year", "month")
     )
@@ -94,9 +91,9 @@ def monthly_trend(
 
 def malformed_periods(df: DataFrame) -> DataFrame:
     """Rows whose period text cannot be placed in time.  Empty for ingested tables."""
-    tail = F.length(F.regexp_extract(F.col("period"), r"^([0-9]*)", 1))
-    bad_month = (tail >= 6) & period_month(F.col("period")).isNull()
-    return df.filter(period_year(F.col("period")).isNull() | bad_month)
+    period = F.col("period")
+    with_month = period.rlike("^[0-9]{6}") & ~period.rlike(HAS_MONTH)
+    return df.filter(period.isNull() | ~period.rlike(HAS_YEAR) | with_month)
 
 
 def _in_time(by: Sequence[str]):
