@@ -37,7 +37,7 @@ trade as (
         || lpad(cast(p_partkey % 7 as varchar), 2, '0')
       else lpad(cast(1 + p_partkey % 99 as varchar), 2, '0')
         || lpad(cast(p_partkey % 7 as varchar), 2, '0') || '10' end as commodity_code,
-    p_type as commodity_name,
+    p_type as commodity_name, l_partkey as pk,
     'C00' as customs_code, '0' as mos_code,
     cast((l_linenumber % 4) * 1000 as int) as mot_code,
     cast(l_quantity as decimal(18,2)) as qty,
@@ -494,3 +494,398 @@ def report_sql() -> dict[str, str]:
         from trade where reporter_code = 15 and partner_code = 7 group by ref_year, period)""",
     )
     return out
+
+
+def count_of(condition: str, name: str) -> str:
+    return big(f"count(case when {condition} then 1 end)", name)
+
+
+def query_sql() -> dict[str, str]:
+    grouped = f"flow_code, {big('count(*)', 'n')}, {dbl('sum(v)', 'value')}"
+    ranked = f"ref_year, reporter_code, {dbl('v', 'value')}"
+    five = ", ".join(
+        [
+            "cast(sum({0}) as double) as sum",
+            "count({0}) as count",
+            "cast(sum({0}) as double) / nullif(cast(count({0}) as double), 0) as average",
+            "cast(min({0}) as double) as minimum",
+            "cast(max({0}) as double) as maximum",
+        ]
+    )
+    kept = "ref_year in (1996, 1997, 1998) and fob is not null"
+    return {
+        "filter_ops": q(
+            "select "
+            + ", ".join(
+                [
+                    count_of("reporter_code = 15", "eq"),
+                    count_of("flow_code <> 'X'", "ne"),
+                    count_of("v < 50000", "lt"),
+                    count_of("v <= 20000.5", "le_float"),
+                    count_of("period > '1998'", "gt"),
+                    count_of("ref_year >= 1999", "ge"),
+                    count_of("partner_code in (1, 2, 3)", "is_in"),
+                    count_of("commodity_code not in ('TOTAL', '01')", "not_in"),
+                    count_of("fob is null", "null_eq_null"),
+                    count_of("fob is null or fob <> 5", "null_ne_value"),
+                    count_of("fob < 1000000000", "null_has_no_order"),
+                    count_of("true", "null_not_in"),
+                    count_of("false", "text_is_not_number"),
+                    count_of("true", "text_differs_from_number"),
+                    count_of("partner_code = 0", "is_world"),
+                ]
+            )
+            + " from trade"
+        ),
+        "filter_boolean": q(
+            f"""select {grouped} from trade
+            where (coalesce(fob < 30000, false) and partner_code in (1, 2, 3))
+              or not (ref_year >= 1998 or coalesce(fob < 30000, false)) group by flow_code"""
+        ),
+        "exclude": q(
+            f"""select {grouped} from trade
+            where not (reporter_code = 15 and frequency_code = 'A')
+              and not coalesce(fob > 40000, false) group by flow_code"""
+        ),
+        "named_filters": q(
+            "select "
+            + ", ".join(
+                [
+                    count_of("reporter_code = 15", "reporter"),
+                    count_of("partner_code = 7", "partner"),
+                    count_of("flow_code = 'X'", "exports"),
+                    count_of("flow_code = 'M'", "imports"),
+                    count_of("flow_code = 'RX'", "reexports"),
+                    count_of("ref_year = 1997", "one_year"),
+                    count_of("ref_year in (1996, 1998)", "years"),
+                    count_of("period = '199703'", "one_period"),
+                    count_of("commodity_code = 'TOTAL'", "total_rows"),
+                    count_of("classification_code = 'H6'", "classification"),
+                    count_of("reporter_code = 15 and flow_code = 'X'", "both"),
+                    count_of("ref_year = 1997 or partner_code <> 7", "either_not"),
+                    count_of("fob > 60000", "custom"),
+                    count_of("not coalesce(fob > 60000, false)", "not_custom"),
+                ]
+            )
+            + " from trade"
+        ),
+        "filter_hs_set": q(
+            f"""select commodity_code, {four()}, {COUNT} from trade
+            where commodity_code in (select commodity_code from codes
+              where lower(display_name) like '%bolt%') group by commodity_code""",
+            CODES,
+        ),
+        "sort_multi": q(
+            f"""select {ranked} from trade
+            order by ref_year desc, v desc, reporter_code desc limit 80"""
+        ),
+        "sort_mixed": q(
+            f"select {ranked} from trade order by ref_year, v desc, reporter_code limit 60"
+        ),
+        "reverse": q(
+            f"""select {ranked} from trade
+            order by v desc, reporter_code desc, ref_year desc limit 50"""
+        ),
+        "offset_limit": q(
+            f"""select {ranked} from trade where flow_code = 'X'
+            order by v, reporter_code, ref_year limit 70 offset 100"""
+        ),
+        "offset_only": q(
+            f"select {ranked} from trade order by v, reporter_code, ref_year offset 250"
+        ),
+        "group_keys": q(
+            f"select reporter_code, period, {COUNT} from trade group by reporter_code, period"
+        ),
+        "group_members": q(
+            f"""select flow_code, ref_year, seq as _seq, {dbl("v", "value")}
+            from trade where reporter_code = 15"""
+        ),
+        "summarize_by_reporter": q(
+            f"select reporter_code, {five.format('fob')} from trade group by reporter_code"
+        ),
+        "summarize_nothing": q(f"select {five.format('v')} from trade where reporter_code = -1"),
+        "metrics_all": q(f"select {METRICS} from trade"),
+        "metric_ratio": q(
+            f"""select commodity_code, flow_code,
+            '(sum_primary_value ÷ sum_quantity)' as metric_name,
+            {div("sum(v)", "sum(qty)")} as metric_value, {COUNT}
+            from trade group by commodity_code, flow_code"""
+        ),
+        "aggregate_by_flow_year": q(
+            f"""select flow_code, ref_year, 'sum_cif_value' as metric_name,
+            {dbl("coalesce(sum(cif), 0)", "metric_value")}, {COUNT}
+            from trade group by flow_code, ref_year"""
+        ),
+        "engine_run": q(
+            f"""select 'metric' as kind, 'count' as name, '' as key, {dbl("count(*)", "value")}
+              from kept
+            union all select 'metric', 'sum_fob_value', '', cast(sum(fob) as double) from kept
+            union all select 'metric', 'avg_primary_value', '', {div("sum(v)", "count(v)")} from kept
+            union all select 'metric', 'undefined', '', null
+            union all select 'aggregation', 'by_flow', flow_code, cast(sum(qty) as double)
+              from kept group by flow_code
+            union all select 'aggregation', 'by_year', cast(ref_year as varchar),
+              {div("sum(v)", "count(v)")} from kept group by ref_year
+            union all select 'count', 'filtered', cast(count(*) as varchar),
+              cast(count(case when {kept} then 1 end) as double) from trade
+            union all select 'warning', 'undefined', 'metric', 0.0
+            union all select 'error', 'failing', 'aggregation', 0.0""",
+            f"kept as (select * from trade where {kept})",
+        ),
+    }
+
+
+KEY_SHOWN = (
+    "reporter_code, partner_code, period, flow_code, commodity_code, customs_code, mot_code, "
+    "partner2_code"
+)
+SHOWN = f"{KEY_SHOWN}, seq as _seq, {dbl('v', 'value')}"
+
+
+def pick(source: str, order: str, key: str = KEY) -> str:
+    return f"""select * from {source}
+      qualify row_number() over (partition by {key} order by {order}) = 1"""
+
+
+BATCH = f"""batch as (
+  select * replace (seq + 1099511627776 as seq, v + 1 as v) from trade where ref_year >= 1999
+  union all
+  select * replace (seq + 2199023255552 as seq, v + 2 as v) from trade
+    where ref_year >= 1999 and seq % 10 = 0),
+reduced as ({pick("batch", "seq desc, v desc, qty desc")}),
+existing as (select * from trade where ref_year <= 1999)"""
+
+JOIN_KEY = " and ".join(
+    f"e.{c} = b.{c}"
+    for c in (
+        "reporter_code partner_code period flow_code commodity_code classification_code edition "
+        "customs_code mot_code"
+    ).split()
+) + " and coalesce(e.partner2_code, 0) = coalesce(b.partner2_code, 0)"
+
+
+def slice_of(where: str) -> str:
+    return q(
+        f"""select period, partner_code, flow_code, commodity_code, seq as _seq,
+        {dbl("v", "value")} from trade where {where}"""
+    )
+
+
+def grid(reporters: str, years: str, partners: str) -> str:
+    return f"""cells as (select row_number() over (order by r.i, y.i, p.i) - 1 as request_no,
+      r.c as reporter_code, y.c as ref_year, p.c as partner_code
+      from (select unnest({reporters}) as c, generate_subscripts({reporters}, 1) as i) r,
+        (select unnest({years}) as c, generate_subscripts({years}, 1) as i) y,
+        (select unnest({partners}) as c, generate_subscripts({partners}, 1) as i) p),
+    held as (select reporter_code, ref_year, partner_code, count(*) as n from trade group by all),
+    covered as (select cells.*, n from cells left join held
+      using (reporter_code, ref_year, partner_code))"""
+
+
+def record_sql() -> dict[str, str]:
+    plain_order = "seq, v, qty"
+    last_order = "seq desc, v desc, qty desc"
+    pages = " union all ".join(
+        f"select {i} as page, * replace (v + {i} as v) from trade "
+        f"where ref_year between {a} and {b}"
+        for i, (a, b) in enumerate([(1995, 1997), (1997, 1999), (1999, 2001)])
+    )
+    spans = " union all ".join(
+        f"select '{c}' as aspect, cast(count(distinct {c}) as bigint) as found, "
+        f"array_to_string(list_sort(list(distinct {c})), ', ') as members from trade "
+        f"having count(distinct {c}) > 1"
+        for c in ("reporter_code", "flow_code", "classification_code", "edition")
+    )
+    return {
+        "dedup_first": q(f"select {SHOWN} from kept", f"kept as ({pick('trade', plain_order)})"),
+        "dedup_last": q(f"select {SHOWN} from kept", f"kept as ({pick('trade', last_order)})"),
+        "dedup_custom_key": q(
+            f"select reporter_code, flow_code, ref_year, seq as _seq, {dbl('v', 'value')} from kept",
+            f"kept as ({pick('trade', plain_order, 'reporter_code, flow_code, ref_year')})",
+        ),
+        "latest_wins": q(
+            f"select {SHOWN} from kept",
+            """revised as (select * from trade union all
+              select * replace (seq + 1099511627776 as seq, v + 1 as v,
+                case when qty % 7 <> 0 then ref_period_id + cast(qty as bigint) % 3 end
+                  as ref_period_id) from trade)""",
+            f"kept as ({pick('revised', 'coalesce(ref_period_id, 0) desc, ' + plain_order)})",
+        ),
+        "find_duplicates": q(
+            f"""select {KEY_SHOWN.replace("partner2_code", "coalesce(partner2_code, 0) as partner2_code")},
+            {big("count(*)", "member_count")} from trade group by {KEY}, partner2_code
+            having count(*) > 1"""
+        ),
+        "duplicate_members": q(
+            f"""select * from (select reporter_code, partner_code, commodity_code, flow_code,
+            seq as _seq, {dbl("v", "value")}, count(*) over (partition by reporter_code,
+              partner_code, commodity_code, flow_code) as member_count from trade)
+            where member_count > 1"""
+        ),
+        "merge_update": q(
+            f"""select {SHOWN} from (select * from existing e where not exists
+              (select 1 from reduced b where {JOIN_KEY}) union all select * from reduced)""",
+            BATCH,
+        ),
+        "append_update": q(
+            f"select {SHOWN} from (select * from existing union all select * from reduced)", BATCH
+        ),
+        "update_counts": q(
+            f"""select (select count(*) from reduced) as records_added,
+            (select count(*) from (select distinct {KEY} from existing e where exists
+              (select 1 from reduced b where {JOIN_KEY}))) as records_merged,
+            (select count(*) from batch) - (select count(*) from reduced)
+              as duplicates_in_input""",
+            BATCH,
+        ),
+        "merge_pages": q(
+            f"select {SHOWN} from kept",
+            f"pages as ({pages})",
+            f"kept as ({pick('pages', 'page, ' + plain_order)})",
+        ),
+        "combine_datasets": q(
+            f"""select reporter_code, {first("reporter_iso3")}, {first("reporter_name")}, {four()},
+            {COUNT} from many group by reporter_code""",
+            """many as (select * from trade where ref_year in (1996, 1997)
+              union all select * from trade where ref_year = 1997)""",
+        ),
+        "dataset_warnings": q(
+            f"""{spans} union all select 'ref_period_id', count(*), null from (select ref_period_id,
+              lag(ref_period_id) over (order by seq, ref_period_id) as before from trade)
+            where before > ref_period_id having count(*) > 0"""
+        ),
+        "metadata_dedupe": """select id, code, p_partkey, 'R04' as resource from (
+            select case when p_brand <> 'Brand#7' then p_type end as id, p_brand as code, p_partkey
+            from part) qualify row_number() over (partition by coalesce(id, code)
+              order by p_partkey) = 1""",
+        "slice_exports": slice_of(
+            "reporter_code = 15 and flow_code = 'X' and frequency_code = 'A' "
+            "and period in ('1996', '1997') and commodity_code = 'TOTAL'"
+        ),
+        "slice_world": slice_of(
+            "reporter_code = 15 and flow_code = 'X' and frequency_code = 'A' "
+            "and period in ('1996', '1998') and commodity_code = 'TOTAL' and partner_code = 0"
+        ),
+        "slice_monthly": slice_of(
+            "reporter_code = 15 and flow_code = 'M' and frequency_code = 'M' "
+            "and period in ('199703', '199704', '199705') and commodity_code = 'TOTAL'"
+        ),
+        "slice_line_level": slice_of(
+            "reporter_code = 15 and flow_code = 'X' and frequency_code = 'A' "
+            "and period in ('1997', '1998') and commodity_code = 'TOTAL'"
+        ),
+        "slice_matrix": slice_of(
+            "reporter_code in (15, 3, 8) and frequency_code = 'A' and period = '1997' "
+            "and commodity_code = 'TOTAL'"
+        ),
+        "slice_limited": q(
+            "select seq as _seq from trade where reporter_code = 15 and frequency_code = 'A' "
+            "and period = '1997' and commodity_code = 'TOTAL' order by seq limit 5"
+        ),
+        "grid_coverage": q(
+            """select request_no, reporter_code, ref_year, partner_code,
+            cast(coalesce(n, 0) as bigint) as record_count, n is not null as covered from covered""",
+            grid("[15, 3, 99]", "[1996, 1997, 2050]", "[0, 7, 12]"),
+        ),
+        "grid_totals": q(
+            f"""select count(*) as total, count(n) as successful, count(*) - count(n) as failed,
+            {big("coalesce(sum(n), 0)", "records")} from covered""",
+            grid("range(25)", "[1996, 1997]", "range(30)"),
+        ),
+        "load_partition": q(
+            f"""select partner_code, commodity_code, seq as _seq, {dbl("v", "value")} from trade
+            where reporter_code = 15 and ref_year = 1997 and frequency_code = 'A'"""
+        ),
+        "canonical_order": q(
+            """select ref_period_id, reporter_code, partner_code, flow_code, commodity_code from trade
+            order by cast(ref_period_id as varchar), cast(reporter_code as varchar),
+              cast(partner_code as varchar), flow_code, commodity_code"""
+        ),
+    }
+
+
+CODES = """codes as (select * from (
+  select case when p_partkey % 11 = 0 then '123'
+      when p_partkey % 50 = 0 then 'TOTAL'
+      when p_size % 5 = 0 then lpad(cast(1 + p_partkey % 99 as varchar), 2, '0')
+      when p_size % 5 = 1 then lpad(cast(1 + p_partkey % 99 as varchar), 2, '0')
+        || lpad(cast(p_partkey % 7 as varchar), 2, '0')
+      else lpad(cast(1 + p_partkey % 99 as varchar), 2, '0')
+        || lpad(cast(p_partkey % 7 as varchar), 2, '0') || '10' end as commodity_code,
+    case when p_partkey % 13 <> 0 then
+      case when p_partkey % 50 = 0 then 'TOTAL'
+        when p_size % 5 = 0 then lpad(cast(1 + p_partkey % 99 as varchar), 2, '0')
+        when p_size % 5 = 1 then lpad(cast(1 + p_partkey % 99 as varchar), 2, '0')
+          || lpad(cast(p_partkey % 7 as varchar), 2, '0')
+        else lpad(cast(1 + p_partkey % 99 as varchar), 2, '0')
+          || lpad(cast(p_partkey % 7 as varchar), 2, '0') || '10' end || ' - ' || p_name end
+      as display_name,
+    p_partkey from part)
+  where commodity_code <> '123'
+  qualify row_number() over (partition by commodity_code order by p_partkey) = 1)"""
+
+REASONS = """case pk % 23 when 0 then 'flowCode: out of domain' when 1 then 'freqCode: out of domain'
+  when 2 then 'cmdCode: out of domain' when 3 then 'refMonth: out of domain'
+  when 4 then 'refYear: out of domain' when 5 then 'reporterISO: not a country code'
+  when 6 then 'primaryValue: negative' when 7 then 'primaryValue: missing'
+  when 8 then 'isReported: not a valid flag' when 14 then 'reporterDesc: blank'
+  when 15 then 'partnerCode: not a valid int' end"""
+
+PARSED = f"""parsed as (select *, {REASONS} as reason,
+  case when pk % 23 = 11 then cast(v as decimal(38,12)) + cast(0.003456789012 as decimal(38,12))
+    else cast(v as decimal(38,12)) end as exact,
+  case when pk % 23 = 16 then 7 end as second from trade),
+good as (select * replace (second as partner2_code) from parsed where reason is null)"""
+
+
+def source_sql() -> dict[str, str]:
+    good_key = KEY
+    return {
+        "parse_trade": q(
+            """select seq as _seq, ref_period_id, ref_year, ref_month, period, reporter_code,
+            reporter_iso3, partner_code, partner2_code,
+            case when partner2_code is not null then 'NBC' end as partner2_iso3, flow_code,
+            commodity_code, mot_code, pk % 23 = 17 as is_reported,
+            case when pk % 23 = 10 then '{"dataset":"d7","revision":2}' end as provenance,
+            cast(cast(exact as decimal(38,12)) as varchar) as value_text,
+            cast(cast(fob as decimal(38,4)) as varchar) as fob_text from good""",
+            PARSED,
+        ),
+        "quarantine_counts": q(
+            "select reason, count(*) as skipped from parsed where reason is not null "
+            "group by reason",
+            PARSED,
+        ),
+        "pipeline_end_to_end": q(
+            f"""select reporter_code, {first("reporter_iso3")}, {first("reporter_name")},
+            {four().replace("then v", "then exact").replace("(v", "(exact")}, {COUNT}
+            from kept group by reporter_code""",
+            PARSED,
+            f"kept as ({pick('good', 'seq, exact, qty', good_key)})",
+        ),
+        "ref_tables": """select n_nationkey as country_code,
+            case n_nationkey % 7 when 2 then 'ABC' when 3 then null else 'XYZ' end as iso_alpha3,
+            case when n_nationkey % 7 = 6 then n_name || ' again' else n_name end as display_name,
+            '1990-01-01' as entry_effective_date,
+            case when n_nationkey % 7 = 0 then '2001-05-06' end as entry_expired_date
+            from nation where n_nationkey % 7 not in (4, 5)""",
+        "lookup_name": """select n_nationkey as country_code, n_name as display_name, 'exact' as how
+            from nation where lower(n_name) = 'nation_7' union all
+            select n_nationkey, n_name, 'part' from nation where contains(n_name, 'ION_1')""",
+        "lookup_code": """select n_nationkey as country_code, n_name as display_name from nation
+            where n_nationkey = 7""",
+        "search_ref": """select p_partkey, p_name, p_brand, p_type from part
+            where contains(lower(p_name), 'small') or contains(lower(p_brand), 'small')
+              or contains(lower(p_type), 'small')""",
+        "search_hs": f"""with {CODES} select commodity_code, display_name from codes
+            where contains(lower(display_name), 'blue')""",
+        "enrich_labels": q(
+            f"""select bal.*, display_name from (select commodity_code, {four()}, {COUNT}
+            from trade group by commodity_code) bal left join codes using (commodity_code)""",
+            CODES,
+        ),
+    }
+
+
+def all_sql() -> dict[str, str]:
+    return {**report_sql(), **query_sql(), **record_sql(), **source_sql()}
