@@ -610,7 +610,7 @@ def _record_keeping() -> dict[str, Query]:
         "slice_world": _slice(lambda t: coverage.world(t, REPORTER, "X", ["1996", "1998"])),
         "slice_monthly": _slice(
             lambda t: coverage.monthly_imports(
-                t, REPORTER, "199703,199704,199705", commodity_code="TOTAL"
+                t, 9, [f"1997{m:02d}" for m in range(1, 13)], commodity_code="TOTAL"
             )
         ),
         "slice_line_level": _slice(first_names),

@@ -767,8 +767,8 @@ def record_sql() -> dict[str, str]:
             "and period in ('1996', '1998') and commodity_code = 'TOTAL' and partner_code = 0"
         ),
         "slice_monthly": slice_of(
-            "reporter_code = 15 and flow_code = 'M' and frequency_code = 'M' "
-            "and period in ('199703', '199704', '199705') and commodity_code = 'TOTAL'"
+            "reporter_code = 9 and flow_code = 'M' and frequency_code = 'M' "
+            "and period between '199701' and '199712' and length(period) = 6 and commodity_code = 'TOTAL'"
         ),
         "slice_line_level": slice_of(
             "reporter_code = 15 and flow_code = 'X' and frequency_code = 'A' "

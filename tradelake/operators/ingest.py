@@ -96,50 +96,56 @@ _NOT_NEGATIVE = (
 
 def blank(text: Column) -> Column:
     """Present but without a visible character."""
-    return text.rlike(r"(?U)^\s*$")
+    return text.rlike(BLANK)
 
 
-def _path(key: str) -> str:
-    return f"$.{key}"
+#: Text without a visible character.
+BLANK = r"(?U)^\s*$"
 
+# The rules below are SQL text.  ``t`` is a field of the record as text, ``rec`` the record.
 
-def as_integer(rec: Column, key: str, text: Column, kind: str) -> Column:
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _listed(values) -> str:
+    return ", ".join(_quoted(v) if isinstance(v, str) else str(v) for v in values)
+
+
+def as_integer(key: str, text: str, kind: str, rec: str = "rec") -> str:
     """Whole number: digits as text or number; a fractional number is cut, fractional text is not.
 
     Null for anything else, booleans included, and for numbers beyond the column type.  What
     kind of JSON value it was is looked up only for the odd value that is not plain digits.
     """
-    whole = text.try_cast("bigint")
-    token = F.schema_of_variant(F.try_variant_get(rec, _path(key), "variant"))
-    number = F.when(
-        ~token.isin("STRING", "BOOLEAN"), F.try_variant_get(rec, _path(key), "bigint")
-    )
-    return (
-        F.when(text.isNull(), F.lit(None).cast("bigint"))
-        .otherwise(F.coalesce(whole, number))
-        .try_cast(kind)
+    path = _quoted(f"$.{key}")
+    token = f"schema_of_variant(try_variant_get({rec}, {path}, 'variant'))"
+    number = (
+        f"if({token} not in ('STRING', 'BOOLEAN'), try_variant_get({rec}, {path}, 'bigint'), null)"
     )
+    whole = f"coalesce(try_cast({text} as bigint), {number})"
+    return f"if({text} is null, null, try_cast({whole} as {kind}))"
 
 
-def as_amount(text: Column) -> Column:
+def as_amount(text: str) -> str:
     """Exact decimal from the digits of a number or of numeric text; null for other text."""
-    return text.try_cast(S.AMOUNT)
+    return f"try_cast({text} as {S.AMOUNT.simpleString()})"
 
 
-def as_flag(text: Column) -> Column:
+def as_flag(text: str) -> str:
     """True or false, as a JSON value or spelled out; null for anything else (0 and 1 too)."""
-    word = F.lower(F.trim(text))
-    return F.when(word == "true", True).when(word == "false", False)
+    return f"case lower(trim({text})) when 'true' then true when 'false' then false end"
 
 
-def _computed_once(df: DataFrame, keep: list[str], columns: list[Column]) -> DataFrame:
+def _computed_once(df: DataFrame, keep: list[str], columns: str) -> DataFrame:
     """Add columns that later filters look at but must not recompute.
 
     A filter on plain projected columns is pushed below the projection by repeating their
     expressions, which for a parsed record would parse it again for every condition.  Columns
     that come out of a generator stay where they are.
     """
-    return df.select(*keep, F.inline(F.array(F.struct(*columns))))
+    return df.select(*keep, F.expr(f"inline(array(struct({columns})))"))
 
 
 def _texts(df: DataFrame, rec: str) -> DataFrame:
@@ -151,38 +157,33 @@ def _texts(df: DataFrame, rec: str) -> DataFrame:
         F.try_variant_get(record, "$", kind).alias("_t"),
         provenance(record).alias("provenance"),
     )
-    found = [F.col(f"_t.{f.key}").alias(f"_t_{f.column}") for f in RAW_FIELDS]
-    return opened.select(*df.columns, "provenance", *found)
+    found = [f"_t.{f.key} as _t_{f.column}" for f in RAW_FIELDS]
+    return opened.selectExpr(*df.columns, "provenance", *found)
 
 
-def _second_partner_absent(rec: Column) -> Column:
+def _second_partner_absent(rec: str) -> str:
     """A second partner is not given, or is the numeric 0 without a country of its own."""
-    code = F.col("_t_partner2_code")
-    token = F.schema_of_variant(F.try_variant_get(rec, _path("partner2Code"), "variant"))
-    zero = (token == "BOOLEAN") & (code == "false") | (
-        (token != "STRING") & (F.abs(code.try_cast("double")) < 1)
-    )
-    iso = F.col("_t_partner2_iso3")
-    no_country = iso.isNull() | iso.isin("", S.WORLD_ISO3)
-    return code.isNull() | (F.coalesce(zero, F.lit(False)) & no_country)
+    token = f"schema_of_variant(try_variant_get({rec}, '$.partner2Code', 'variant'))"
+    code, iso = "_t_partner2_code", "_t_partner2_iso3"
+    zero = f"""case {token} when 'BOOLEAN' then {code} = 'false' when 'STRING' then false
+      else abs(try_cast({code} as double)) < 1 end"""
+    no_country = f"({iso} is null or {iso} in ('', {_quoted(S.WORLD_ISO3)}))"
+    return f"({code} is null or (coalesce({zero}, false) and {no_country}))"
 
 
-def _converted(field: RawField, rec: Column) -> Column:
-    text = F.col(f"_t_{field.column}")
+def _converted(field: RawField, rec: str) -> str:
+    text = f"_t_{field.column}"
     if field.kind in ("text", "iso"):
-        return F.nullif(text, F.lit(""))
+        return f"nullif({text}, '')"
     if field.kind == "int":
-        return as_integer(rec, field.key, text, "int")
+        return as_integer(field.key, text, "int", rec)
     if field.kind == "long":
-        return as_integer(rec, field.key, text, "bigint")
-    if field.kind == "amount":
-        return as_amount(text)
-    return as_flag(text)
+        return as_integer(field.key, text, "bigint", rec)
+    return as_amount(text) if field.kind == "amount" else as_flag(text)
 
 
-def _domain(column: str) -> Column | None:
-    """True for a value outside what a column may hold."""
-    value = F.col(column)
+def _domain(column: str) -> str | None:
+    """Condition of a value outside what a column may hold."""
     listed = {
         "type_code": S.TYPE_CODES,
         "frequency_code": S.FREQUENCY_CODES,
@@ -190,42 +191,51 @@ def _domain(column: str) -> Column | None:
         "ref_month": (*range(1, 13), S.ANNUAL_MONTH),
     }
     if column in listed:
-        return ~value.isin(list(listed[column]))
+        return f"{column} not in ({_listed(listed[column])})"
     if column == "ref_year":
-        return ~value.between(S.MIN_YEAR, S.MAX_YEAR)
+        return f"{column} not between {S.MIN_YEAR} and {S.MAX_YEAR}"
     if column == "period":
-        return ~value.rlike(S.PERIOD_PATTERN)
+        return f"not {column} rlike {_quoted(S.PERIOD_PATTERN)}"
     if column == "commodity_code":
-        return (value != S.TOTAL_COMMODITY) & ~value.rlike(S.COMMODITY_PATTERN)
-    if column in _NOT_NEGATIVE:
-        return value < 0
-    return None
+        total, pattern = _quoted(S.TOTAL_COMMODITY), _quoted(S.COMMODITY_PATTERN)
+        return f"{column} <> {total} and not {column} rlike {pattern}"
+    return f"{column} < 0" if column in _NOT_NEGATIVE else None
 
 
-def _problems(field: RawField) -> list[tuple[Column, str]]:
+def _problems(field: RawField) -> list[tuple[str, str]]:
     """What can be wrong with a field, in the order it is looked at."""
-    value, text = F.col(field.column), F.col(f"_t_{field.column}")
+    value, text = field.column, f"_t_{field.column}"
     out = []
     if field.kind in ("text", "iso"):
         if field.required:
-            out.append((text.isNull() | blank(text), "missing"))
+            out.append((f"{text} is null or {text} rlike {_quoted(BLANK)}", "missing"))
         elif field.kind == "text":
-            out.append((blank(value), "blank"))
+            out.append((f"{value} rlike {_quoted(BLANK)}", "blank"))
         else:
-            known = value.rlike("^[A-Z]{3}$") | (value == S.WORLD_ISO3)
-            out.append((~known, "not a country code"))
+            world = _quoted(S.WORLD_ISO3)
+            wrong = f"{value} <> {world} and not {value} rlike '^[A-Z]{{3}}$'"
+            out.append((wrong, "not a country code"))
     else:
         if field.required:
-            out.append((text.isNull(), "missing"))
-        out.append((text.isNotNull() & value.isNull(), f"not a valid {field.kind}"))
+            out.append((f"{text} is null", "missing"))
+        out.append((f"{text} is not null and {value} is null", f"not a valid {field.kind}"))
         if field.kind == "amount":
-            out.append((value < 0, "negative"))
+            out.append((f"{value} < 0", "negative"))
     outside = _domain(field.column)
     if outside is not None:
         out.append((outside, "out of domain"))
     return out
 
 
+def _reason(rec: str) -> str:
+    """The first problem of a record, null when there is none."""
+    branches = [f"when {rec} is null then {_quoted(MALFORMED)}"]
+    for field in RAW_FIELDS:
+        for wrong, label in _problems(field):
+            branches.append(f"when {wrong} then {_quoted(f'{field.key}: {label}')}")
+    return "case " + "\n".join(branches) + " end"
+
+
 def provenance(rec: Column) -> Column:
     """The keys of a record that no column holds, as a JSON object; null when there are none."""
     everything = F.try_variant_get(rec, "$", "map<string,variant>")
@@ -240,30 +250,23 @@ def parse_records(raw: DataFrame, rec: str = "rec") -> DataFrame:
     rejected row can be looked at.
     """
     carried = raw.columns
-    record = F.col(rec)
-    texts = _texts(raw, rec).withColumn("_no_second", _second_partner_absent(record))
-    second = {f.column for f in RAW_FIELDS if f.column.startswith("partner2_")}
-    gone = [
-        F.when(~F.col("_no_second"), F.col(f"_t_{c}")).alias(f"_t_{c}") for c in sorted(second)
-    ]
-    texts = texts.select(
-        *[c for c in texts.columns if c[3:] not in second and c != "_no_second"], *gone
+    second = [f.column for f in RAW_FIELDS if f.column.startswith("partner2_")]
+    texts = _texts(raw, rec)
+    absent = _second_partner_absent(rec)
+    texts = texts.selectExpr(
+        *[c for c in texts.columns if c.removeprefix("_t_") not in second],
+        *[f"if({absent}, null, _t_{c}) as _t_{c}" for c in second],
     )
-    typed = texts.select(
-        "*",
-        *[_converted(f, record).alias(f.column) for f in RAW_FIELDS],
-    )
-    reason = F.when(record.isNull(), F.lit(MALFORMED))
-    for field in RAW_FIELDS:
-        for wrong, label in _problems(field):
-            reason = reason.when(wrong, F.lit(f"{field.key}: {label}"))
-    defaults = {f.column: f.default for f in RAW_FIELDS if f.default is not None}
-    checked = typed.withColumn("edition", F.col("classification_code"))
-    values = [
-        F.coalesce(F.col(c), F.lit(defaults[c])).alias(c) if c in defaults else F.col(c)
-        for c in S.COLUMNS
-    ]
-    return _computed_once(checked, carried, [*values, reason.alias(REASON)])
+    typed = texts.selectExpr("*", *[f"{_converted(f, rec)} as {f.column}" for f in RAW_FIELDS])
+    shown = {f.column: f.column for f in RAW_FIELDS}
+    shown |= {
+        f.column: f"coalesce({f.column}, {str(f.default).lower()})"
+        for f in RAW_FIELDS
+        if f.default is not None
+    }
+    shown |= {"edition": "classification_code", "provenance": "provenance"}
+    values = ", ".join(f"{shown[c]} as {c}" for c in S.COLUMNS)
+    return _computed_once(typed, carried, f"{values}, {_reason(rec)} as {REASON}")
 
 
 def accepted(parsed: DataFrame, rec: str = "rec") -> DataFrame:
