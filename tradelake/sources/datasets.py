@@ -40,9 +40,12 @@ def canonical_order(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """Move rows to where their folder is written; folders too big for a task are split."""
-    if partition_by:
-        df = df.hint("rebalance", *partition_by)
+    """Move rows to where their folder is written.
+
+    Rebalancing merges small pieces into files of a good size and splits folders too big for a
+    task; without folders it evens out the files.
+    """
+    df = df.hint("rebalance", *partition_by)
     return df.sortWithinPartitions(*partition_by, *file_order())
 
 
