@@ -52,6 +52,22 @@ def test_gzip_and_wrong_compression(spark, t, tmp_path, fmt):
         datasets.write_dataset(t, str(tmp_path / "e"), fmt, compression="zip")
 
 
+def test_json_documents(spark, t, tmp_path):
+    rows = t.drop(S.SEQ).orderBy("partner_code").limit(4)
+    text = "[" + ",".join(r.value for r in rows.select(F.to_json(F.struct("*")).alias("value"))
+                          .collect()) + "]"
+    (tmp_path / "bare.json").write_text(text)
+    (tmp_path / "wrapped.json").write_text('{"schema_version":"1","count":4,"records":' + text + "}")
+    (tmp_path / "wrapped.meta.json").write_text('{"dataset_name":"d"}')
+    same(datasets.read_json_documents(spark, str(tmp_path)), rows.unionByName(rows))
+
+
+def test_work_folder_is_the_one_the_session_names(spark):
+    from tradelake.session import work_folder
+
+    assert work_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
 def test_opening_single_files_and_nothing(spark, t, tmp_path):
     path = str(tmp_path / "d")
     datasets.write_dataset(t.coalesce(1), path, "csv", partition_by=())

@@ -24,7 +24,7 @@ class StorageError(ValueError):
     """A dataset that cannot be written, found or read."""
 
 
-def stored_schema(fmt: str) -> T.StructType:
+def stored_schema() -> T.StructType:
     """Read schema: canonical columns and the row number."""
     return T.StructType([*CANONICAL.fields, T.StructField(SEQ, T.LongType())])
 
@@ -103,7 +103,7 @@ def read_dataset(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFr
     if fmt == "csv":
         # Columns are matched by header, not by position.
         names = spark.read.options(header=True).csv(path).columns
-        kinds = {f.name: f.dataType for f in stored_schema(fmt)}
+        kinds = {f.name: f.dataType for f in stored_schema()}
         unknown = [n for n in names if n not in kinds]
         if unknown:
             raise StorageError(f"unknown columns in {path}: {unknown}")
@@ -113,7 +113,7 @@ def read_dataset(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFr
         ).load(path, schema=schema)
         has_seq = SEQ in names
     elif fmt == "json":
-        df = reader.option("mode", "FAILFAST").load(path, schema=stored_schema(fmt))
+        df = reader.option("mode", "FAILFAST").load(path, schema=stored_schema())
         has_seq = True
     else:
         df = reader.load(path)
@@ -122,6 +122,29 @@ def read_dataset(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFr
     return df.select(*picked, *([SEQ] if has_seq else []))
 
 
+def read_json_documents(spark: SparkSession, path: str) -> DataFrame:
+    """Rows kept as whole JSON documents: ``{"records": [...], ...}`` or a bare list of rows.
+
+    For taking over existing files; one document is one row until its list is unfolded, so
+    volume belongs into the line layout of :func:`write_dataset`.  Files ending in
+    ``.meta.json`` describe a dataset and are left out.
+    """
+    text = (
+        spark.read.option("recursiveFileLookup", "true")
+        .text(path, wholetext=True)
+        .filter(~F.col("_metadata.file_path").endswith(".meta.json"))
+    )
+    rows = T.ArrayType(CANONICAL)
+    options = {"mode": "FAILFAST"}
+    bare = F.ltrim("value").startswith("[")
+    listed = F.from_json(F.when(bare, F.col("value")), rows, options)
+    wrapped = F.from_json(
+        F.when(~bare, F.col("value")), T.StructType([T.StructField("records", rows)]), options
+    )["records"]
+    unfolded = text.select(F.inline(F.coalesce(listed, wrapped)))
+    return unfolded.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in CANONICAL])
+
+
 # -- finding out what is stored ---------------------------------------------------------------
 
 
