@@ -1,7 +1,9 @@
 """Raw records to typed rows, with a reason for every row that is turned away.
 
-Each field is taken from the variant once as text, then converted and checked by column
-expressions.  A row is never an error: it either has all its typed values or a reject reason.
+Each field is taken from the variant once, then converted and checked by column expressions.
+Text fields come as text.  All others come as their JSON token (``12.7``, ``"12"``, ``true``),
+which keeps every digit and still tells a number from a text.  A row is never an error: it either
+has all its typed values or a reject reason.
 """
 
 from __future__ import annotations
@@ -102,7 +104,7 @@ def blank(text: Column) -> Column:
 #: Text without a visible character.
 BLANK = r"(?U)^\s*$"
 
-# The rules below are SQL text.  ``t`` is a field of the record as text, ``rec`` the record.
+# The rules below are SQL text over the columns ``_t_...``: texts, or JSON tokens.
 
 
 def _quoted(text: str) -> str:
@@ -113,73 +115,82 @@ def _listed(values) -> str:
     return ", ".join(_quoted(v) if isinstance(v, str) else str(v) for v in values)
 
 
-def as_integer(key: str, text: str, kind: str, rec: str = "rec") -> str:
+def _is_text(token: str) -> str:
+    return f"startswith({token}, '\"')"
+
+
+def _bare(token: str) -> str:
+    """A token without its quotation marks."""
+    return f"if({_is_text(token)}, substring({token}, 2, length({token}) - 2), {token})"
+
+
+def as_integer(token: str, kind: str) -> str:
     """Whole number: digits as text or number; a fractional number is cut, fractional text is not.
 
-    Null for anything else, booleans included, and for numbers beyond the column type.  What
-    kind of JSON value it was is looked up only for the odd value that is not plain digits.
+    Null for anything else, booleans included, and for numbers beyond the column type.
     """
-    path = _quoted(f"$.{key}")
-    token = f"schema_of_variant(try_variant_get({rec}, {path}, 'variant'))"
-    number = (
-        f"if({token} not in ('STRING', 'BOOLEAN'), try_variant_get({rec}, {path}, 'bigint'), null)"
-    )
-    whole = f"coalesce(try_cast({text} as bigint), {number})"
-    return f"if({text} is null, null, try_cast({whole} as {kind}))"
+    cut = f"if({_is_text(token)}, null, try_cast(try_cast({token} as double) as bigint))"
+    return f"try_cast(coalesce(try_cast({_bare(token)} as bigint), {cut}) as {kind})"
 
 
-def as_amount(text: str) -> str:
+def as_amount(token: str) -> str:
     """Exact decimal from the digits of a number or of numeric text; null for other text."""
-    return f"try_cast({text} as {S.AMOUNT.simpleString()})"
+    return f"try_cast({_bare(token)} as {S.AMOUNT.simpleString()})"
 
 
-def as_flag(text: str) -> str:
+def as_flag(token: str) -> str:
     """True or false, as a JSON value or spelled out; null for anything else (0 and 1 too)."""
-    return f"case lower(trim({text})) when 'true' then true when 'false' then false end"
+    word = f"lower(trim({_bare(token)}))"
+    return f"case {word} when 'true' then true when 'false' then false end"
 
 
-def _computed_once(df: DataFrame, keep: list[str], columns: str) -> DataFrame:
-    """Add columns that later filters look at but must not recompute.
+def _settled(df: DataFrame, keep: list[str]) -> DataFrame:
+    """The same columns, in a form that later filters look at but do not recompute.
 
     A filter on plain projected columns is pushed below the projection by repeating their
     expressions, which for a parsed record would parse it again for every condition.  Columns
-    that come out of a generator stay where they are.
+    that come out of a generator stay where they are.  The generator only passes columns on:
+    the work is left to the projection below it, whose code is split into small methods.
     """
-    return df.select(*keep, F.expr(f"inline(array(struct({columns})))"))
+    moved = ", ".join(c for c in df.columns if c not in keep)
+    return df.select(*keep, F.expr(f"inline(array(struct({moved})))"))
 
 
-def _texts(df: DataFrame, rec: str) -> DataFrame:
-    """Every field of the record as text (one pass over the variant), and the unknown keys."""
-    kind = "struct<" + ",".join(f"{f.key}:string" for f in RAW_FIELDS) + ">"
+def _tokens(df: DataFrame, rec: str) -> DataFrame:
+    """Every field of the record (one pass over the variant), and the unknown keys."""
+    textual = {f.key for f in RAW_FIELDS if f.kind in ("text", "iso")}
+    kind = ",".join(f"{f.key}:{'string' if f.key in textual else 'variant'}" for f in RAW_FIELDS)
     record = F.col(rec)
     opened = df.select(
         "*",
-        F.try_variant_get(record, "$", kind).alias("_t"),
+        F.try_variant_get(record, "$", f"struct<{kind}>").alias("_t"),
         provenance(record).alias("provenance"),
     )
-    found = [f"_t.{f.key} as _t_{f.column}" for f in RAW_FIELDS]
+    found = [
+        f"_t.{f.key} as _t_{f.column}"
+        if f.key in textual
+        else f"nullif(to_json(_t.{f.key}), 'null') as _t_{f.column}"
+        for f in RAW_FIELDS
+    ]
     return opened.selectExpr(*df.columns, "provenance", *found)
 
 
-def _second_partner_absent(rec: str) -> str:
+def _second_partner_absent() -> str:
     """A second partner is not given, or is the numeric 0 without a country of its own."""
-    token = f"schema_of_variant(try_variant_get({rec}, '$.partner2Code', 'variant'))"
     code, iso = "_t_partner2_code", "_t_partner2_iso3"
-    zero = f"""case {token} when 'BOOLEAN' then {code} = 'false' when 'STRING' then false
+    zero = f"""case when {_is_text(code)} then false when {code} = 'false' then true
       else abs(try_cast({code} as double)) < 1 end"""
     no_country = f"({iso} is null or {iso} in ('', {_quoted(S.WORLD_ISO3)}))"
     return f"({code} is null or (coalesce({zero}, false) and {no_country}))"
 
 
-def _converted(field: RawField, rec: str) -> str:
-    text = f"_t_{field.column}"
+def _converted(field: RawField) -> str:
+    found = f"_t_{field.column}"
     if field.kind in ("text", "iso"):
-        return f"nullif({text}, '')"
-    if field.kind == "int":
-        return as_integer(field.key, text, "int", rec)
-    if field.kind == "long":
-        return as_integer(field.key, text, "bigint", rec)
-    return as_amount(text) if field.kind == "amount" else as_flag(text)
+        return f"nullif({found}, '')"
+    if field.kind in ("int", "long"):
+        return as_integer(found, "int" if field.kind == "int" else "bigint")
+    return as_amount(found) if field.kind == "amount" else as_flag(found)
 
 
 def _domain(column: str) -> str | None:
@@ -251,13 +262,13 @@ def parse_records(raw: DataFrame, rec: str = "rec") -> DataFrame:
     """
     carried = raw.columns
     second = [f.column for f in RAW_FIELDS if f.column.startswith("partner2_")]
-    texts = _texts(raw, rec)
-    absent = _second_partner_absent(rec)
-    texts = texts.selectExpr(
-        *[c for c in texts.columns if c.removeprefix("_t_") not in second],
+    tokens = _tokens(raw, rec)
+    absent = _second_partner_absent()
+    tokens = tokens.selectExpr(
+        *[c for c in tokens.columns if c.removeprefix("_t_") not in second],
         *[f"if({absent}, null, _t_{c}) as _t_{c}" for c in second],
     )
-    typed = texts.selectExpr("*", *[f"{_converted(f, rec)} as {f.column}" for f in RAW_FIELDS])
+    typed = tokens.selectExpr("*", *[f"{_converted(f)} as {f.column}" for f in RAW_FIELDS])
     shown = {f.column: f.column for f in RAW_FIELDS}
     shown |= {
         f.column: f"coalesce({f.column}, {str(f.default).lower()})"
@@ -265,8 +276,9 @@ def parse_records(raw: DataFrame, rec: str = "rec") -> DataFrame:
         if f.default is not None
     }
     shown |= {"edition": "classification_code", "provenance": "provenance"}
-    values = ", ".join(f"{shown[c]} as {c}" for c in S.COLUMNS)
-    return _computed_once(typed, carried, f"{values}, {_reason(rec)} as {REASON}")
+    values = [f"{shown[c]} as {c}" for c in S.COLUMNS]
+    judged = typed.selectExpr(*carried, *values, f"{_reason(rec)} as {REASON}")
+    return _settled(judged, carried)
 
 
 def accepted(parsed: DataFrame, rec: str = "rec") -> DataFrame:
