@@ -144,16 +144,15 @@ def as_flag(token: str) -> str:
     return f"case {word} when 'true' then true when 'false' then false end"
 
 
-def _settled(df: DataFrame, keep: list[str]) -> DataFrame:
-    """The same columns, in a form that later filters look at but do not recompute.
+def _settled(df: DataFrame, column: str) -> DataFrame:
+    """The same frame with one column in a form that later filters do not recompute.
 
-    A filter on plain projected columns is pushed below the projection by repeating their
-    expressions, which for a parsed record would parse it again for every condition.  Columns
-    that come out of a generator stay where they are.  The generator only passes columns on:
-    the work is left to the projection below it, whose code is split into small methods.
+    A filter on a plain projected column is pushed below the projection by repeating its
+    expression, which for a reject reason means judging, and so parsing, every record twice.
+    A column that comes out of a generator stays where it is.
     """
-    moved = ", ".join(c for c in df.columns if c not in keep)
-    return df.select(*keep, F.expr(f"inline(array(struct({moved})))"))
+    rest = [c for c in df.columns if c != column]
+    return df.select(*rest, F.explode(F.array(column)).alias(column))
 
 
 def _tokens(df: DataFrame, rec: str) -> DataFrame:
@@ -278,7 +277,7 @@ def parse_records(raw: DataFrame, rec: str = "rec") -> DataFrame:
     shown |= {"edition": "classification_code", "provenance": "provenance"}
     values = [f"{shown[c]} as {c}" for c in S.COLUMNS]
     judged = typed.selectExpr(*carried, *values, f"{_reason(rec)} as {REASON}")
-    return _settled(judged, carried)
+    return _settled(judged, REASON)
 
 
 def accepted(parsed: DataFrame, rec: str = "rec") -> DataFrame:
