@@ -262,6 +262,26 @@ def test_ingest_to_store(spark, tmp_path):
     assert failed.status == pipeline.FAILED and failed.errors
 
 
+@pytest.mark.parametrize("fmt", ["csv", "json"])
+def test_ingest_of_lines(spark, tmp_path, fmt):
+    lines = [with_(), with_(period="2021", refYear=2021), "", "{broken", with_(), "[]"]
+    (tmp_path / "in.jsonl").write_text("\n".join(lines))
+    done = pipeline.ingest(spark, str(tmp_path / "in.jsonl"), str(tmp_path / "out"),
+                           layout="lines", fmt=fmt, compression="gzip")
+    assert (done.records_in, done.records_out) == (5, 2), done.errors
+    assert done.counts == {"rejected": 2, "duplicates": 1}
+    assert datasets.open_dataset(spark, str(tmp_path / "out")).count() == 2
+    with pytest.raises(ValueError):
+        pipeline.ingest(spark, "x", "y", layout="pages")
+
+
+def test_overwrite_replaces_everything(spark, t, tmp_path):
+    path = str(tmp_path / "d")
+    datasets.write_dataset(t, path)
+    datasets.write_dataset(t.filter("reporter_code = 1"), path, mode="overwrite")
+    assert datasets.open_dataset(spark, path).count() == 8
+
+
 def test_pipeline_stops_at_the_first_failure(t):
     got = []
     keep = pipeline.Stage("keep", lambda df: df.filter("flow_code = 'X'"))

@@ -193,12 +193,9 @@ def _rewrite(
     combine(affected.select(*existing.columns), reduced, "merge").write.parquet(f"{stage}/rows")
     rows = spark.read.parquet(f"{stage}/rows")
 
-    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        datasets.write_dataset(rows, path, fmt, mode="overwrite", compression=compression)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+    datasets.write_dataset(
+        rows, path, fmt, mode="overwrite", compression=compression, touched_only=True
+    )
     # Folder names only: at most one row per touched folder reaches the driver.
     left_empty = folders.join(_partitions(rows), list(PARTITION_COLUMNS), "left_anti")
     for row in left_empty.toLocalIterator():

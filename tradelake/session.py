@@ -6,14 +6,13 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-#: Settings that change plans, not results: run-time re-planning with skew splitting, and
-#: dynamic overwrite so that an update rewrites only the partitions it touches.
+#: Run-time re-planning with skew splitting; sums that overflow fail instead of turning null.
 RECOMMENDED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
 }
 

@@ -65,10 +65,12 @@ def write_dataset(
     partition_by: Sequence[str] = PARTITION_COLUMNS,
     mode: str = "error",
     compression: str | None = None,
+    touched_only: bool = False,
 ) -> None:
     """Write a trade table in its canonical columns.
 
-    ``partition_by=()`` writes without folders.  CSV has a header and plain decimal text,
+    ``partition_by=()`` writes without folders.  Overwriting replaces the whole dataset, or with
+    ``touched_only`` just the folders that receive rows.  CSV has a header and plain decimal text,
     JSON is one object per line with decimals as text, so no digit is lost in either.
     """
     if fmt not in FORMATS:
@@ -85,6 +87,7 @@ def write_dataset(
             ]
         )
     writer = out.write.mode(mode).partitionBy(*partition_by)
+    writer = writer.option("partitionOverwriteMode", "dynamic" if touched_only else "static")
     if codec is not None:
         writer = writer.option("compression", codec)
     if fmt == "csv":
