@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradelake.llm import decontaminate, simhash, sql
+from tradelake.llm import ann, decontaminate, simhash, sql
 from tradelake.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,10 +31,15 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(docs).select("doc_id", "fingerprint", "component_id")
 
 
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(read(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_decontaminate": op1_decontaminate,
         "op3_simhash": op3_simhash,
+        "op10_nearest": op10_nearest,
     }
 
 
