@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradelake.llm import ann, decontaminate, simhash, sql
+from tradelake.llm import ann, decontaminate, simhash, sql, toxicity
 from tradelake.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,13 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels"))
+    rows = docs.select("doc_id", "text", toxicity.is_held_out(F.col("doc_id")).alias("held_out"))
+    return toxicity.score(rows, model).drop("text")
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash.near_duplicates(docs).select("doc_id", "fingerprint", "component_id")
@@ -38,6 +45,7 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_decontaminate": op1_decontaminate,
+        "op2_toxicity": op2_toxicity,
         "op3_simhash": op3_simhash,
         "op10_nearest": op10_nearest,
     }
