@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradelake.llm import ann, decontaminate, simhash, sql, toxicity
+from tradelake.llm import ann, decontaminate, simhash, sql, toxicity, warc
 from tradelake.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,10 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(docs).select("doc_id", "fingerprint", "component_id")
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read(spark, sf_dir, "pages"))
+
+
 def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(read(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
 
@@ -47,9 +51,10 @@ def queries() -> dict[str, Query]:
         "op1_decontaminate": op1_decontaminate,
         "op2_toxicity": op2_toxicity,
         "op3_simhash": op3_simhash,
+        "op5_warc": op5_warc,
         "op10_nearest": op10_nearest,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontaminate": sql.OP1}
+    return {"op1_decontaminate": sql.OP1, "op5_warc": sql.OP5}
