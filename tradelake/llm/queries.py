@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradelake.llm import ann, decontaminate, simhash, sql, toxicity, warc
+from tradelake.llm import ann, decontaminate, pii, simhash, sql, toxicity, warc
 from tradelake.llm.common import read
 
+#: Key of the registered query's pseudonyms; a real run passes its own secret.
+PII_KEY = "registered query"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -42,6 +45,10 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(read(spark, sf_dir, "pages"))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymise(read(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
+
+
 def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(read(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
 
@@ -52,6 +59,7 @@ def queries() -> dict[str, Query]:
         "op2_toxicity": op2_toxicity,
         "op3_simhash": op3_simhash,
         "op5_warc": op5_warc,
+        "op8_pii": op8_pii,
         "op10_nearest": op10_nearest,
     }
 
