@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradelake.llm import ann, decontaminate, pii, simhash, sql, toxicity, warc
+from tradelake.llm import ann, decontaminate, licenses, mixing, pii, simhash, sql, toxicity, warc
 from tradelake.llm.common import read
 
 #: Key of the registered query's pseudonyms; a real run passes its own secret.
@@ -45,10 +45,40 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(read(spark, sf_dir, "pages"))
 
 
+def domain_model(spark: SparkSession, sf_dir: str) -> mixing.Classifier:
+    """Domains are language and quality, as the labelled documents have them."""
+    labels = read(spark, sf_dir, "labels").where("doc_id IS NOT NULL AND quality IS NOT NULL")
+    labels = labels.groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang").join(labels, "doc_id")
+    docs = docs.withColumn("domain", F.concat_ws("-", "lang", F.when(F.col("quality") > 0, "good").otherwise("poor")))
+    return mixing.fit_classifier(docs.select("text", "domain"), domain_col="domain")
+
+
+def domain_weights(model: mixing.Classifier) -> dict[str, float]:
+    """Half of the tokens English, the rest evenly; nine in ten of each from good texts."""
+    languages = {d.rsplit("-", 1)[0] for d in model.domains}
+    share = {x: 0.5 if x == "en" else 0.5 / max(1, len(languages - {"en"})) for x in languages}
+    return {d: share[d.rsplit("-", 1)[0]] * (0.9 if d.endswith("good") else 0.1) for d in model.domains}
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = domain_model(spark, sf_dir)
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return mixing.mix(docs, model, domain_weights(model)).drop("text")
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(read(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files: a folder a source, language and hundred ids, of which the first speaks."""
+    docs = read(spark, sf_dir, "documents")
+    name = F.when(F.col("doc_id") % 100 < 5, F.concat(F.lit("LICENSE."), "doc_id")).otherwise(F.concat("doc_id", F.lit(".txt")))
+    path = F.concat_ws("/", "source", "lang", F.floor(F.col("doc_id") / 100).cast("string"), name)
+    return licenses.scan(docs.select("doc_id", "text", path.alias("path"))).drop("text")
+
+
 def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(read(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
 
@@ -59,7 +89,9 @@ def queries() -> dict[str, Query]:
         "op2_toxicity": op2_toxicity,
         "op3_simhash": op3_simhash,
         "op5_warc": op5_warc,
+        "op7_mixing": op7_mixing,
         "op8_pii": op8_pii,
+        "op9_licenses": op9_licenses,
         "op10_nearest": op10_nearest,
     }
 
