@@ -42,13 +42,13 @@ def quoted(name: str):
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def pieces(batches: Iterable[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """The batches cut so that ``column`` has about STEP_BYTES in each, one row at least."""
+def pieces(batches: Iterable[pa.RecordBatch], column: str, limit: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that ``column`` has about ``limit`` bytes in each, one row at least."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0)
         start = held = 0
         for i, n in enumerate(sizes.to_pylist()):
-            if held and held + n > STEP_BYTES:
+            if held and held + n > limit:
                 yield batch.slice(start, i - start)
                 start, held = i, 0
             held += n + 16

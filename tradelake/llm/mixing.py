@@ -37,7 +37,7 @@ class Classifier:
 def fit_classifier(labelled: DataFrame, *, domain_col: str, text_col: str = "text") -> Classifier:
     """Counts words of all labelled rows by hash and domain, and turns them into log shares.
 
-    Rows without a domain are left out.  Domains are sorted as text; more than MOST_DOMAINS are
+    Rows without a domain are left out; with none left the classifier knows no domain.  Domains are sorted as text; more than MOST_DOMAINS are
     refused, as the table would outgrow a broadcast.
     """
     known = labelled.where(quoted(domain_col).isNotNull())
@@ -52,11 +52,11 @@ def fit_classifier(labelled: DataFrame, *, domain_col: str, text_col: str = "tex
     )
     totals = counts.groupBy("domain").agg(F.sum("n").alias("n"), F.sum("texts").alias("texts"))
     rows = totals.orderBy("domain").limit(MOST_DOMAINS + 1).collect()
-    if not rows:
-        raise ValueError("no labelled rows to learn domains from")
     if len(rows) > MOST_DOMAINS:
         raise ValueError(f"more than {MOST_DOMAINS} domains")
     all_texts = sum(r.texts for r in rows)
+    spark = labelled.sparkSession
+    buckets = spark.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
     share = [
         F.log(
             (F.coalesce(F.sum(F.when(F.col("domain") == r.domain, F.col("n"))), F.lit(0)) + SMOOTHING)
@@ -64,9 +64,7 @@ def fit_classifier(labelled: DataFrame, *, domain_col: str, text_col: str = "tex
         ).alias(f"l{i}")
         for i, r in enumerate(rows)
     ]
-    spark = labelled.sparkSession
-    buckets = spark.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
-    table = buckets.join(counts, "bucket", "left").groupBy("bucket").agg(*share)
+    table = buckets.join(counts, "bucket", "left").groupBy("bucket").agg(F.lit(0).alias("_"), *share).drop("_")
     prior = [float(np.log(r.texts / all_texts)) for r in rows]
     return Classifier([r.domain for r in rows], stored(table, "mix-classifier"), prior)
 
@@ -93,7 +91,7 @@ def memberships(docs: DataFrame, model: Classifier, *, id_col: str = "doc_id", t
     )
     tokens_each = (F.col("words") / F.col("copies")).alias("tokens")
     soft = F.greatest(F.sqrt(F.col("words") / F.col("copies")), F.lit(1.0)) * F.col("copies")
-    scores = F.array(*(F.col(c) / soft + F.lit(p) for c, p in zip(logs, model.prior, strict=True)))
+    scores = F.array(*(F.col(c) / soft + F.lit(p) for c, p in zip(logs, model.prior, strict=True))).cast("array<double>")
     top = F.array_max("s")
     powers = F.transform("s", lambda x: F.exp(x - F.col("top")))
     return (
@@ -155,24 +153,29 @@ def mix(
     sum is scaled to the tokens of ``docs``, so that rates are one on average.  ``copies`` is the
     rate rounded up or down by a hash of id and text, the same in every run; its mean is the rate.
 
-    Null and empty texts have no tokens and keep rate one.  Rows that repeat both id and text
+    Null and empty texts have no tokens and keep rate one.  A classifier without domains leaves all
+    rates at one and the domain null.  Rows that repeat both id and text
     get the same rate.  Input columns with the names of new ones give way.  A weight below zero,
     or of a domain the classifier doesn't know, is refused; an empty table gives no rows.
     """
     if unknown := set(weights) - set(model.domains):
         raise ValueError(f"weights of unknown domains: {sorted(unknown)}")
-    if not weights or min(weights.values()) < 0 or sum(weights.values()) <= 0:
+    if min(weights.values(), default=0) < 0 or (model.domains and sum(weights.values()) <= 0):
         raise ValueError("weights must not be negative and some must be positive")
     members = stored(memberships(docs, model, id_col=id_col, text_col=text_col), "mix-members")
     total = members.agg(F.sum(F.col("copies") * F.col("tokens"))).first()[0] or 0.0
-    whole = sum(weights.values())
-    rates, _ = fit_rates(members, [weights.get(d, 0.0) / whole * total for d in model.domains])
-    names = F.array(*map(F.lit, model.domains))
+    if model.domains:
+        whole = sum(weights.values())
+        rates, _ = fit_rates(members, [weights.get(d, 0.0) / whole * total for d in model.domains])
+        names = F.array(*map(F.lit, model.domains))
+        domain = F.element_at(names, F.array_position("p", F.array_max("p")).cast("int"))
+    else:
+        rates, domain = members.withColumn("rate", F.lit(1.0)), F.lit(None).cast("string")
     decided = stored(
         rates.select(
             "row",
             F.col("tokens").cast("long").alias("tokens"),
-            F.element_at(names, F.array_position("p", F.array_max("p")).cast("int")).alias("domain"),
+            domain.alias("domain"),
             F.when(F.col("tokens") > 0, F.col("rate")).otherwise(1.0).alias("rate"),
         ),
         "mix-decided",

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradelake.llm import ann, decontaminate, licenses, mixing, pii, simhash, sql, toxicity, warc
+from tradelake.llm import ann, decontaminate, licenses, mixing, pii, simhash, sql, substring, suffix_dedup, toxicity, warc
 from tradelake.llm.common import read
 
 #: Key of the registered query's pseudonyms; a real run passes its own secret.
@@ -41,17 +41,38 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(docs).select("doc_id", "fingerprint", "component_id")
 
 
+def _removed() -> F.Column:
+    return F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"]).alias("n_removed")
+
+
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = suffix_dedup.deduplicate(docs)
+    n_spans = F.size("spans").cast("long").alias("n_spans")
+    return kept.select("doc_id", F.col("n").alias("n_bytes"), _removed(), n_spans, F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(read(spark, sf_dir, "pages"))
 
 
-def domain_model(spark: SparkSession, sf_dir: str) -> mixing.Classifier:
-    """Domains are language and quality, as the labelled documents have them."""
+def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = substring.deduplicate(docs)
+    return kept.select("doc_id", F.col("n").alias("n_words"), _removed(), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def labelled_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``text`` and ``domain``, language and quality, of the documents that have a quality label."""
     labels = read(spark, sf_dir, "labels").where("doc_id IS NOT NULL AND quality IS NOT NULL")
     labels = labels.groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang").join(labels, "doc_id")
-    docs = docs.withColumn("domain", F.concat_ws("-", "lang", F.when(F.col("quality") > 0, "good").otherwise("poor")))
-    return mixing.fit_classifier(docs.select("text", "domain"), domain_col="domain")
+    quality = F.when(F.col("quality") > 0, "good").otherwise("poor")
+    return (
+        docs.select("doc_id", "text", "lang")
+        .where("lang IS NOT NULL")
+        .join(labels, "doc_id")
+        .select("text", F.concat_ws("-", "lang", quality).alias("domain"))
+    )
 
 
 def domain_weights(model: mixing.Classifier) -> dict[str, float]:
@@ -62,8 +83,9 @@ def domain_weights(model: mixing.Classifier) -> dict[str, float]:
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = domain_model(spark, sf_dir)
-    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = read(spark, sf_dir, "documents")
+    model = mixing.fit_classifier(labelled_domains(spark, docs, sf_dir), domain_col="domain")
+    docs = docs.select("doc_id", "text")
     return mixing.mix(docs, model, domain_weights(model)).drop("text")
 
 
@@ -88,7 +110,9 @@ def queries() -> dict[str, Query]:
         "op1_decontaminate": op1_decontaminate,
         "op2_toxicity": op2_toxicity,
         "op3_simhash": op3_simhash,
+        "op4_suffix_dedup": op4_suffix_dedup,
         "op5_warc": op5_warc,
+        "op6_substring": op6_substring,
         "op7_mixing": op7_mixing,
         "op8_pii": op8_pii,
         "op9_licenses": op9_licenses,
