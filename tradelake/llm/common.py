@@ -38,6 +38,14 @@ def without(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df.select([quoted(c) for c in df.columns if c.lower() not in taken])
 
 
+def packed(df: DataFrame, names: Iterable[str] = ()):
+    """The columns of ``df``, less those of the names, as one struct ``_row``.
+
+    Operators carry rows as this struct, so that no column's name can meet one of their own.
+    """
+    return F.struct(*map(quoted, without(df, names).columns)).alias("_row")
+
+
 def quoted(name: str):
     return F.col("`" + name.replace("`", "``") + "`")
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradelake.llm.common import pieces, quoted, stored, without
+from tradelake.llm.common import packed, pieces, quoted, stored
 
 WINDOW = 13
 #: Share of a text's words from which hits make it contaminated, as 1 / this.
@@ -188,8 +188,7 @@ def decontaminate(
     empty ``docs`` gives no rows.
     """
     own = ["n_words", "n_hit", "items", "spans", "contaminated"]
-    kept = without(docs, own).columns
-    out = docs.select(*map(quoted, kept), quoted(text_col).cast("binary").alias("_raw"))
+    out = docs.select(packed(docs, own), quoted(text_col).cast("binary").alias("_raw"))
     first = True
     for items in _blocks(benchmark, item_col, item_text_col, block_bytes):
         out = _pass(out if first else stored(out, "decontaminate"), items, window, first)
@@ -198,7 +197,7 @@ def decontaminate(
         out = _pass(out, [], window, True)
     n_hit = F.aggregate("_runs", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["start"])
     return out.select(
-        *map(quoted, kept),
+        "_row.*",
         F.col("_n_words").alias("n_words"),
         n_hit.alias("n_hit"),
         F.col("_items").alias("items"),
@@ -209,6 +208,6 @@ def decontaminate(
 
 def clean(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with all the columns they came with."""
-    rows = docs.select(F.struct("*").alias("_row"), quoted(text_col).alias("_text"))
-    found = decontaminate(rows, benchmark, text_col="_text", **options)
-    return found.where("NOT contaminated").select("_row.*")
+    rows = docs.select(packed(docs).alias("kept"), quoted(text_col).alias("text"))
+    found = decontaminate(rows, benchmark, **options)
+    return found.where("NOT contaminated").select("kept.*")

@@ -11,7 +11,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradelake.llm.common import quoted, stored
+from tradelake.llm.common import packed, quoted, stored
 
 #: Notices by licence, in words of our own; any number per licence.
 TEMPLATES = [
@@ -155,9 +155,10 @@ def scan(
         .groupBy(_folder(F.col("path")).alias("above"))
         .agg(F.min_by("licence", "path").alias("inherited"))
     )
-    names = [c for c in files.columns if c.lower() not in ("own_licence", "licence", "licence_from")]
     rows = files.select(
-        *map(quoted, names), quoted(path_col).alias("_path"), _folder(quoted(path_col)).alias("_folder")
+        packed(files, ["own_licence", "licence", "licence_from"]),
+        quoted(path_col).alias("_path"),
+        _folder(quoted(path_col)).alias("_folder"),
     )
     folders = rows.where("_folder IS NOT NULL").select("_folder").distinct()
     parts = F.filter(F.split("_folder", "/"), lambda x: x.isNotNull())
@@ -173,7 +174,7 @@ def scan(
         nearest, "_folder", "left"
     )
     return joined.select(
-        *map(quoted, names),
+        "_row.*",
         "own_licence",
         F.coalesce("own_licence", "from.inherited").alias("licence"),
         F.when(F.col("own_licence").isNotNull(), F.col("_path")).otherwise(F.col("from.above")).alias("licence_from"),

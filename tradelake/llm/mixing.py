@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradelake.llm.common import quoted, stored, without
+from tradelake.llm.common import packed, quoted, stored
 
 #: Hashed words of the classifier; its table has a row for each.
 BUCKETS = 1 << 13
@@ -180,10 +180,8 @@ def mix(
         ),
         "mix-decided",
     )
-    kept = without(docs, ["tokens", "domain", "rate", "copies"]).columns
-    keyed = docs.select(*map(quoted, kept), F.xxhash64(quoted(id_col), quoted(text_col)).alias("_row"))
-    draw = F.pmod(F.xxhash64(F.lit(seed), "_row"), F.lit(1 << 30)) / float(1 << 30)
+    own = ["tokens", "domain", "rate", "copies"]
+    keyed = docs.select(packed(docs, own), F.xxhash64(quoted(id_col), quoted(text_col)).alias("row"))
+    draw = F.pmod(F.xxhash64(F.lit(seed), "row"), F.lit(1 << 30)) / float(1 << 30)
     copies = F.floor("rate") + F.when(draw < F.col("rate") - F.floor("rate"), 1).otherwise(0)
-    return keyed.join(decided, keyed["_row"] == decided["row"]).select(
-        *map(quoted, kept), "tokens", "domain", "rate", copies.cast("int").alias("copies")
-    )
+    return keyed.join(decided, "row").select("_row.*", "tokens", "domain", "rate", copies.cast("int").alias("copies"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradelake.llm.common import quoted, without
+from tradelake.llm.common import packed, quoted, without
 
 ROUNDS = 8
 #: Days of 400 years from FIRST_DAY, a whole Gregorian cycle: 189 * 773.
@@ -202,7 +202,7 @@ def pseudonymise(docs: DataFrame, key: str, *, text_col: str = "text") -> DataFr
     """
     names = without(docs, ["n_pseudonyms"]).columns
     pattern = _text(CANDIDATE)
-    rows = docs.select(*map(quoted, names), quoted(text_col).cast("string").alias("_t"))
+    rows = docs.select(packed(docs, ["n_pseudonyms"]), quoted(text_col).cast("string").alias("_t"))
     found = rows.withColumn(
         "_m",
         F.expr(f"if(_t rlike '[0-9@]', transform(regexp_extract_all(_t, {pattern}, 0), m -> struct(m as m, {_replaced(key)} as p)), array())"),
@@ -212,5 +212,5 @@ def pseudonymise(docs: DataFrame, key: str, *, text_col: str = "text") -> DataFr
         f"if(exists(_m, x -> x.p is not null), array_join(zip_with({pieces}, _m, (s, x) -> concat(s, coalesce(x.p, x.m, ''))), ''), _t)"
     )
     number = F.expr("coalesce(size(filter(_m, x -> x.p is not null)), 0)").cast("long")
-    shown = [text.alias(c) if c == text_col else quoted(c) for c in names]
+    shown = [text.alias(c) if c == text_col else F.col("_row").getField(c).alias(c) for c in names]
     return found.select(*shown, number.alias("n_pseudonyms"))

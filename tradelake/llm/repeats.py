@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradelake.llm.common import pieces, quoted, stored
+from tradelake.llm.common import packed, pieces, quoted, stored
 
 #: Bits of the broadcast sieves, in rows of 4 KB: 16 MB, whatever the size of the tables.
 SIEVE_BITS = 1 << 27
@@ -307,25 +307,24 @@ def cut(
     docs: DataFrame,
     spans: DataFrame,
     text_col: str,
-    names: list[str],
     remove: Callable[[bytes, list[tuple[int, int]]], tuple[bytes, int]],
 ) -> DataFrame:
-    """All rows: columns ``names``, ``kept`` (binary), ``n`` (elements) and ``spans``.
+    """All rows with ``kept`` (binary), ``n`` (elements) and ``spans`` in place of such columns.
 
     ``remove`` gives what is left of a text and its elements.  Only texts that may have spans are
     shuffled, to meet them.  A null text is empty.
     """
     text = quoted(text_col)
-    rows = docs.select(*map(quoted, names), text.alias("_text"), *keys(text))
+    rows = docs.select(packed(docs, ["kept", "n", "spans"]), text.alias("text"), *keys(text))
     marked = Sieve(spans, "k1", "k2").marked(rows, "k1", "k2")
     none = F.array().cast("array<struct<start:long,end:long>>")
-    raw = F.coalesce(F.col("_text"), F.lit("")).cast("binary").alias("_raw")
-    clean = marked.where("NOT maybe").select(*map(quoted, names), raw, none.alias("_spans"))
+    raw = F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("raw")
+    clean = marked.where("NOT maybe").select("_row", raw, none.alias("spans"))
     hit = marked.where("maybe").join(spans, ["k1", "k2"], "left")
-    hit = hit.select(*map(quoted, names), raw, F.coalesce("spans", none).alias("_spans"))
+    hit = hit.select("_row", raw, F.coalesce("spans", none).alias("spans"))
     schema = T.StructType(
         [
-            *(docs.schema[c] for c in names),
+            clean.schema["_row"],
             T.StructField("kept", T.BinaryType()),
             T.StructField("n", T.LongType()),
             T.StructField("spans", T.ArrayType(SPAN)),
@@ -333,22 +332,22 @@ def cut(
     )
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "_raw"):
+        for batch in pieces(batches, "raw"):
             out = [
                 remove(raw.as_py(), [(x["start"], x["end"]) for x in found.as_py()])
-                for raw, found in zip(batch.column("_raw"), batch.column("_spans"), strict=True)
+                for raw, found in zip(batch.column("raw"), batch.column("spans"), strict=True)
             ]
             yield pa.RecordBatch.from_arrays(
                 [
-                    *(batch.column(c) for c in names),
+                    batch.column("_row"),
                     pa.array([x[0] for x in out], pa.binary()),
                     pa.array([x[1] for x in out], pa.int64()),
-                    batch.column("_spans"),
+                    batch.column("spans"),
                 ],
-                names=[*names, "kept", "n", "spans"],
+                names=["_row", "kept", "n", "spans"],
             )
 
-    return clean.union(hit).mapInArrow(run, schema)
+    return clean.union(hit).mapInArrow(run, schema).select("_row.*", "kept", "n", "spans")
 
 
 SPAN = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradelake.llm import repeats
-from tradelake.llm.common import pieces, quoted, without
+from tradelake.llm.common import pieces, quoted
 
 #: Words of a sequence that must occur once only.
 LENGTH = 35
@@ -222,7 +222,6 @@ def deduplicate(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     Columns ``kept``, ``n`` and ``spans`` of the input give way, others stay.  An empty table gives
     no rows.
     """
-    names = without(docs, ["kept", "n", "spans"]).columns
     texts = docs.select(quoted(text_col).cast("string").alias("text"))
     found = repeats.find(texts, split, SHAPE)
     cool, hot = found.edges.where(F.col("kinds") <= HOT), found.edges.where(F.col("kinds") > HOT)
@@ -234,4 +233,4 @@ def deduplicate(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     if hot_rows:
         windows = windows.union(repeats.by_ranks(texts, found, hot, split, SHAPE).select("no", "i"))
     spans = repeats.spans(found, windows.select("no", F.col("i").alias("s"), F.col("i").alias("t")), SHAPE)
-    return repeats.cut(docs, spans, text_col, names, remove)
+    return repeats.cut(docs, spans, text_col, remove)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradelake.llm import repeats
-from tradelake.llm.common import quoted, without
+from tradelake.llm.common import quoted
 
 #: Bytes of a string that must occur once only.
 LENGTH = 400
@@ -44,10 +44,9 @@ def deduplicate(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     copies lose what they share, which is everything from LENGTH bytes on.  Columns ``kept``, ``n``
     and ``spans`` of the input give way, others stay.  An empty table gives no rows.
     """
-    names = without(docs, ["kept", "n", "spans"]).columns
     texts = docs.select(quoted(text_col).cast("string").alias("text"))
     found = repeats.find(texts, split, SHAPE)
     windows = repeats.by_ranks(texts, found, found.edges, split, SHAPE)
     windows = windows.select("no", F.col("i").alias("s"), F.col("i").alias("t"))
     spans = repeats.spans(found, windows, SHAPE)
-    return repeats.cut(docs, spans, text_col, names, remove)
+    return repeats.cut(docs, spans, text_col, remove)

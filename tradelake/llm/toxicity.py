@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradelake.llm.common import pieces, quoted, stored
+from tradelake.llm.common import packed, pieces, quoted, stored
 
 #: Hash space of terms.
 BUCKETS = 1 << 22
@@ -212,12 +212,11 @@ def score(docs: DataFrame, model: tuple[dict[int, int], Machine], *, text_col: s
     the bias's score.  Each row is scored by its whole text alone, without a shuffle.
     """
     kept, machine = model
-    names = [c for c in docs.columns if c.lower() not in ("score", "predicted")]
-    rows = docs.select(*map(quoted, names), quoted(text_col).cast("binary").alias("_raw"))
+    rows = docs.select(packed(docs, ["score", "predicted"]), quoted(text_col).cast("binary").alias("raw"))
     shared = docs.sparkSession.sparkContext.broadcast((kept, machine))
     schema = T.StructType(
         [
-            *(rows.schema[c] for c in names),
+            rows.schema["_row"],
             T.StructField("score", T.DoubleType()),
             T.StructField("predicted", T.IntegerType()),
         ]
@@ -226,17 +225,17 @@ def score(docs: DataFrame, model: tuple[dict[int, int], Machine], *, text_col: s
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept, machine = shared.value
         terms = Terms(kept)
-        for batch in pieces(batches, "_raw"):
-            scores = machine.scores([terms(x.as_py()) for x in batch.column("_raw")])
+        for batch in pieces(batches, "raw"):
+            scores = machine.scores([terms(x.as_py()) for x in batch.column("raw")])
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in names), pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))],
-                names=[*names, "score", "predicted"],
+                [batch.column("_row"), pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))],
+                names=["_row", "score", "predicted"],
             )
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema).select("_row.*", "score", "predicted")
 
 
 def accepted(docs: DataFrame, model: tuple[dict[int, int], Machine], *, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` not predicted toxic, with all the columns they came with."""
-    rows = docs.select(F.struct("*").alias("_row"), quoted(text_col).alias("_text"))
-    return score(rows, model, text_col="_text").where("predicted = 0").select("_row.*")
+    rows = docs.select(packed(docs).alias("kept"), quoted(text_col).alias("text"))
+    return score(rows, model).where("predicted = 0").select("kept.*")
