@@ -269,7 +269,7 @@ def test_posteriors_are_naive_bayes(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, kind string, row string")
     model = mixing.fit_classifier(docs, domain_col="kind")
     table = {r.bucket: [r.l0, r.l1, r.l2] for r in model.table.collect()}
-    bucket = {r.word: r.bucket for r in mixing._tokens(docs, "text", F.col("doc_id")).collect()}
+    bucket = {r["word"]: r["bucket"] for r in mixing._tokens(docs, "text", F.col("doc_id")).collect()}
     key = {r.row: r.text for r in docs.select("text", F.xxhash64("doc_id", "text").alias("row")).collect()}
     for r in mixing.memberships(docs, model).collect():
         words = key[r.row].split()

@@ -19,12 +19,18 @@ SMOOTHING = 0.5
 STEPS, TOLERANCE, RESTATE = 40, 1e-4, 8
 
 
+#: Buckets of the mark that stands for a text, and of the empty words between two blanks.
+TEXT, NOTHING = -1, -2
+
+
 def _tokens(docs: DataFrame, text_col: str, *keep: F.Column) -> DataFrame:
-    """A row per word, and one with the empty word per text, so that no text is lost."""
-    words = F.filter(F.split(F.lower(quoted(text_col)), r"\s+"), lambda w: w != "")
-    marked = F.concat(F.array(F.lit("")), F.coalesce(words, F.array().cast("array<string>")))
-    tokens = docs.select(*keep, F.explode(marked).alias("word"))
-    return tokens.withColumn("bucket", F.pmod(F.xxhash64("word"), F.lit(BUCKETS)).cast("int"))
+    """A row ``word, bucket`` per word, and one per text (bucket TEXT), so that no text is lost."""
+    words = F.split(F.translate(F.lower(quoted(text_col)), "\n\t\r", "   "), " ")
+    none = F.array(F.lit(None).cast("string"))
+    tokens = docs.select(*keep, F.explode(F.coalesce(F.concat(none, words), none)).alias("word"))
+    hashed = F.pmod(F.xxhash64("word"), F.lit(BUCKETS)).cast("int")
+    bucket = F.when(F.col("word").isNull(), TEXT).when(F.col("word") == "", NOTHING).otherwise(hashed)
+    return tokens.withColumn("bucket", bucket)
 
 
 class Classifier:
@@ -45,8 +51,7 @@ def fit_classifier(labelled: DataFrame, *, domain_col: str, text_col: str = "tex
     tokens = _tokens(known, text_col, domain)
     counts = stored(
         tokens.groupBy("bucket", "domain").agg(
-            F.sum(F.when(F.col("word") != "", 1).otherwise(0)).alias("n"),
-            F.sum(F.when(F.col("word") == "", 1).otherwise(0)).alias("texts"),
+            F.count_if(F.col("bucket") >= 0).alias("n"), F.count_if(F.col("bucket") == TEXT).alias("texts")
         ),
         "mix-counts",
     )
@@ -64,7 +69,9 @@ def fit_classifier(labelled: DataFrame, *, domain_col: str, text_col: str = "tex
         ).alias(f"l{i}")
         for i, r in enumerate(rows)
     ]
-    table = buckets.join(counts, "bucket", "left").groupBy("bucket").agg(F.lit(0).alias("_"), *share).drop("_")
+    table = buckets.join(counts, "bucket", "left").groupBy("bucket").agg(F.count("n").alias("seen"), *share).drop("seen")
+    marks = spark.createDataFrame([(TEXT,), (NOTHING,)], "bucket int")
+    table = table.unionByName(marks.select("bucket", *(F.lit(0.0).alias(f"l{i}") for i in range(len(rows)))))
     prior = [float(np.log(r.texts / all_texts)) for r in rows]
     return Classifier([r.domain for r in rows], stored(table, "mix-classifier"), prior)
 
@@ -78,15 +85,14 @@ def memberships(docs: DataFrame, model: Classifier, *, id_col: str = "doc_id", t
     key = F.xxhash64(quoted(id_col), quoted(text_col)).alias("row")
     tokens = _tokens(docs, text_col, key)
     logs = [f"l{i}" for i in range(len(model.domains))]
-    is_word = F.col("word") != ""
     # the table has BUCKETS rows of MOST_DOMAINS numbers at most: 4 MB
     sums = (
         tokens.join(F.broadcast(model.table), "bucket")
         .groupBy("row")
         .agg(
-            F.sum(F.when(is_word, 0).otherwise(1)).alias("copies"),
-            F.sum(F.when(is_word, 1).otherwise(0)).alias("words"),
-            *(F.sum(F.when(is_word, F.col(c)).otherwise(0.0)).alias(c) for c in logs),
+            F.count_if(F.col("bucket") == TEXT).alias("copies"),
+            F.count_if(F.col("bucket") >= 0).alias("words"),
+            *(F.sum(c).alias(c) for c in logs),
         )
     )
     tokens_each = (F.col("words") / F.col("copies")).alias("tokens")

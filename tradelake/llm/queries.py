@@ -12,6 +12,8 @@ from tradelake.llm.common import read
 
 #: Key of the registered query's pseudonyms; a real run passes its own secret.
 PII_KEY = "registered query"
+#: Labelled documents that the domain classifier learns from at most.
+LABELLED = 20_000
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,9 +65,14 @@ def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def labelled_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``text`` and ``domain``, language and quality, of the documents that have a quality label."""
+    """``text`` and ``domain``, language and quality, of LABELLED documents that have a quality label.
+
+    They are those of the smallest id hashes; as their number is bounded, their labels are sent to
+    the texts and no text moves.
+    """
     labels = read(spark, sf_dir, "labels").where("doc_id IS NOT NULL AND quality IS NOT NULL")
     labels = labels.groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    labels = F.broadcast(labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED))
     quality = F.when(F.col("quality") > 0, "good").otherwise("poor")
     return (
         docs.select("doc_id", "text", "lang")

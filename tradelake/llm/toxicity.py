@@ -157,15 +157,15 @@ def fit(
 ) -> tuple[dict[int, int], Machine]:
     """The kept terms and the machine, fitted on at most ``sample`` labelled rows not held out.
 
-    The sample is the labelled ids of the smallest hashes; of an id with several labels the largest
-    counts.  Terms are counted by Spark; the kept ones are those that depend most on the label, so
+    The sample is the labelled ids of the smallest hashes, few enough to send to the texts; of an id
+    with several labels the largest counts.  Terms are counted by Spark; the kept ones are those that depend most on the label, so
     the driver sees SAMPLE short lists of kept terms and no text.
     """
     marked = labels.select(quoted(id_col).alias("id"), quoted(label_col).cast("int").alias("y"))
     marked = marked.where("id IS NOT NULL AND y IS NOT NULL").where(~is_held_out(F.col("id")))
     chosen = marked.groupBy("id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("id"), "id").limit(sample)
     texts = docs.select(quoted(id_col).alias("id"), quoted(text_col).cast("binary").alias("raw"))
-    rows = stored(_term_arrays(texts.join(chosen, "id")).select("y", "terms"), "toxic-terms")
+    rows = stored(_term_arrays(texts.join(F.broadcast(chosen), "id")).select("y", "terms"), "toxic-terms")
     n, positive = rows.agg(F.count("y"), F.sum((F.col("y") > 0).cast("long"))).first()
     if not n or not positive or positive == n:
         machine = Machine(0)
