@@ -8,6 +8,7 @@ import pytest
 
 from tests.rows import records
 from tradelake import schema as S
+from tradelake.operators.numbering import number_rows
 from tradelake.operators import ingest, quality
 from tradelake.sources import codelists
 from tradelake.sources.responses import (
@@ -119,6 +120,18 @@ def test_digits_beyond_doubles_survive(spark):
     assert r["trade_value_primary_value"] == D("12345678901234.123456789012345678")
 
 
+@pytest.mark.parametrize("value", ["0.1234567890123456789", "1e-19", "12.5e-18", '"1.0000000000000000001"'])
+def test_amounts_finer_than_the_column_are_rejected(spark, value):
+    (r,) = judged(spark, with_(qty="@").replace('"@"', value))
+    assert r["_reject_reason"] == "qty: more than 18 decimals"
+
+
+@pytest.mark.parametrize("value", ["0.1234567890123456780", "1e-18", "2500e-20", "1.5e3"])
+def test_trailing_zeros_are_no_digits(spark, value):
+    (r,) = judged(spark, with_(qty="@").replace('"@"', value))
+    assert r["_reject_reason"] is None and r["quantity_qty"] == D(value)
+
+
 def test_unknown_keys_become_provenance(spark):
     (r,) = judged(spark, with_(datasetCode=7, note={"a": [1, None]}))
     assert json.loads(r["provenance"]) == {"datasetCode": 7, "note": {"a": [1, None]}}
@@ -130,9 +143,13 @@ def test_envelopes_and_lists(spark, tmp_path):
     (tmp_path / "c d.json").write_text(json.dumps({"count": 0, "error": "none", "data": None}))
     (tmp_path / "e.json").write_text(json.dumps({"elapsed_seconds": 1.5}, indent=1))
     raw = read_responses(spark, str(tmp_path))
-    rows = sorted(records(ingest.accepted(ingest.parse_records(raw))), key=lambda r: r["_seq"])
-    assert [r["reporter_code"] for r in rows] == [1, 699, 699]
-    assert [r["_seq"] for r in rows] == [0, 1 << 40, (1 << 40) + 1]
+    good = ingest.accepted(ingest.parse_records(raw))
+    for start in (0, 100):
+        numbered = number_rows(good, f"{tmp_path}-numbered{start}", start)
+        rows = sorted(records(numbered), key=lambda r: r["_seq"])
+        assert [r["reporter_code"] for r in rows] == [1, 699, 699]
+        assert [r["_seq"] - start for r in rows] == [0, 1, 2]
+        assert [r["_src_pos"] for r in rows] == [0, 0, 1]
     kept = quality.first_wins(ingest.accepted(ingest.parse_records(raw)))
     assert kept.count() == 2
     heads = sorted(records(read_envelopes(spark, str(tmp_path))), key=lambda r: r["_src_file"])
@@ -158,15 +175,30 @@ def test_lines_keep_reading_order_over_splits(spark, tmp_path):
         raw = read_lines(spark, str(tmp_path))
         assert raw.rdd.getNumPartitions() > 10
         got = raw.selectExpr(
-            "_seq", "_src_file", "try_variant_get(rec, '$.n', 'int') as n"
-        ).orderBy("_seq").collect()
+            "_src_file", "_src_pos", "try_variant_get(rec, '$.n', 'int') as n", "_text"
+        )
+        got = number_rows(got, f"{tmp_path}-numbered").orderBy("_seq").collect()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert len({r["_seq"] for r in got}) == len(got) == 8002
     assert [r["n"] for r in got] == [*range(4000), None] * 2
+    assert [r["_seq"] for r in got] == list(range(8002))
+    assert {r["_text"] for r in got if r["n"] is None} == {"not json"}
     assert got[0]["_src_file"].endswith("p.jsonl")
 
 
+def test_a_response_may_be_larger_than_one_value(spark, tmp_path):
+    """As many records as the service gives at once, which no single variant holds."""
+    with open(tmp_path / "full.json", "w") as f:
+        f.write('{"count": 250000, "data": [')
+        f.write(",".join(with_(refMonth=1 + i % 12, pad="x" * 100) for i in range(250_000)))
+        f.write("]}")
+    raw = read_responses(spark, str(tmp_path))
+    months = raw.selectExpr("try_variant_get(rec, '$.refMonth', 'int') as m").groupBy("m").count()
+    assert sorted(r["count"] for r in months.collect())[0] >= 20_833
+    assert read_envelopes(spark, str(tmp_path)).first()["record_count"] == 250_000
+
+
 def test_revisions_and_scoped_duplicates(spark):
     from tests.rows import frame, row
 

@@ -125,6 +125,33 @@ def test_tables(spark, t):
     assert [tuple(r) for r in got.collect()] == [("M", 20), ("X", 20)]
 
 
+def test_overwriting_a_table_from_itself(spark, t):
+    datasets.write_table(t, "own_rows", overwrite=True)
+    datasets.write_table(datasets.read_table(spark, "own_rows").limit(7), "own_rows", overwrite=True)
+    assert datasets.read_table(spark, "own_rows").count() == 7
+    broken = t.withColumn("period", F.when(F.col("partner_code") > 0, F.raise_error(F.lit("broken"))))
+    with pytest.raises(Exception, match="broken"):
+        datasets.write_table(broken, "own_rows", overwrite=True)
+    assert datasets.read_table(spark, "own_rows").count() == 7
+
+
+def test_json_documents_open_by_path(spark, t, tmp_path):
+    flat = t.drop(S.SEQ)
+    rows = [json.loads(r) for r in flat.toJSON().collect()]
+    for name, text in (
+        ("wrapped", json.dumps({"schema_version": "1", "count": len(rows), "records": rows})),
+        ("pretty", json.dumps({"records": rows}, indent=1)),
+        ("bare", json.dumps(rows)),
+        ("lines", "\n".join(json.dumps(r) for r in rows)),
+    ):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "rows.json").write_text(text)
+        same(datasets.open_dataset(spark, str(tmp_path / name)).drop(S.SEQ), flat)
+    (tmp_path / "rows.json").write_text(json.dumps({"period": "2020"}))
+    with pytest.raises(Exception, match="no value in required column"):
+        datasets.open_dataset(spark, str(tmp_path / "rows.json")).collect()
+
+
 def test_nested_view_and_back(t):
     flat = t.drop(S.SEQ)
     same(flat.select(*S.nested_record()).select(*S.flat_record()), flat)
@@ -201,6 +228,35 @@ def test_merge_leaves_other_folders_alone(spark, stored):
     assert files(2022) == before
 
 
+def test_an_update_lists_the_batch_folders_only(spark, stored, monkeypatch):
+    read = []
+    scan = datasets.read_dataset
+
+    def watched(*a):
+        read.append(scan(*a))
+        return read[-1]
+
+    monkeypatch.setattr(datasets, "read_dataset", watched)
+    frames = []
+    inside = update._in_folders
+    monkeypatch.setattr(update, "_in_folders", lambda *a: frames.append(inside(*a)) or frames[-1])
+    update.update_dataset(small(spark, (2020, "27", 11, {})), stored)
+    plans = [f._jdf.queryExecution().executedPlan().toString() for f in frames]
+    assert len(plans) == 2 and "PartitionFilters: [" in plans[0] and "reporter_code" in plans[0]
+    assert "ref_year" in plans[1].split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_rows_added_later_are_numbered_later(spark, stored, tmp_path):
+    path = str(tmp_path / "registry")
+    update.update_dataset(small(spark, *BATCH), stored, mode="append", registry_path=path, name="d")
+    numbers = [r[S.SEQ] for r in datasets.open_dataset(spark, stored).collect()]
+    assert len(set(numbers)) == len(numbers) == 6
+    kept = update.first_wins(datasets.open_dataset(spark, stored))
+    assert (2020, "27", 1) in [(r["ref_year"], r["commodity_code"], int(r[S.VALUE])) for r in kept.collect()]
+    newest = registry.latest(spark, path, "d").first()
+    assert newest["record_count"] == 6 and newest["source_count"] == 3
+
+
 def test_a_row_may_move_to_another_folder(spark, stored):
     from pathlib import Path
 
@@ -253,6 +309,7 @@ def test_ingest_to_store(spark, tmp_path):
     assert (done.records_in, done.records_out) == (4, 2)
     assert done.counts == {"rejected": 1, "duplicates": 1}
     assert done.warnings == ["reporter_code: 2"]
+    assert sorted(r[S.SEQ] for r in datasets.open_dataset(spark, target).collect()) == [0, 1]
     assert registry.latest(spark, reg, "trade").first()["skipped"] == 2
     (wrong,) = spark.read.parquet(str(tmp_path / "bad")).collect()
     assert wrong["reason"].startswith("flowCode") and json.loads(wrong["record"])["flowCode"] == "DX"
@@ -323,3 +380,33 @@ def test_slices_check_their_arguments(t):
     assert [len(p) for p in coverage.pages([str(y) for y in range(1990, 2020)])] == [12, 12, 6]
     assert coverage.coverage_totals(
         coverage.grid_coverage(t, [1, 99], [2020], [100, 105])).first()["failed"] == 3
+
+
+def test_revisions_over_files_and_ingests(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    for n, (period, value) in enumerate(((1, 10), (2, 20))):
+        (source / f"{n}.json").write_text(json.dumps([json.loads(with_(refPeriodId=period, primaryValue=value))]))
+    for conflict, want in (("latest", 20), ("first", 10)):
+        target = str(tmp_path / conflict)
+        for _ in range(2):
+            done = pipeline.ingest(spark, str(source), target, conflict=conflict, mode="append")
+            assert done.status == pipeline.SUCCESS, done.errors
+        rows = datasets.open_dataset(spark, target).orderBy(S.SEQ).collect()
+        assert [(r[S.SEQ], int(r[S.VALUE])) for r in rows] == [(0, want), (1, want)]
+        assert update.first_wins(datasets.open_dataset(spark, target)).first()[S.SEQ] == 0
+    with pytest.raises(ValueError):
+        pipeline.ingest(spark, "x", "y", conflict="newest")
+
+
+def test_malformed_lines_keep_their_text(spark, tmp_path):
+    (tmp_path / "in.jsonl").write_text(with_() + "\n{broken\n")
+    pipeline.ingest(spark, str(tmp_path / "in.jsonl"), str(tmp_path / "out"), layout="lines",
+                    quarantine_path=str(tmp_path / "bad"))
+    (wrong,) = spark.read.parquet(str(tmp_path / "bad")).collect()
+    assert (wrong["record"], wrong["reason"]) == ("{broken", "malformed")
+
+
+def test_a_sink_without_an_action_does_not_hang(t):
+    done = pipeline.Pipeline("p", [pipeline.Stage("keep", lambda df: df)]).run(t, lambda df: df)
+    assert done.status == pipeline.SUCCESS and done.records_in is None and done.counts == {"keep": None}

@@ -138,6 +138,15 @@ def as_amount(token: str) -> str:
     return f"try_cast({_bare(token)} as {S.AMOUNT.simpleString()})"
 
 
+def _too_fine(token: str) -> str:
+    """An amount with a digit behind the last decimal of the column."""
+    plain = f"{_bare(token)} rlike '^[^eE]*[.][0-9]{{18}}0*[1-9]'"
+    behind = f"length(regexp_extract({token}, '[.]([0-9]*?)0*[eE]', 1))"
+    digits = f"if(contains({token}, '.'), {behind}, -length(regexp_extract({token}, '(0*)[eE]', 1)))"
+    power = f"try_cast(regexp_extract({token}, '[eE]([+-]?[0-9]+)', 1) as int)"
+    return f"({plain} or coalesce({digits} - {power} > 18, false))"
+
+
 def as_flag(token: str) -> str:
     """True or false, as a JSON value or spelled out; null for anything else (0 and 1 too)."""
     word = f"lower(trim({_bare(token)}))"
@@ -231,6 +240,7 @@ def _problems(field: RawField) -> list[tuple[str, str]]:
         out.append((f"{text} is not null and {value} is null", f"not a valid {field.kind}"))
         if field.kind == "amount":
             out.append((f"{value} < 0", "negative"))
+            out.append((_too_fine(text), "more than 18 decimals"))
     outside = _domain(field.column)
     if outside is not None:
         out.append((outside, "out of domain"))
@@ -282,15 +292,20 @@ def parse_records(raw: DataFrame, rec: str = "rec") -> DataFrame:
 
 def accepted(parsed: DataFrame, rec: str = "rec") -> DataFrame:
     """Good rows: canonical columns and the row number."""
-    kept = [c for c in (S.SEQ, "_src_file") if c in parsed.columns]
+    kept = [c for c in (S.SEQ, S.SOURCE_FILE, S.SOURCE_POSITION) if c in parsed.columns]
     return parsed.filter(F.col(REASON).isNull()).select(*S.COLUMNS, *kept)
 
 
 def quarantined(parsed: DataFrame, rec: str = "rec") -> DataFrame:
-    """Rejected rows: where they came from, the record as JSON text, and the reason."""
-    kept = [c for c in (S.SEQ, "_src_file") if c in parsed.columns]
+    """Rejected rows: where they came from, the record as JSON text, and the reason.
+
+    What is not JSON at all is kept as the text it was.
+    """
+    kept = [c for c in (S.SEQ, S.SOURCE_FILE, S.SOURCE_POSITION) if c in parsed.columns]
+    texts = [F.col(c) for c in ("_text",) if c in parsed.columns]
+    record = F.col(rec) if dict(parsed.dtypes)[rec] == "string" else F.to_json(F.col(rec))
     return parsed.filter(F.col(REASON).isNotNull()).select(
-        *kept, F.to_json(F.col(rec)).alias("record"), F.col(REASON).alias("reason")
+        *kept, F.coalesce(record, *texts).alias("record"), F.col(REASON).alias("reason")
     )
 
 

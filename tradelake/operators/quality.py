@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradelake.schema import COMPOSITE_KEY, SEQ, key_columns
+from tradelake.schema import COMPOSITE_KEY, SEQ, key_columns, reading_order
 
 _RANK = "_rank"
 
@@ -36,18 +36,18 @@ def first_wins(
     df: DataFrame,
     key: Sequence[str | Column] = COMPOSITE_KEY,
     *,
-    order: Sequence[str] = (SEQ,),
+    order: Sequence[str] | None = None,
     within: Sequence[str] = (),
 ) -> DataFrame:
     """Keep the earliest row per key.  ``within`` limits the rule, e.g. to one response file."""
-    return pick_one(df, [*key, *within], [F.col(c).asc() for c in order])
+    return pick_one(df, [*key, *within], [F.col(c).asc() for c in order or reading_order(df)])
 
 
 def last_wins(
     df: DataFrame,
     key: Sequence[str | Column] = COMPOSITE_KEY,
     *,
-    order: Sequence[str] = (SEQ,),
+    order: Sequence[str] | None = None,
     keep_position: bool = False,
 ) -> DataFrame:
     """Keep the latest read row per key.
@@ -55,7 +55,7 @@ def last_wins(
     With ``keep_position`` the row takes the row number at which its key was first met, so
     ordering by it gives first-seen key order.
     """
-    kept = pick_one(df, key, [F.col(c).desc() for c in order])
+    kept = pick_one(df, key, [F.col(c).desc() for c in order or reading_order(df)])
     if not keep_position:
         return kept
     names = [f"_k{i}" for i in range(len(key))]
@@ -75,12 +75,12 @@ def latest_wins(
     df: DataFrame,
     key: Sequence[str | Column] = COMPOSITE_KEY,
     *,
-    order: Sequence[str] = (SEQ,),
+    order: Sequence[str] | None = None,
 ) -> DataFrame:
     """Keep the row with the highest ``ref_period_id`` per key; absent is 0, ties go to the
     earlier row."""
     revision = F.coalesce(F.col("ref_period_id"), F.lit(0)).desc()
-    return pick_one(df, key, [revision, *[F.col(c).asc() for c in order]])
+    return pick_one(df, key, [revision, *[F.col(c).asc() for c in order or reading_order(df)]])
 
 
 def key_counts(df: DataFrame, key: Sequence[str | Column] = COMPOSITE_KEY) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradelake.operators.flow_totals import check_choice
+from tradelake.operators.numbering import next_number
 from tradelake.operators.quality import first_wins, last_wins
 from tradelake.schema import (
     COMPOSITE_KEY,
@@ -24,7 +25,7 @@ from tradelake.schema import (
     key_columns,
 )
 from tradelake.session import work_folder
-from tradelake.sources import datasets
+from tradelake.sources import datasets, registry
 
 MODES = ("append", "merge", "replace")
 DUPLICATES = ("keep_first", "keep_last")
@@ -72,14 +73,22 @@ def combine(existing: DataFrame, reduced: DataFrame, mode: str) -> DataFrame:
 
 
 def update_counts(existing: DataFrame, batch: DataFrame, reduced: DataFrame) -> DataFrame:
-    """One row: batch rows added, keys present on both sides, duplicate rows in the batch."""
-    old, new = keys_of(existing), keys_of(reduced)
-    shared = old.join(new, _same_key(old, new), "left_semi").agg(F.count(F.lit(1)))
-    added = reduced.agg(F.count(F.lit(1)))
-    return batch.agg(F.count(F.lit(1)).alias("_given")).select(
-        added.scalar().alias("records_added"),
-        shared.scalar().alias("records_merged"),
-        (F.col("_given") - added.scalar()).alias("duplicates_in_input"),
+    """One row: batch rows added, keys present on both sides, duplicate rows in the batch.
+
+    Rows of the three frames are tagged and grouped by key once.
+    """
+    sides = [
+        df.select(*[c.alias(f"_key_{n}") for c, n in zip(key_columns(), COMPOSITE_KEY)], F.lit(k).alias("_side"))
+        for k, df in enumerate((existing, batch, reduced))
+    ]
+    tagged = sides[0].unionByName(sides[1]).unionByName(sides[2])
+    rows = [F.count_if(F.col("_side") == k).alias(n) for k, n in enumerate(("_old", "_given", "_new"))]
+    by_key = tagged.groupBy(*[f"_key_{n}" for n in COMPOSITE_KEY]).agg(*rows)
+    total = lambda name: F.coalesce(F.sum(name), F.lit(0))
+    return by_key.agg(
+        total("_new").alias("records_added"),
+        F.count_if((F.col("_old") > 0) & (F.col("_new") > 0)).alias("records_merged"),
+        (total("_given") - total("_new")).alias("duplicates_in_input"),
     )
 
 
@@ -121,13 +130,16 @@ def update_dataset(
     schema_version: str = SCHEMA_VERSION,
     parser_name: str = "parse_records",
     compression: str | None = None,
+    registry_path: str | None = None,
+    name: str = "trade",
 ) -> UpdateResult:
     """Update a stored, partitioned dataset.
 
-    Only folders that hold a colliding row or receive a new one are rewritten; the rest of the
-    dataset is not read beyond its key columns.  A key may sit under another year or frequency
-    than the batch row replacing it, so the folders to rewrite are found by the key, with the
-    reporter (part of both) pruning the scan.
+    Only folders that hold a colliding row or receive a new one are read whole and rewritten.  A
+    key may sit under another year or frequency than the batch row replacing it, so those folders
+    are found by the key columns of the batch's reporters, in one pass that also counts the keys
+    on both sides.  Rows of the batch are numbered on from the last stored number.  With
+    ``registry_path`` a provenance row tells the new record count.
 
     The new content of those folders is written aside first, since a folder cannot be read and
     overwritten by one job, and moved in with a dynamic partition overwrite.  A folder whose
@@ -154,43 +166,75 @@ def update_dataset(
             n = reduced.count()
             return UpdateResult(mode, n, 0, given.count() - n, path)
         existing = datasets.read_dataset(spark, path, fmt)
-        if SEQ in reduced.columns and SEQ not in existing.columns:
+        if SEQ in reduced.columns and SEQ in existing.columns:
+            reduced = reduced.withColumn(SEQ, F.col(SEQ) + F.lit(next_number(existing)))
+        elif SEQ in reduced.columns:
             existing = existing.withColumn(SEQ, F.lit(None).cast("bigint"))
-        elif SEQ in existing.columns and SEQ not in reduced.columns:
+        elif SEQ in existing.columns:
             reduced = reduced.withColumn(SEQ, F.lit(None).cast("bigint"))
-        counts = update_counts(existing, given, reduced).first()
+        # the stored rows with a key of the batch, by reporter folders and key columns only
+        keys = keys_of(reduced)
+        mine = _in_folders(existing, _partitions(reduced).select("reporter_code").distinct())
+        here = _with_key(mine.select(*dict.fromkeys([*PARTITION_COLUMNS, *COMPOSITE_KEY])))
+        here.join(keys, _same_key(here, keys), "left_semi").select(
+            *PARTITION_COLUMNS, *[f"_key_{n}" for n in COMPOSITE_KEY]
+        ).distinct().write.parquet(f"{stage}/colliding")
+        colliding = spark.read.parquet(f"{stage}/colliding")
+        merged = colliding.select(*[f"_key_{n}" for n in COMPOSITE_KEY]).distinct().count()
+        added, total = reduced.count(), given.count()
         if mode == "append":
             datasets.write_dataset(reduced, path, fmt, mode="append", compression=compression)
         else:
-            _rewrite(spark, existing, reduced, path, fmt, stage, compression)
+            _rewrite(spark, existing, colliding, reduced, path, fmt, stage, compression)
+        if registry_path is not None:
+            registry.register(
+                spark,
+                registry_path,
+                dataset_name=name,
+                record_count=datasets.read_dataset(spark, path, fmt).count(),
+                destination=path,
+                backend=fmt,
+                parser_name=parser_name,
+                duplicates_removed=total - added,
+                source_count=total,
+            )
     finally:
         datasets.delete_path(spark, stage)
-    return UpdateResult(
-        mode,
-        counts["records_added"],
-        counts["records_merged"],
-        counts["duplicates_in_input"],
-        path,
-    )
+    return UpdateResult(mode, added, merged, total - added, path)
+
+
+#: Longest list of values a scan is pruned by; more of them touch most folders anyway, and the
+#: join behind the filter is exact either way.
+PRUNED_BY = 1000
+
+
+def _in_folders(df: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of ``df`` in wanted folders; as far as the lists are short, only those are read."""
+    for column in wanted.columns:
+        values = [r[0] for r in wanted.select(column).distinct().limit(PRUNED_BY + 1).collect()]
+        if len(values) <= PRUNED_BY:
+            df = df.filter(F.col(column).isin(values))
+    names = df.columns
+    return df.join(wanted, wanted.columns, "left_semi").select(*names)
 
 
 def _rewrite(
     spark: SparkSession,
     existing: DataFrame,
+    colliding: DataFrame,
     reduced: DataFrame,
     path: str,
     fmt: str,
     stage: str,
     compression: str | None,
 ) -> None:
-    keys = keys_of(reduced)
-    here = _with_key(existing.select(*dict.fromkeys([*PARTITION_COLUMNS, *COMPOSITE_KEY])))
-    colliding = _partitions(here.join(keys, _same_key(here, keys), "left_semi"))
-    _partitions(colliding.unionByName(_partitions(reduced))).write.parquet(f"{stage}/folders")
+    _partitions(_partitions(colliding).unionByName(_partitions(reduced))).write.parquet(
+        f"{stage}/folders"
+    )
     folders = spark.read.parquet(f"{stage}/folders")
 
-    affected = existing.join(folders, list(PARTITION_COLUMNS), "left_semi")
-    combine(affected.select(*existing.columns), reduced, "merge").write.parquet(f"{stage}/rows")
+    affected = _in_folders(existing, folders)
+    combine(affected, reduced, "merge").write.parquet(f"{stage}/rows")
     rows = spark.read.parquet(f"{stage}/rows")
 
     datasets.write_dataset(

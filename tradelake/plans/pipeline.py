@@ -14,9 +14,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tradelake.operators.flow_totals import check_choice
-from tradelake.operators.ingest import REASON, accepted, parse_records
+from tradelake.operators.ingest import REASON, accepted, parse_records, quarantined
+from tradelake.operators.numbering import next_number, number_rows
 from tradelake.operators.quality import dataset_warnings, first_wins, latest_wins
-from tradelake.schema import SEQ
 from tradelake.session import work_folder
 from tradelake.sources import datasets, registry
 from tradelake.sources.responses import read_lines, read_responses
@@ -35,12 +35,15 @@ class Stage:
 @dataclass
 class PipelineResult:
     status: str
-    records_in: int = 0
-    records_out: int = 0
+    #: Row counts; None where the sink ran no action that would have counted.
+    records_in: int | None = 0
+    records_out: int | None = 0
     errors: list[str] = field(default_factory=list)
     warnings: list[str] = field(default_factory=list)
     failed_stage: str | None = None
-    counts: dict[str, int] = field(default_factory=dict)
+    counts: dict[str, int | None] = field(default_factory=dict)
+    #: What made the run fail.
+    cause: Exception | None = None
 
 
 class Pipeline:
@@ -74,7 +77,7 @@ class Pipeline:
                 df = df.transform(stage.run)
             except Exception as exc:
                 return PipelineResult(
-                    FAILED, errors=[f"{stage.name}: {exc}"], failed_stage=stage.name
+                    FAILED, errors=[f"{stage.name}: {exc}"], failed_stage=stage.name, cause=exc
                 )
             seen = Observation(f"{self.name}-{stage.name}")
             df = df.observe(seen, count)
@@ -82,20 +85,27 @@ class Pipeline:
         try:
             sink(df)
         except Exception as exc:
-            return PipelineResult(FAILED, errors=[f"sink: {exc}"], failed_stage="sink")
-        counts = {name: seen.get["n"] for name, seen in watched}
+            return PipelineResult(FAILED, errors=[f"sink: {exc}"], failed_stage="sink", cause=exc)
+        spark = source.sparkSession
+        counts = {name: observed(spark, seen) for name, seen in watched}
         return PipelineResult(
-            SUCCESS, given.get["n"], counts[self.stages[-1].name], counts=counts
+            SUCCESS, observed(spark, given), counts[self.stages[-1].name], counts=counts
         )
 
 
-def to_dataset(raw: DataFrame, *, order: Sequence[str] = (SEQ,)) -> DataFrame:
+def observed(spark: SparkSession, seen: Observation) -> int | None:
+    """The row count an observation has taken, None if no action ran that would have fired it."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    return seen.get["n"] if seen._jo.future().isCompleted() else None
+
+
+def to_dataset(raw: DataFrame, *, order: Sequence[str] | None = None) -> DataFrame:
     """Raw records of one parse call to a clean table: good rows, first row per key."""
     return first_wins(accepted(parse_records(raw)), order=order)
 
 
 def resolve(
-    records: DataFrame, *, conflict: str = "latest", order: Sequence[str] = (SEQ,)
+    records: DataFrame, *, conflict: str = "latest", order: Sequence[str] | None = None
 ) -> DataFrame:
     """Clean records, possibly from several parse calls, to one table.
 
@@ -115,20 +125,26 @@ def ingest(
     layout: str = "responses",
     fmt: str = "parquet",
     mode: str = "error",
+    conflict: str = "latest",
     quarantine_path: str | None = None,
     registry_path: str | None = None,
     compression: str | None = None,
 ) -> PipelineResult:
     """Read saved responses, keep clean rows, store them, and record what happened.
 
+    Each file is one parse call: the first row of a key in it stays.  Between files ``conflict``
+    decides: ``latest`` keeps a key's newest revision, ``first`` the row read first.  Rows are
+    numbered in reading order, from where the numbers of a dataset that is appended to end.
+
     Parsed rows and clean rows are each written once to the shared work folder and read back,
     so the text is parsed a single time however many outputs are made of it, and a lost executor
     costs one stage at most.
     """
     check_choice("layout", layout, ("responses", "lines"))
+    check_choice("conflict", conflict, ("latest", "first"))
     reader = read_responses if layout == "responses" else read_lines
     work = f"{work_folder(spark).rstrip('/')}/ingest-{uuid.uuid4().hex}"
-    parse_seen, store_seen = Observation(f"{name}-parse"), Observation(f"{name}-store")
+    parse_seen = Observation(f"{name}-parse")
     rows = F.count(F.lit(1))
     try:
         parsed = parse_records(reader(spark, source_paths)).withColumn("rec", F.to_json("rec"))
@@ -138,26 +154,25 @@ def ingest(
             F.count_if(F.col(REASON).isNotNull()).alias("rejected"),
         ).write.parquet(f"{work}/parsed")
         stored = spark.read.parquet(f"{work}/parsed")
-        first_wins(accepted(stored)).observe(store_seen, rows.alias("n")).write.parquet(
-            f"{work}/clean"
-        )
-        clean = spark.read.parquet(f"{work}/clean")
+        good = accepted(stored)
+        single = latest_wins(first_wins(good, within=("_src_file",))) if conflict == "latest" else first_wins(good)
+        going_on = mode == "append" and datasets.path_exists(spark, target)
+        start = next_number(datasets.read_dataset(spark, target, fmt)) if going_on else 0
+        single.write.parquet(f"{work}/single")
+        clean = number_rows(spark.read.parquet(f"{work}/single"), f"{work}/clean", start)
+        written = clean.count()
         warnings = [
             f"{w['aspect']}: {w['found']}" for w in dataset_warnings(clean).collect()
         ]
         datasets.write_dataset(clean, target, fmt, mode=mode, compression=compression)
         if quarantine_path is not None:
-            rejected = stored.filter(F.col(REASON).isNotNull())
-            rejected.select(
-                SEQ, "_src_file", F.col("rec").alias("record"), F.col(REASON).alias("reason")
-            ).write.mode("append").parquet(quarantine_path)
+            quarantined(stored).write.mode("append").parquet(quarantine_path)
     except Exception as exc:
-        return PipelineResult(FAILED, errors=[str(exc)], failed_stage="ingest")
+        return PipelineResult(FAILED, errors=[str(exc)], failed_stage="ingest", cause=exc)
     finally:
         if datasets.path_exists(spark, work):
             datasets.delete_path(spark, work)
     given, rejected_count = parse_seen.get["given"], parse_seen.get["rejected"]
-    written = store_seen.get["n"]
     if registry_path is not None:
         registry.register(
             spark,

@@ -15,9 +15,12 @@ SCHEMA_VERSION = "1.0.0"
 
 AMOUNT = T.DecimalType(38, 18)
 
-#: Row number in reading order.  Rows of one file are consecutive, files follow path order.
+#: Row number in reading order; a later ingest or update goes on where the stored numbers end.
 SEQ = "_seq"
 
+#: Where a record was read: its file, and its place in it.  Files follow path order.
+SOURCE_FILE, SOURCE_POSITION = "_src_file", "_src_pos"
+
 VALUE = "trade_value_primary_value"
 
 
@@ -120,6 +123,13 @@ def key_columns(key: tuple[str, ...] = COMPOSITE_KEY) -> list[Column]:
     ]
 
 
+def reading_order(df: DataFrame) -> tuple[str, ...]:
+    """The columns that order rows as they were read: the row number, or file and place."""
+    if SEQ not in df.columns and SOURCE_POSITION in df.columns:
+        return (SOURCE_FILE, SOURCE_POSITION)
+    return (SEQ,)
+
+
 def sequence_or_zero(df: DataFrame) -> Column:
     """The reading-order column, or a constant for frames that do not carry one."""
     return F.col(SEQ) if SEQ in df.columns else F.lit(0).cast("bigint")

@@ -20,8 +20,8 @@ from tradelake.schema import (
     COMMODITY_PATTERN,
     FLOW_CODES,
     FREQUENCY_CODES,
-    SEQ,
     TOTAL_COMMODITY,
+    reading_order,
 )
 from tradelake.sources.responses import read_responses
 
@@ -96,8 +96,9 @@ class CodeList:
     key: tuple[str, ...]
     valid: Column
 
-    def parse(self, records: DataFrame, *, order: Sequence[str] = (SEQ,)) -> DataFrame:
+    def parse(self, records: DataFrame, *, order: Sequence[str] | None = None) -> DataFrame:
         """Valid entries, first per key, from a frame with ``rec``."""
+        order = order or reading_order(records)
         shaped = records.select(*order, *[c.alias(n) for n, c in self.columns.items()])
         good = shaped.filter(F.coalesce(self.valid, F.lit(False)))
         kept = pick_one(good, list(self.key), [F.col(c).asc() for c in order])

@@ -7,13 +7,16 @@ over several tasks and files instead of going through one.
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradelake.schema import CANONICAL, FILE_ORDER, PARTITION_COLUMNS, SEQ, as_canonical
+from tradelake.session import work_folder
 
 FORMATS = ("csv", "json", "parquet")
 _SUFFIXES = {".csv": "csv", ".json": "json", ".parquet": "parquet", ".pq": "parquet"}
@@ -36,7 +39,7 @@ def file_order():
 
 def canonical_order(df: DataFrame) -> DataFrame:
     """The whole table in stored order (text order, so ``"10"`` sorts before ``"9"``)."""
-    return df.orderBy(*file_order())
+    return df.orderBy(*file_order(), *([SEQ] if SEQ in df.columns else []))
 
 
 def spread(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
@@ -122,7 +125,22 @@ def read_dataset(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFr
         df = reader.load(path)
         has_seq = SEQ in df.columns
     picked = [F.col(f.name).cast(f.dataType).alias(f.name) for f in CANONICAL]
-    return df.select(*picked, *([SEQ] if has_seq else []))
+    return df.select(*(_present() if fmt == "json" else picked), *([SEQ] if has_seq else []))
+
+
+def _present() -> list[Column]:
+    """The canonical columns; a required one without a value is an error, not a null.
+
+    Columns that name folders stay bare, so that filters on them still choose folders.
+    """
+    return [
+        F.col(f.name).cast(f.dataType).alias(f.name)
+        if f.nullable or f.name in PARTITION_COLUMNS
+        else F.coalesce(
+            F.col(f.name).cast(f.dataType), F.raise_error(F.lit(f"no value in required column {f.name}"))
+        ).alias(f.name)
+        for f in CANONICAL
+    ]
 
 
 def read_json_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -145,7 +163,7 @@ def read_json_documents(spark: SparkSession, path: str) -> DataFrame:
         F.when(~bare, F.col("value")), T.StructType([T.StructField("records", rows)]), options
     )["records"]
     unfolded = text.select(F.inline(F.coalesce(listed, wrapped)))
-    return unfolded.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in CANONICAL])
+    return unfolded.select(*_present())
 
 
 # -- finding out what is stored ---------------------------------------------------------------
@@ -201,8 +219,20 @@ def detect_format(spark: SparkSession, path: str) -> str:
 
 
 def open_dataset(spark: SparkSession, path: str) -> DataFrame:
-    """Read whatever format is stored at a path."""
-    return read_dataset(spark, path, detect_format(spark, path))
+    """Read whatever format is stored at a path; JSON as lines of rows or as whole documents."""
+    fmt = detect_format(spark, path)
+    if fmt == "json" and not _starts_with_a_row(spark, path):
+        return read_json_documents(spark, path)
+    return read_dataset(spark, path, fmt)
+
+
+def _starts_with_a_row(spark: SparkSession, path: str) -> bool:
+    """Whether the first line that is not blank opens an object with a canonical column."""
+    lines = spark.read.option("recursiveFileLookup", "true").text(path)
+    lines = lines.filter(~F.col("_metadata.file_path").endswith(".meta.json"))
+    first = lines.filter("trim(value) <> ''").select(F.substring("value", 1, 200)).first()
+    key = re.match(r'\s*\{\s*"([^"]+)"', first[0]) if first else None
+    return first is None or (key is not None and key[1] in stored_schema().names)
 
 
 # -- tables -----------------------------------------------------------------------------------
@@ -215,15 +245,29 @@ def write_table(
     overwrite: bool = False,
     partition_by: Sequence[str] = PARTITION_COLUMNS,
 ) -> None:
-    """Append to a catalog table, or replace it with ``overwrite``."""
+    """Append to a catalog table, or replace it with ``overwrite``.
+
+    A replacement is written whole to the shared work folder first, so the rows may come from the
+    table itself, and rows that fail to compute leave it as it was.  Should moving the finished rows
+    in break off, they stay in that folder, which the error names.
+    """
     spark = df.sparkSession
     out = spread(as_canonical(df), partition_by)
-    if overwrite:
-        spark.sql(f"drop table if exists {table}")
-    elif spark.catalog.tableExists(table):
+    exists = spark.catalog.tableExists(table)
+    if exists and not overwrite:
         out.select(*spark.table(table).columns).write.insertInto(table)
         return
-    out.write.format("parquet").partitionBy(*partition_by).saveAsTable(table)
+    if not exists:
+        out.write.format("parquet").partitionBy(*partition_by).saveAsTable(table)
+        return
+    stage = f"{work_folder(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    out.write.parquet(stage)
+    rows = spark.read.schema(out.schema).parquet(stage).select(*spark.table(table).columns)
+    try:
+        rows.write.option("partitionOverwriteMode", "static").insertInto(table, overwrite=True)
+    except Exception as exc:
+        raise StorageError(f"{table} may be incomplete; its new rows are kept at {stage}") from exc
+    delete_path(spark, stage)
 
 
 def read_table(spark: SparkSession, table: str) -> DataFrame:

@@ -1,25 +1,24 @@
 """Saved responses: JSON files holding raw trade records.
 
 Two layouts are read.  *Envelopes* are whole JSON documents, either ``{"data": [...], ...}`` or
-a bare list; one response is one row before its records are taken apart, which is fine because
-a response is bounded by the service.  *Lines* hold one record per line and can be split at any
-size, which is the layout for volume.
+a bare list; each record becomes a variant of its own, so only the text of one response has to fit
+a row.  *Lines* hold one record per line and can be split at any size, which is the layout for
+volume.
 
-Both give ``_src_file``, ``_seq`` (reading order over all files) and ``rec``, the record as a
-variant, which keeps every digit and the kind of each value.
+Both give ``_src_file`` and ``_src_pos``, the file and the place in it, which together are the
+reading order, ``rec``, the record as a variant, which keeps every digit and the kind of each
+value, and ``_text``, the text of what is not JSON.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradelake.schema import SEQ
+from tradelake.schema import SOURCE_FILE, SOURCE_POSITION
 
-#: Room for positions inside one file: a row number is ``file * 2**40 + position``.
-POSITION_BITS = 40
 _ROW_MASK = (1 << 33) - 1
 
 
@@ -27,105 +26,81 @@ def _paths(paths: str | Sequence[str]) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
-def file_numbers(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Number the files in path order.  Only names are listed, no content is read."""
-    names = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(_paths(paths))
-        .select(F.col("_metadata.file_path").alias("_src_file"))
-    )
-    return names.withColumn("_file_no", F.row_number().over(Window.orderBy("_src_file")) - 1)
-
-
 def _documents(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    text = (
+    return (
         spark.read.option("recursiveFileLookup", "true")
         .text(_paths(paths), wholetext=True)
-        .select(F.col("_metadata.file_path").alias("_src_file"), "value")
+        .select(F.col("_metadata.file_path").alias(SOURCE_FILE), "value")
     )
-    return text.select("_src_file", F.try_parse_json("value").alias("doc"))
 
 
-def _kind(value: Column) -> Column:
-    """``ARRAY``, ``OBJECT`` or a scalar kind; null for an absent value."""
-    return F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
+def _opened(text: Column, items: str, *more: str) -> Column:
+    """A document as a struct: its list as ``data`` (``items`` each), ``more`` of its fields.
 
-
-def record_list(doc: Column) -> Column:
-    """The records of a document as an array of variants.
-
-    No or null ``data`` is no records; anything but a list there is an error.
+    No or null ``data`` is no records; text that is no JSON, or anything but a list there, is an
+    error.
     """
-    data = F.try_variant_get(doc, "$.data", "variant")
-    is_list, is_object = _kind(doc) == "ARRAY", _kind(doc) == "OBJECT"
-    no_data = is_object & (data.isNull() | (_kind(data) == "VOID"))
-    as_list = "array<variant>"
-    return (
-        F.when(is_list, F.try_variant_get(doc, "$", as_list))
-        .when(no_data, F.array().cast(as_list))
-        .when(is_object & (_kind(data) == "ARRAY"), F.try_variant_get(data, "$", as_list))
-        .otherwise(F.raise_error(F.lit("a response needs a list of records")).cast(as_list))
-    )
+    kind = ", ".join([f"data array<{items}>", *(f"{m} variant" for m in more), "_bad string"])
+    options = {"columnNameOfCorruptRecord": "_bad"}
+    bare = F.ltrim(text).startswith("[")
+    listed = F.from_json(F.when(bare, text), f"array<{items}>")
+    wrapped = F.from_json(F.when(~bare, text), kind, options)
+    bad = F.when(bare, listed.isNull()).otherwise(wrapped["_bad"].isNotNull() | wrapped.isNull())
+    data = F.when(bad, F.raise_error(F.lit("a response needs a list of records"))).when(bare, listed)
+    data = data.otherwise(F.coalesce(wrapped["data"], F.array().cast(f"array<{items}>")))
+    return F.struct(data.alias("data"), *(wrapped[m].alias(m) for m in more))
 
 
 def read_responses(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Records of whole-document responses in reading order."""
+    """Records of whole-document responses."""
     documents = _documents(spark, paths)
-    records = documents.select(
-        "_src_file", F.posexplode(record_list(F.col("doc"))).alias("_pos", "rec")
+    records = _opened(F.col("value"), "variant")["data"]
+    return documents.select(
+        SOURCE_FILE, F.posexplode(records).alias(SOURCE_POSITION, "rec")
+    ).select(
+        SOURCE_FILE,
+        F.col(SOURCE_POSITION).cast("bigint").alias(SOURCE_POSITION),
+        "rec",
+        F.lit(None).cast("string").alias("_text"),
     )
-    return _numbered(spark, paths, records, len(documents.inputFiles()))
 
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Records of line-delimited files; a line that is not JSON has a null record.
+    """Records of line-delimited files; a line that is not JSON has a null record and its text.
 
     The position is the byte offset of the split plus the row index inside the task.  A full
     split has a task to itself, so positions of one file never run into the next split.
     """
     lines = spark.read.option("recursiveFileLookup", "true").text(_paths(paths))
-    records = (
+    rec = F.try_parse_json("value")
+    return (
         lines.select(
-            F.col("_metadata.file_path").alias("_src_file"),
+            F.col("_metadata.file_path").alias(SOURCE_FILE),
             (
                 F.col("_metadata.file_block_start")
                 + F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_MASK))
-            ).alias("_pos"),
+            ).alias(SOURCE_POSITION),
             "value",
         )
         .filter(F.length(F.trim("value")) > 0)
-        .select("_src_file", "_pos", F.try_parse_json("value").alias("rec"))
+        .select(SOURCE_FILE, SOURCE_POSITION, rec.alias("rec"), "value")
+        .select(SOURCE_FILE, SOURCE_POSITION, "rec", F.when(F.col("rec").isNull(), F.col("value")).alias("_text"))
     )
-    return _numbered(spark, paths, records, len(lines.inputFiles()))
-
-
-#: File lists up to this length are broadcast (a path takes some 150 bytes, so 30 MB).
-BROADCAST_FILES = 200_000
-
-
-def _numbered(spark: SparkSession, paths, records: DataFrame, file_count: int) -> DataFrame:
-    """Attach row numbers.  Records are not moved unless the file list is too long to ship."""
-    names = file_numbers(spark, paths)
-    if file_count <= BROADCAST_FILES:
-        names = F.broadcast(names)
-    number = F.shiftleft(F.col("_file_no").cast("bigint"), POSITION_BITS) + F.col("_pos")
-    return records.join(names, "_src_file").select("_src_file", number.alias(SEQ), "rec")
 
 
 def read_envelopes(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """One row per response: declared count, error text, elapsed seconds, records held."""
-    doc = F.col("doc")
+    doc = _opened(F.col("value"), "string", "count", "error", "elapsed_seconds").alias("doc")
 
     def part(name: str, kind: str) -> Column:
-        return F.when(_kind(doc) == "OBJECT", F.try_variant_get(doc, f"$.{name}", kind))
+        return F.try_variant_get(F.col("doc")[name], "$", kind)
 
-    return _documents(spark, paths).select(
-        "_src_file",
+    return _documents(spark, paths).select(SOURCE_FILE, doc).select(
+        SOURCE_FILE,
         F.coalesce(part("count", "bigint"), F.lit(0)).alias("declared_count"),
         F.coalesce(part("error", "string"), F.lit("")).alias("error"),
         F.coalesce(part("elapsed_seconds", "double"), F.lit(0.0)).alias("elapsed_seconds"),
-        F.size(record_list(doc)).cast("bigint").alias("record_count"),
+        F.size("doc.data").cast("bigint").alias("record_count"),
     )
 
 
