@@ -28,8 +28,10 @@ from tradelake.operators import (  # noqa: E402
     partner,
     quality,
     timeseries,
+    update,
 )
 from tradelake.operators.query import Query  # noqa: E402
+from tradelake.plans import pipeline  # noqa: E402
 from tradelake.schema import SEQ  # noqa: E402
 from tradelake.session import local_session  # noqa: E402
 from tradelake.sources import datasets, fixtures  # noqa: E402
@@ -77,32 +79,23 @@ def timed(call, runs: int) -> float:
     return statistics.median(spent)
 
 
+def once(call):
+    started = time.perf_counter()
+    call()
+    return time.perf_counter() - started
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cores = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     work = tempfile.mkdtemp(prefix="bench-")
-    spark = local_session(cores, **{"spark.sql.warehouse.dir": f"{work}/warehouse"})
+    folders = {"spark.sql.warehouse.dir": f"{work}/warehouse", "spark.checkpoint.dir": f"{work}/shared"}
+    spark = local_session(cores, **folders)
 
     stored = f"{work}/trade"
     fresh = iter(range(10**6))
-    table = fixtures.trade_table(spark, sf_dir).withColumns(
-        {
-            "quantity_qty_unit_code": F.lit(-1),
-            "legacy_estimation_flag": F.lit(0),
-            **{
-                name: F.lit(False)
-                for name in (
-                    "quantity_is_estimated",
-                    "quantity_is_alt_qty_estimated",
-                    "is_net_weight_estimated",
-                    "is_gross_weight_estimated",
-                    "is_reported",
-                    "is_aggregate",
-                )
-            },
-        }
-    )
+    table = fixtures.full_table(spark, sf_dir)
     started = time.perf_counter()
     datasets.write_dataset(table, stored, partition_by=("reporter_code",))
     build = time.perf_counter() - started
@@ -124,10 +117,19 @@ def main() -> None:
 
     def parse():
         parsed = ingest.parse_records(read_lines(spark, raw))
-        kept = ingest.accepted(parsed).drop(SEQ, "_src_file")
+        kept = ingest.accepted(parsed).drop("_src_file", "_src_pos")
         kept.write.format("noop").mode("overwrite").save()
 
     queries["parse_records"] = timed(parse, 1)
+
+    # the default layout, an update of it, and a whole ingest; timed once, as each leaves a dataset
+    layout = f"{work}/layout"
+    queries["write_parquet_layout"] = once(lambda: datasets.write_dataset(t, layout))
+    batch = t.filter("ref_year >= 2000").withColumn(SEQ, F.col(SEQ) + 1)
+    queries["update_merge"] = once(lambda: update.update_dataset(batch, layout))
+    queries["ingest_lines"] = once(
+        lambda: pipeline.ingest(spark, raw, f"{work}/ingested", layout="lines")
+    )
     result = {
         "metric": "headline_total",
         "value": round(sum(queries.values()), 3),

@@ -887,5 +887,73 @@ def source_sql() -> dict[str, str]:
     }
 
 
+def text(expression: str, name: str, scale: int = 2) -> str:
+    return f"cast(cast({expression} as decimal(38,{scale})) as varchar) as {name}"
+
+
+def storage_sql() -> dict[str, str]:
+    rows = f"{KEY_SHOWN}, seq as _seq, {text('v', 'value')}"
+    numbered = (
+        "numbered as (select * replace (seq + (select max(seq) + 1 from existing) as seq) from reduced)"
+    )
+    first_rows = f"kept as ({pick('good', 'seq, exact, qty', KEY)})"
+    return {
+        "store_formats": q(
+            f"""select f.format, reporter_code, ref_year, frequency_code,
+            {big("count(*)", "record_count")}, {text("sum(v)", "value")}, {text("sum(fob)", "fob", 4)},
+            {text("sum(seq)", "numbers", 0)}
+            from trade, (select unnest(['csv', 'json', 'parquet', 'table']) as format) f group by all"""
+        ),
+        "stored_partition": q(
+            f"""select partner_code, commodity_code, seq as _seq, {dbl("v", "value")} from trade
+            where reporter_code = 15 and ref_year = 1997 and frequency_code = 'A'"""
+        ),
+        "stored_merge": q(
+            f"""select {rows} from (select * from existing e where not exists
+              (select 1 from reduced b where {JOIN_KEY}) union all select * from numbered)""",
+            BATCH,
+            numbered,
+        ),
+        "stored_append": q(
+            f"select {rows} from (select * from existing union all select * from numbered)",
+            BATCH,
+            numbered,
+        ),
+        "stored_update_counts": record_sql()["update_counts"],
+        "stored_reports": f"""select *, (select count(*) from lineitem) as dataset_rows,
+            'parse_records' as parser_name, '1.0.0' as schema_version
+            from ({report_sql()["country_balance"]}) balances""",
+        "ingest_twice": q(
+            """select 2 * count(*) as row_count, 2 * count(*) as number_count, 0::bigint as first_number,
+            2 * count(*) as next_number, count(*) as first_of_first, count(*) as last_of_second from kept""",
+            PARSED,
+            first_rows,
+        ),
+        "ingest_latest": q(
+            """select reporter_code, count(*) as record_count, count(*) as revised from kept
+            group by reporter_code""",
+            PARSED,
+            first_rows,
+        ),
+        "read_documents": q(
+            """select reporter_code, count(*) as record_count, (select count(*) from lineitem) as held,
+            0::bigint as off from good group by reporter_code""",
+            PARSED,
+        ),
+        "exact_text": q(
+            """select partner_code, cast(cast(coalesce(sum(case when flow_code = 'X' then v end), 0)
+              - coalesce(sum(case when flow_code = 'M' then v end), 0) as decimal(38,18))
+              + sum(case when flow_code = 'X' then cast('0.000000000000000001' as decimal(38,18))
+                else cast(0 as decimal(38,18)) end) as varchar) as net_trade
+            from trade where reporter_code = 15 and flow_code in ('X', 'M') group by partner_code"""
+        ),
+        "custom_metric": q(
+            f"""select {dbl("max(v) - min(v)", "spread")},
+            {dbl("coalesce(sum(cif), 0) - coalesce(sum(fob), 0)", "margin")},
+            2 * count(*) as twice from trade"""
+        ),
+    }
+
+
 def all_sql() -> dict[str, str]:
-    return {**report_sql(), **query_sql(), **record_sql(), **source_sql()}
+    return {**report_sql(), **query_sql(), **record_sql(), **source_sql(), **storage_sql()}

@@ -59,16 +59,6 @@ HAS_YEAR = "^[0-9]{4}"
 HAS_MONTH = "^[0-9]{4}(0[1-9]|1[0-2])"
 
 
-def period_year(period: Column) -> Column:
-    """Calendar year of ``YYYY`` or ``YYYYMM`` text, null when there are fewer than 4 digits."""
-    return F.when(period.rlike(HAS_YEAR), F.substring(period, 1, 4).cast("int"))
-
-
-def period_month(period: Column) -> Column:
-    """Month 1..12 of ``YYYYMM`` text, null for annual or out-of-range periods."""
-    return F.when(period.rlike(HAS_MONTH), F.substring(period, 5, 2).cast("int"))
-
-
 def section_of(chapter: Column) -> Column:
     """Section id of a chapter; chapters outside the nomenclature (or null) are unknown."""
     out = F

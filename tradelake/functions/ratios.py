@@ -32,3 +32,17 @@ def compound_growth(first: Column, last: Column, years: Column) -> Column:
         .when((first == 0) & (last == 0), F.lit(0.0))
         .when((first > 0) & (quotient > 0), rate)
     )
+
+
+#: One digit less before the point, so that a sum of two keeps all 18 decimals.
+_TERM = "decimal(37,18)"
+
+
+def plus(left: Column, right: Column) -> Column:
+    """Exact sum of two amounts; decimal addition by itself would drop the last decimal."""
+    return left.cast(_TERM) + right.cast(_TERM)
+
+
+def minus(left: Column, right: Column) -> Column:
+    """Exact difference of two amounts."""
+    return left.cast(_TERM) - right.cast(_TERM)

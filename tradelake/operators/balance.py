@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradelake.operators.flow_totals import label_frame, top, totals_by
+from tradelake.functions.ratios import minus
+from tradelake.operators.flow_totals import top, totals_by
 from tradelake.operators.selection import narrow
+from tradelake.schema import VALUE, sequence_or_zero
 
 
 def _balances(df, key, labels, descending, limit):
@@ -58,12 +62,15 @@ def global_balance(df: DataFrame) -> DataFrame:
 def largest_net(df: DataFrame, by: str, limit: int = 5) -> DataFrame:
     """The same question asked in SQL over a view of stored balances."""
     spark = df.sparkSession
-    name = f"balances_by_{by}"
-    totals_by(df, (by,)).createOrReplaceTempView(name)
-    return spark.sql(
-        f"select {by}, total_exports, total_imports, trade_balance as net from {name} "
-        f"order by abs(trade_balance) desc, {by} limit {int(limit)}"
-    )
+    name = f"balances_{uuid.uuid4().hex}"
+    totals_by(df, (by,)).createTempView(name)
+    try:
+        return spark.sql(
+            f"select {by}, total_exports, total_imports, trade_balance as net from {name} "
+            f"order by abs(trade_balance) desc, {by} limit {int(limit)}"
+        )
+    finally:
+        spark.catalog.dropTempView(name)
 
 
 def composed_balance(df: DataFrame, *, reporter_code: int, **slice_of) -> DataFrame:
@@ -73,18 +80,25 @@ def composed_balance(df: DataFrame, *, reporter_code: int, **slice_of) -> DataFr
     export side and empty where there is none.
     """
     picked = narrow(df, reporter_code=reporter_code, **slice_of)
-    sides = {}
-    for flow, value in (("X", "export_value"), ("M", "import_value")):
-        side = totals_by(narrow(picked, flow=flow), ("partner_code",))
-        sides[flow] = side.select("partner_code", F.col("total_trade").alias(value))
-    named = narrow(picked, flow="X").filter(F.length("partner_iso3") > 0)
-    codes = label_frame(named, "partner_code", ("partner_iso3",))
-    exports = sides["X"].join(codes, "partner_code", "left")
-    net = F.coalesce(F.col("export_value"), F.lit(0)) - F.coalesce(
-        F.col("import_value"), F.lit(0)
+    iso, met = F.col("partner_iso3"), F.col("_met")
+    cells = (
+        narrow(picked, flow="X")
+        .groupBy("partner_code", "partner_iso3")
+        .agg(F.sum(VALUE).alias("_sum"), F.min(sequence_or_zero(df)).alias("_met"))
+    )
+    named = F.when(F.length(iso) > 0, F.struct(met, iso))
+    exports = cells.groupBy("partner_code").agg(
+        F.coalesce(F.sum("_sum"), F.lit(0)).alias("export_value"),
+        F.min(named)["partner_iso3"].alias("partner_iso3"),
+    )
+    imports = narrow(picked, flow="M").groupBy("partner_code").agg(
+        F.coalesce(F.sum(VALUE), F.lit(0)).alias("import_value")
+    )
+    net = minus(
+        F.coalesce(F.col("export_value"), F.lit(0)), F.coalesce(F.col("import_value"), F.lit(0))
     )
     return (
-        exports.join(sides["M"], "partner_code", "full_outer")
+        exports.join(imports, "partner_code", "full_outer")
         .select(
             "partner_code",
             F.coalesce(F.col("partner_iso3"), F.lit("")).alias("partner_iso3"),

@@ -41,6 +41,7 @@ def total_exports(
     return _total(df, ft.EXPORT, "total_exports", reporter_code, year, years)
 
 
+# Fixed values.
 RANKING_FIELDS = ("total_trade_value", "exports", "imports", "trade_balance", "record_count")
 
 

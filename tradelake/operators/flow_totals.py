@@ -149,6 +149,7 @@ def ranking_measure(by: str) -> Column:
     return F.col({"exports": "total_exports", "imports": "total_imports"}.get(by, by))
 
 
+# Fixed values.
 RANKING_FIELDS = (
     "total_trade",
     "exports",

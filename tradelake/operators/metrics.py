@@ -13,7 +13,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradelake.functions.ratios import ratio
+from tradelake.functions.ratios import minus, plus, ratio
 from tradelake.schema import VALUE
 
 
@@ -26,27 +26,39 @@ class Metric:
     description: str = ""
     unit: str | None = None
     may_fail: bool = False
+    #: What the value is: a ``whole`` number, an exact ``amount``, or ``real``.
+    kind: str = "real"
 
     def column(self) -> Column:
         return self.build().alias(self.name)
 
     def __add__(self, other: Metric) -> Metric:
-        return self._with(other, "+", lambda a, b: a + b)
+        return self._with(other, "+", lambda a, b: a + b, plus)
 
     def __sub__(self, other: Metric) -> Metric:
-        return self._with(other, "-", lambda a, b: a - b)
+        return self._with(other, "-", lambda a, b: a - b, minus)
 
     def __mul__(self, other: Metric) -> Metric:
-        return self._with(other, "×", lambda a, b: a * b)
+        """The product; of amounts a double, as twice the decimals fit no column."""
+        return self._with(
+            other, "×", lambda a, b: a * b, lambda a, b: a.cast("double") * b.cast("double")
+        )
 
     def __truediv__(self, other: Metric) -> Metric:
-        return replace(self._with(other, "÷", ratio), may_fail=True)
+        return replace(self._with(other, "÷", ratio), may_fail=True, kind="real")
 
-    def _with(self, other: Metric, sign: str, combine) -> Metric:
+    def _with(self, other: Metric, sign: str, combine, of_amounts=None) -> Metric:
+        """``of_amounts`` combines when an amount is among two exact values."""
         if not isinstance(other, Metric):
             raise TypeError(f"cannot combine a metric with {type(other).__name__}")
+        kinds = {self.kind, other.kind}
+        exact = "real" not in kinds
+        if exact and "amount" in kinds and of_amounts is not None:
+            combine = of_amounts
+        kind = "whole" if kinds == {"whole"} else "amount" if exact and sign in "+-" else "real"
         return Metric(
             name=f"({self.name} {sign} {other.name})",
+            kind=kind,
             build=lambda: combine(self.build(), other.build()),
             description=f"{self.description} {sign} {other.description}",
             may_fail=self.may_fail or other.may_fail,
@@ -58,12 +70,12 @@ class Metric:
 
     @classmethod
     def count(cls) -> Metric:
-        return cls("count", lambda: F.count(F.lit(1)), "Number of records", "records")
+        return cls("count", lambda: F.count(F.lit(1)), "Number of records", "records", kind="whole")
 
     @classmethod
     def _sum(cls, name: str, column: str, unit: str | None) -> Metric:
         return cls(
-            name, lambda: F.coalesce(F.sum(column), F.lit(0)), f"Sum of {column}", unit
+            name, lambda: F.coalesce(F.sum(column), F.lit(0)), f"Sum of {column}", unit, kind="amount"
         )
 
     @classmethod
@@ -99,6 +111,7 @@ class Metric:
             lambda: F.count_distinct(F.col(column)),
             f"Distinct {column}",
             name.removeprefix("distinct_"),
+            kind="whole",
         )
 
     @classmethod
@@ -115,11 +128,11 @@ class Metric:
 
     @classmethod
     def min_year(cls) -> Metric:
-        return cls("min_year", lambda: F.min("ref_year"), "First reference year")
+        return cls("min_year", lambda: F.min("ref_year"), "First reference year", kind="whole")
 
     @classmethod
     def max_year(cls) -> Metric:
-        return cls("max_year", lambda: F.max("ref_year"), "Last reference year")
+        return cls("max_year", lambda: F.max("ref_year"), "Last reference year", kind="whole")
 
     @classmethod
     def custom(
@@ -146,6 +159,7 @@ def standard_metrics() -> list[Metric]:
     ]
 
 
+# The fields that rows can be grouped by.
 GROUP_FIELDS = (
     "reporter_code",
     "reporter_iso3",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradelake.functions.ratios import compound_growth, ratio
+from tradelake.functions.ratios import compound_growth, minus, ratio
 from tradelake.operators import flow_totals as ft
 from tradelake.operators.selection import narrow
 
@@ -111,7 +111,7 @@ def partner_growth(
         F.max("year").alias("last_year"),
         F.count(F.lit(1)).alias("point_count"),
     ).filter(F.col("point_count") > 0)
-    change = F.col("last_trade") - F.col("first_trade")
+    change = minus(F.col("last_trade"), F.col("first_trade"))
     rate = F.lit(None).cast("double")
     if granularity == "year":
         rate = F.when(

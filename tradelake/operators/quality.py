@@ -193,6 +193,7 @@ def dataset_warnings(df: DataFrame) -> DataFrame:
 
 
 #: Columns that may identify a code-list entry, in order of preference.
+# Fixed values.
 CODE_COLUMNS = ("id", "code", "iso3", "iso_alpha3", "commodity_code")
 
 

@@ -89,13 +89,6 @@ def monthly_trend(
     )
 
 
-def malformed_periods(df: DataFrame) -> DataFrame:
-    """Rows whose period text cannot be placed in time.  Empty for ingested tables."""
-    period = F.col("period")
-    with_month = period.rlike("^[0-9]{6}") & ~period.rlike(HAS_MONTH)
-    return df.filter(period.isNull() | ~period.rlike(HAS_YEAR) | with_month)
-
-
 def _in_time(by: Sequence[str]):
     order = [F.col("year"), F.coalesce(F.col("month"), F.lit(0))]
     return Window.partitionBy(*by).orderBy(*order)

@@ -132,6 +132,7 @@ def update_dataset(
     compression: str | None = None,
     registry_path: str | None = None,
     name: str = "trade",
+    order: Sequence[str] | None = None,
 ) -> UpdateResult:
     """Update a stored, partitioned dataset.
 
@@ -139,7 +140,8 @@ def update_dataset(
     key may sit under another year or frequency than the batch row replacing it, so those folders
     are found by the key columns of the batch's reporters, in one pass that also counts the keys
     on both sides.  Rows of the batch are numbered on from the last stored number.  With
-    ``registry_path`` a provenance row tells the new record count.
+    ``registry_path`` a provenance row tells the new record count.  ``order`` says which of the
+    batch's rows of one key is the last, by default the reading order.
 
     The new content of those folders is written aside first, since a folder cannot be read and
     overwritten by one job, and moved in with a dynamic partition overwrite.  A folder whose
@@ -156,7 +158,7 @@ def update_dataset(
 
     stage = f"{work_folder(spark).rstrip('/')}/update-{uuid.uuid4().hex}"
     given = as_canonical(batch)
-    order = (SEQ,) if SEQ in given.columns else tuple(c for c in given.columns)
+    order = order or ((SEQ,) if SEQ in given.columns else tuple(given.columns))
     # The reduced batch is used several times below; a written table is its single version.
     reduce_batch(given, duplicates, order=order).write.parquet(f"{stage}/batch")
     reduced = spark.read.parquet(f"{stage}/batch")

@@ -163,6 +163,25 @@ _RAW_PIECES = (
 )
 
 
+def full_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trade table with every required column filled, as a store wants it."""
+    flags = (
+        "quantity_is_estimated",
+        "quantity_is_alt_qty_estimated",
+        "is_net_weight_estimated",
+        "is_gross_weight_estimated",
+        "is_reported",
+        "is_aggregate",
+    )
+    return trade_table(spark, sf_dir).withColumns(
+        {
+            "quantity_qty_unit_code": F.lit(-1),
+            "legacy_estimation_flag": F.lit(0),
+            **{name: F.lit(False) for name in flags},
+        }
+    )
+
+
 def raw_trade(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The trade table as raw JSON records with planted defects: ``_seq`` and ``json``."""
     pieces = ",\n".join(_RAW_PIECES)
