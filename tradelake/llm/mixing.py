@@ -25,7 +25,10 @@ TEXT, NOTHING = -1, -2
 
 def _tokens(docs: DataFrame, text_col: str, *keep: F.Column) -> DataFrame:
     """A row ``word, bucket`` per word, and one per text (bucket TEXT), so that no text is lost."""
-    words = F.split(F.translate(F.lower(quoted(text_col)), "\n\t\r", "   "), " ")
+    text = F.lower(quoted(text_col))
+    for blank in ("\n", "\t", "\r"):
+        text = F.replace(text, F.lit(blank), F.lit(" "))
+    words = F.split(text, " ")
     none = F.array(F.lit(None).cast("string"))
     tokens = docs.select(*keep, F.explode(F.coalesce(F.concat(none, words), none)).alias("word"))
     hashed = F.pmod(F.xxhash64("word"), F.lit(BUCKETS)).cast("int")
