@@ -44,9 +44,9 @@ def hot(spark):
                                  for c in base.columns])
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.trade_queries()))
 def test_no_pair_joins_and_no_row_python(spark, name):
-    text = plan(entry.queries()[name](spark, SF_SMALL))
+    text = plan(entry.trade_queries()[name](spark, SF_SMALL))
     for never in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas"):
         assert never not in text
 
@@ -128,3 +128,32 @@ def test_unused_dimensions_are_not_joined(spark):
         trade_table(spark, SF_SMALL, partner=False, commodity=False)))
     assert "supplier.parquet" in text and "nation.parquet" in text
     assert "orders.parquet" not in text and "part.parquet" not in text
+
+
+def scans(df):
+    """Reads of the facts in the plan that runs, whatever parts are reused."""
+    return df._jdf.queryExecution().executedPlan().toString().count("lineitem.parquet")
+
+
+@pytest.mark.parametrize(
+    ("name", "most"), [("balance_full_outer", 2), ("update_counts", 5), ("country_balance", 1)]
+)
+def test_number_of_fact_scans(spark, name, most):
+    import __spark_entry__ as entry
+    from tests.conftest import SF_SMALL
+
+    df = entry.trade_queries()[name](spark, SF_SMALL)
+    assert 0 < scans(df) <= most
+
+
+def test_numbering_has_no_single_task(spark, tmp_path):
+    from tradelake.operators.numbering import number_rows
+
+    rows = spark.range(1000).selectExpr(
+        "concat('f', id % 7) as _src_file", "id as _src_pos", "id as n"
+    )
+    numbered = number_rows(rows, str(tmp_path / "n"), 5)
+    assert "SinglePartition" not in numbered._jdf.queryExecution().executedPlan().toString()
+    got = numbered.orderBy("_seq").collect()
+    assert [r["_seq"] for r in got] == list(range(5, 1005))
+    assert [(r["_src_file"], r["_src_pos"]) for r in got] == sorted((r["_src_file"], r["_src_pos"]) for r in got)

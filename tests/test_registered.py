@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+import oracle_sql
 from tests.compare import difference, duck, duck_table, spark_table
 from tests.conftest import SF_SMALL
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = entry.trade_queries(), oracle_sql.all_sql()
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +17,7 @@ def con():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 def test_entry_runs(spark):
