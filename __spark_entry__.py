@@ -861,8 +861,14 @@ def stored_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Balances and the summary row of a dataset opened by its path."""
     df = datasets.open_dataset(spark, _stored(spark, fixtures.full_table(spark, sf_dir)))
     total = registry.dataset_summary(df, parser_name="parse_records", schema_version="1.0.0")
-    total = total.withColumnRenamed("record_count", "dataset_rows")
-    return plain(balance.country_balance(df)).crossJoin(total)
+    (row,) = total.collect()
+    return plain(balance.country_balance(df)).withColumns(
+        {
+            "dataset_rows": F.lit(row["record_count"]),
+            "parser_name": F.lit(row["parser_name"]),
+            "schema_version": F.lit(row["schema_version"]),
+        }
+    )
 
 
 def _raw_lines(spark: SparkSession, sf_dir: str, again: bool = False) -> DataFrame:
@@ -884,17 +890,14 @@ def ingest_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
             raise done.cause
     df = datasets.open_dataset(spark, target)
     number, half = F.col(SEQ), done.records_out
-    first, last = quality.first_wins(df), quality.last_wins(df)
-    return (
-        df.agg(
-            F.count(F.lit(1)).alias("row_count"),
-            F.count_distinct(SEQ).alias("number_count"),
-            F.min(SEQ).alias("first_number"),
-            (F.max(SEQ) + 1).alias("next_number"),
-        )
-        .crossJoin(first.agg(F.count_if(number < half).alias("first_of_first")))
-        .crossJoin(last.agg(F.count_if(number >= half).alias("last_of_second")))
-    )
+    first = quality.first_wins(df).agg(F.count_if(number < half))
+    last = quality.last_wins(df).agg(F.count_if(number >= half))
+    return df.agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.count_distinct(SEQ).alias("number_count"),
+        F.min(SEQ).alias("first_number"),
+        (F.max(SEQ) + 1).alias("next_number"),
+    ).withColumns({"first_of_first": first.scalar(), "last_of_second": last.scalar()})
 
 
 def ingest_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -925,11 +928,12 @@ def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = responses.read_responses(spark, path)
     heads = responses.read_envelopes(spark, path)
     parsed = ingest.accepted(ingest.parse_records(records)).groupBy("reporter_code")
-    return parsed.agg(F.count(F.lit(1)).alias("record_count")).crossJoin(
-        heads.agg(
-            F.sum("record_count").alias("held"),
-            F.sum(F.when(F.col("declared_count") > 0, F.col("declared_count") - F.col("record_count")).otherwise(0)).alias("off"),
-        )
+    off = F.when(F.col("declared_count") > 0, F.col("declared_count") - F.col("record_count"))
+    return parsed.agg(F.count(F.lit(1)).alias("record_count")).withColumns(
+        {
+            "held": heads.agg(F.sum("record_count")).scalar(),
+            "off": heads.agg(F.sum(F.coalesce(off, F.lit(0)))).scalar(),
+        }
     )
 
 
