@@ -128,4 +128,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontaminate": sql.OP1, "op5_warc": sql.OP5}
+    return {"op1_decontaminate": sql.OP1, "op5_warc": sql.OP5, "op6_substring": sql.OP6}

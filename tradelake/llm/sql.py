@@ -42,3 +42,27 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN first <> page_id THEN first END AS refers_to
 FROM f
 """
+
+OP6 = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+), windows AS (
+  SELECT doc_id, i, array_to_string(w[i : i + 34], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)
+), again AS (
+  SELECT s FROM windows GROUP BY s HAVING count(*) > 1
+), covered AS (
+  SELECT DISTINCT doc_id, p
+  FROM (SELECT doc_id, unnest(range(i, i + 35)) AS p FROM windows JOIN again USING (s))
+), words AS (
+  SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS p FROM d
+), kept AS (
+  SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS k
+  FROM words ANTI JOIN covered USING (doc_id, p) GROUP BY doc_id
+), removed AS (
+  SELECT doc_id, count(*) AS n FROM covered GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(k, '')) AS kept_sha256
+FROM d LEFT JOIN removed USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
