@@ -157,3 +157,16 @@ def test_numbering_has_no_single_task(spark, tmp_path):
     got = numbered.orderBy("_seq").collect()
     assert [r["_seq"] for r in got] == list(range(5, 1005))
     assert [(r["_src_file"], r["_src_pos"]) for r in got] == sorted((r["_src_file"], r["_src_pos"]) for r in got)
+
+
+def test_distinct_counts_do_not_copy_facts(spark):
+    import __spark_entry__ as entry
+    from tests.conftest import SF_SMALL
+
+    text = plan(entry.trade_queries()["metrics_all"](spark, SF_SMALL))
+    below = text.split("Expand", 1)[1]
+    assert "HashAggregate" in below and "Expand" not in below and scans_of(text) == 1
+
+
+def scans_of(text):
+    return text.count("lineitem.parquet")

@@ -28,6 +28,14 @@ class Metric:
     may_fail: bool = False
     #: What the value is: a ``whole`` number, an exact ``amount``, or ``real``.
     kind: str = "real"
+    #: How to get the value in two steps, if it can be: buffers over facts grouped by ``keys``,
+    #: and the value over those few rows.
+    buffers: tuple[tuple[str, Callable[[], Column]], ...] = ()
+    keys: tuple[str, ...] = ()
+    merge: Callable[[], Column] | None = None
+
+    def merged(self) -> Column:
+        return self.merge().alias(self.name)
 
     def column(self) -> Column:
         return self.build().alias(self.name)
@@ -59,23 +67,34 @@ class Metric:
         return Metric(
             name=f"({self.name} {sign} {other.name})",
             kind=kind,
+            buffers=(*self.buffers, *other.buffers),
+            keys=(*self.keys, *other.keys),
+            merge=(lambda: combine(self.merge(), other.merge())) if self.merge and other.merge else None,
             build=lambda: combine(self.build(), other.build()),
             description=f"{self.description} {sign} {other.description}",
             may_fail=self.may_fail or other.may_fail,
         )
 
+    def _in_steps(self, buffers: dict[str, Callable[[], Column]], merge) -> Metric:
+        return replace(self, buffers=tuple(buffers.items()), merge=merge)
+
     def named(self, name: str) -> Metric:
         """The same metric under another column name."""
         return replace(self, name=name)
 
     @classmethod
     def count(cls) -> Metric:
-        return cls("count", lambda: F.count(F.lit(1)), "Number of records", "records", kind="whole")
+        return cls("count", lambda: F.count(F.lit(1)), "Number of records", "records", kind="whole")._in_steps(
+            {"_rows": lambda: F.count(F.lit(1))}, lambda: F.coalesce(F.sum("_rows"), F.lit(0))
+        )
 
     @classmethod
     def _sum(cls, name: str, column: str, unit: str | None) -> Metric:
         return cls(
             name, lambda: F.coalesce(F.sum(column), F.lit(0)), f"Sum of {column}", unit, kind="amount"
+        )._in_steps(
+            {f"_sum_{column}": lambda: F.sum(column)},
+            lambda: F.coalesce(F.sum(f"_sum_{column}"), F.lit(0)),
         )
 
     @classmethod
@@ -102,6 +121,9 @@ class Metric:
             f"Mean of {VALUE}",
             "USD",
             may_fail=True,
+        )._in_steps(
+            {f"_sum_{VALUE}": lambda: F.sum(VALUE), "_valued": lambda: F.count(VALUE)},
+            lambda: ratio(F.sum(f"_sum_{VALUE}"), F.sum("_valued")),
         )
 
     @classmethod
@@ -112,6 +134,8 @@ class Metric:
             f"Distinct {column}",
             name.removeprefix("distinct_"),
             kind="whole",
+            keys=(column,),
+            merge=lambda: F.count_distinct(F.col(column)),
         )
 
     @classmethod
@@ -128,11 +152,15 @@ class Metric:
 
     @classmethod
     def min_year(cls) -> Metric:
-        return cls("min_year", lambda: F.min("ref_year"), "First reference year", kind="whole")
+        return cls("min_year", lambda: F.min("ref_year"), "First reference year", kind="whole")._in_steps(
+            {"_first": lambda: F.min("ref_year")}, lambda: F.min("_first")
+        )
 
     @classmethod
     def max_year(cls) -> Metric:
-        return cls("max_year", lambda: F.max("ref_year"), "Last reference year", kind="whole")
+        return cls("max_year", lambda: F.max("ref_year"), "Last reference year", kind="whole")._in_steps(
+            {"_last": lambda: F.max("ref_year")}, lambda: F.max("_last")
+        )
 
     @classmethod
     def custom(

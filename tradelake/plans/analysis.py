@@ -105,9 +105,19 @@ class Analysis:
 
 
 def metric_row(df: DataFrame, metrics: Sequence[Metric]) -> DataFrame:
-    """All metrics over a frame in one aggregation."""
+    """All metrics over a frame in one pass.
+
+    Several distinct counts in one aggregation would copy every fact once for each.  Where all
+    metrics can be merged, facts are therefore grouped by the counted columns first, and only the
+    few rows left are copied.
+    """
     if not metrics:
         return df.agg(F.count(F.lit(1)).alias("_n")).select()
+    keys = list(dict.fromkeys(k for m in metrics for k in m.keys))
+    if len(keys) > 1 and all(m.merge for m in metrics):
+        buffers = dict(b for m in metrics for b in m.buffers) or {"_rows": lambda: F.count(F.lit(1))}
+        few = df.groupBy(*keys).agg(*[build().alias(n) for n, build in buffers.items()])
+        return few.agg(*[m.merged() for m in metrics])
     return df.agg(*[m.column() for m in metrics])
 
 
