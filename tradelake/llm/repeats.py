@@ -176,17 +176,26 @@ class Sieve:
 
 @dataclass
 class Repeats:
-    """``texts``: ``k1, k2, n, no``; ``sure``: ``no, s, t``, runs of repeated windows only;
-    ``edges``: ``f, g1, g2, c, kinds, no, s, t``, one run of each distinct ``g`` whose ``f`` has
-    several, ``c`` runs having that ``g`` and ``kinds`` the number of ``g`` of ``f``."""
+    """``texts``: ``k1, k2, n, no``; ``runs``: ``no, f, g1, g2, s, t``, those whose ``f`` occurs
+    again; ``kinds``: ``f, g1, g2, c, kinds, no, s, t``, one run of each distinct ``g``, ``c`` runs
+    having that ``g`` and ``kinds`` the number of ``g`` of ``f``."""
 
     texts: DataFrame
-    sure: DataFrame
-    edges: DataFrame
+    runs: DataFrame
+    kinds: DataFrame
+
+    def edges(self) -> DataFrame:
+        """Kinds that share ``f`` with another kind."""
+        return self.kinds.where("kinds > 1")
+
+    def sure(self) -> DataFrame:
+        """``no, s, t`` of the runs that another run equals: all of their windows are repeated."""
+        again = self.kinds.where("c > 1").select("f", "g1", "g2")
+        return self.runs.join(again, ["f", "g1", "g2"]).select("no", "s", "t")
 
 
 def find(docs: DataFrame, split: Split, shape: Shape) -> Repeats:
-    """Sorts the runs of all texts into unique ones, sure ones and edges."""
+    """Finds the runs of all texts whose core is not unique, and their kinds."""
     table = scan(docs, split, shape)
     twice = table.select(F.explode("f").alias("f")).groupBy("f").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     sieve = Sieve(twice, "f")
@@ -197,11 +206,10 @@ def find(docs: DataFrame, split: Split, shape: Shape) -> Repeats:
         F.count(F.lit(1)).alias("c"), F.min(F.struct("no", "s", "t")).alias("one")
     )
     kinds = stored(kinds, "run-kinds")
-    classes = kinds.groupBy("f").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
-    edges = kinds.join(classes, "f").select("f", "g1", "g2", "c", "kinds", "one.no", "one.s", "one.t")
-    again = kinds.where("c > 1").select("f", "g1", "g2")
-    sure = found.join(again, ["f", "g1", "g2"]).select("no", "s", "t")
-    return Repeats(table.select("k1", "k2", "n", "no"), sure, stored(edges, "edges"))
+    classes = kinds.groupBy("f").agg(F.count(F.lit(1)).alias("kinds"), F.sum("c").alias("all"))
+    kinds = kinds.join(classes.where(F.col("all") > 1), "f")  # the sieve lets some single ones pass
+    kinds = kinds.select("f", "g1", "g2", "c", "kinds", "one.no", "one.s", "one.t")
+    return Repeats(table.select("k1", "k2", "n", "no"), found, stored(kinds, "kinds"))
 
 
 def with_text(docs: DataFrame, texts: DataFrame, rows: DataFrame) -> DataFrame:
@@ -268,7 +276,7 @@ def by_ranks(docs: DataFrame, found: Repeats, edges: DataFrame, split: Split, sh
 def spans(found: Repeats, windows: DataFrame, shape: Shape) -> DataFrame:
     """Per text with repeats ``k1, k2`` and ``spans``: sorted, apart, [start, end) in elements.
 
-    ``windows`` has ``no, s, t``: first and last start of repeated windows next to each other.
+    ``windows`` has ``no, s, t``: first and last start of all repeated windows next to each other.
     """
     schema = "no long, spans array<struct<start:long,end:long>>"
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
@@ -295,8 +303,7 @@ def spans(found: Repeats, windows: DataFrame, shape: Shape) -> DataFrame:
     )
     copies = stored(copies.select("k1", "k2", "n"), "copies")
     single = texts.join(copies.select("k1", "k2"), ["k1", "k2"], "left_anti").select("no", "k1", "k2")
-    rows = found.sure.unionByName(windows)
-    merged = rows.groupBy("no").agg(F.collect_list(F.struct("s", "t")).alias("rows")).mapInArrow(run, schema)
+    merged = windows.groupBy("no").agg(F.collect_list(F.struct("s", "t")).alias("rows")).mapInArrow(run, schema)
     whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n").alias("end"))).alias("spans")
     return stored(
         single.join(merged, "no").select("k1", "k2", "spans").union(copies.select("k1", "k2", whole)), "spans"

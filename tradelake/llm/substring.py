@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradelake.llm import repeats
-from tradelake.llm.common import pieces, quoted
+from tradelake.llm.common import pieces, quoted, stored
 
 #: Words of a sequence that must occur once only.
 LENGTH = 35
@@ -148,59 +148,64 @@ def repeated_windows(index: Index, symbols: np.ndarray, starts: np.ndarray, size
 
 
 def _search_shard(rows: list[tuple], length: int) -> Iterator[pa.RecordBatch]:
-    """``rows``: (no, s, c, words); windows of those with c = 1 that the shard has twice."""
+    """``rows``: (f, g1, g2, c, words); ranges of the windows of each that the shard has twice."""
     names: dict[bytes, int] = {}
-    parts, starts, sizes, asked, at = [], [], [], [], 0
-    for no, s, c, line in rows:
+    parts, starts, sizes, at = [], [], [], 0
+    for *_, c, line in rows:
         own = np.array([names.setdefault(w, len(names) + 1) for w in line.split(b" ")], np.int64)
-        for _ in range(1 if c == 1 else 2):  # what several runs have is there twice
+        starts.append(at)
+        sizes.append(len(own))
+        for _ in range(min(c, 2)):  # a run that others equal is there twice
             parts += [own, np.zeros(1, np.int64)]
-        if c == 1:
-            starts.append(at)
-            sizes.append(len(own))
-            asked.append((no, s))
-        at += (len(own) + 1) * (1 if c == 1 else 2)
-    if not asked:
+            at += len(own) + 1
+    if not rows:
         return
     symbols = np.concatenate(parts)
-    index = Index(symbols, max(map(len, parts)))
-    lane, start = np.nonzero(
-        repeated_windows(index, symbols, np.array(starts, np.int64), np.array(sizes, np.int64), length)
+    index = Index(symbols, max(sizes) + 1)
+    found = repeated_windows(index, symbols, np.array(starts, np.int64), np.array(sizes, np.int64), length)
+    edge = np.diff(np.pad(found.astype(np.int8), ((0, 0), (1, 1))), axis=1)
+    lane, first = np.nonzero(edge == 1)
+    _, behind = np.nonzero(edge == -1)
+    keys = [np.array([r[k] for r in rows], np.int64)[lane] for k in range(3)]
+    yield pa.RecordBatch.from_arrays(
+        [*map(pa.array, keys), pa.array(first.astype(np.int32)), pa.array((behind - 1).astype(np.int32))],
+        names=["f", "g1", "g2", "a", "b"],
     )
-    if len(lane):
-        no, s = np.array(asked, np.int64).T
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(no[lane]), pa.array((s[lane] + start).astype(np.int32))], names=["no", "i"]
-        )
 
 
-def by_index(docs: DataFrame, found: repeats.Repeats, edges: DataFrame, shards: int) -> DataFrame:
-    """Repeated windows ``no, i`` of the edges, by backward search in the index of their shard.
+def by_index(docs: DataFrame, found: repeats.Repeats, kinds: DataFrame, shards: int) -> DataFrame:
+    """Repeated windows ``no, s, t`` of all runs of the kinds, by backward search in their shard.
 
-    Runs with the same core go to the same shard, so all occurrences of a window meet there.
+    Kinds with the same core go to the same shard, so all occurrences of a window meet there.
     """
     size = SHAPE.size
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "raw"):
-            out = []
-            for no, raw, rows in zip(*(batch.column(c) for c in ("no", "raw", "rows")), strict=True):
+            for raw, rows in zip(batch.column("raw"), batch.column("rows"), strict=True):
                 words = raw.as_py().split()
-                for r in rows.as_py():
-                    line = b" ".join(words[r["s"] : r["t"] + size])
-                    out.append({"f": r["f"], "no": no.as_py(), "s": r["s"], "c": min(r["c"], 2), "line": line})
-            yield pa.RecordBatch.from_pylist(out, schema=SEGMENT)
+                out = [
+                    {**{k: r[k] for k in ("f", "g1", "g2", "c")}, "line": b" ".join(words[r["s"] : r["t"] + size])}
+                    for r in rows.as_py()
+                ]
+                yield pa.RecordBatch.from_pylist(out, schema=SEGMENT)
 
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [r for b in batches for r in zip(*(b.column(c).to_pylist() for c in ("no", "s", "c", "line")), strict=True)]
+        rows = [r for b in batches for r in zip(*(b.column(c).to_pylist() for c in SEGMENT.names), strict=True)]
         yield from _search_shard(rows, size)
 
-    texts = repeats.with_text(docs, found.texts, edges.select("no", "s", "t", "f", "c"))
-    segments = texts.mapInArrow(run, "f long, no long, s int, c int, line binary")
-    return segments.repartition(shards, "f").mapInArrow(search, "no long, i int")
+    texts = repeats.with_text(docs, found.texts, kinds.select("no", "s", "t", "f", "g1", "g2", "c"))
+    segments = texts.mapInArrow(run, "f long, g1 long, g2 long, c long, line binary")
+    ranges = segments.repartition(shards, "f").mapInArrow(search, "f long, g1 long, g2 long, a int, b int")
+    ranges = stored(ranges, "index-ranges")
+    return found.runs.join(ranges, ["f", "g1", "g2"]).select(
+        "no", (F.col("s") + F.col("a")).alias("s"), (F.col("s") + F.col("b")).alias("t")
+    )
 
 
-SEGMENT = pa.schema([("f", pa.int64()), ("no", pa.int64()), ("s", pa.int32()), ("c", pa.int32()), ("line", pa.binary())])
+SEGMENT = pa.schema(
+    [("f", pa.int64()), ("g1", pa.int64()), ("g2", pa.int64()), ("c", pa.int64()), ("line", pa.binary())]
+)
 
 
 def deduplicate(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
@@ -211,11 +216,11 @@ def deduplicate(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     same text or another; sequences are judged on the texts as they came.  Words are what blanks
     (space, tab to carriage return) separate, unchanged.
 
-    Runs of windows are first sorted by hashes of their core and of the whole (see ``repeats``);
-    the runs at the edges of repeats are dealt to shards by core, about SHARD_WORDS words each.  A
-    shard indexes its distinct runs once and searches all of them backward.  A core with more than
-    HOT different runs would fill a shard by itself; its windows are told apart by their rank pairs
-    instead, which Spark counts before the shuffle.
+    Runs of windows whose core occurs once are left out by hash (see ``repeats``), equal runs are
+    counted once.  The others are dealt to shards by core, about SHARD_WORDS words each.  A shard
+    indexes its distinct runs and searches all of them backward; what it reports holds for all runs
+    of a kind.  A core with more than HOT different runs would fill a shard by itself; its windows
+    are told apart by their rank pairs instead, which Spark counts before the shuffle.
 
     Null texts have no words.  They and texts under LENGTH words lose nothing but blanks.  Of
     repeated rows all copies lose what they share, which is everything from LENGTH words on.
@@ -224,13 +229,14 @@ def deduplicate(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     """
     texts = docs.select(quoted(text_col).cast("string").alias("text"))
     found = repeats.find(texts, split, SHAPE)
-    cool, hot = found.edges.where(F.col("kinds") <= HOT), found.edges.where(F.col("kinds") > HOT)
-    words, hot_rows = found.edges.agg(
-        F.sum(F.when(F.col("kinds") <= HOT, (F.col("t") - F.col("s") + LENGTH) * F.least("c", F.lit(2)))),
-        F.count(F.when(F.col("kinds") > HOT, 1)),
+    cool = F.col("kinds") <= HOT
+    words, hot_rows = found.kinds.agg(
+        F.sum(F.when(cool, (F.col("t") - F.col("s") + LENGTH) * F.least("c", F.lit(2)))), F.count_if(~cool)
     ).first()
-    windows = by_index(texts, found, cool, max(1, -(-(words or 0) // SHARD_WORDS)))
+    windows = by_index(texts, found, found.kinds.where(cool), max(1, -(-(words or 0) // SHARD_WORDS)))
     if hot_rows:
-        windows = windows.union(repeats.by_ranks(texts, found, hot, split, SHAPE).select("no", "i"))
-    spans = repeats.spans(found, windows.select("no", F.col("i").alias("s"), F.col("i").alias("t")), SHAPE)
+        hot = repeats.Repeats(found.texts, found.runs, found.kinds.where(~cool))
+        single = repeats.by_ranks(texts, hot, hot.edges(), split, SHAPE)
+        windows = windows.union(single.select("no", F.col("i").alias("s"), F.col("i").alias("t"))).union(hot.sure())
+    spans = repeats.spans(found, windows, SHAPE)
     return repeats.cut(docs, spans, text_col, remove)

@@ -46,7 +46,7 @@ def deduplicate(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     """
     texts = docs.select(quoted(text_col).cast("string").alias("text"))
     found = repeats.find(texts, split, SHAPE)
-    windows = repeats.by_ranks(texts, found, found.edges, split, SHAPE)
-    windows = windows.select("no", F.col("i").alias("s"), F.col("i").alias("t"))
+    windows = repeats.by_ranks(texts, found, found.edges(), split, SHAPE)
+    windows = windows.select("no", F.col("i").alias("s"), F.col("i").alias("t")).union(found.sure())
     spans = repeats.spans(found, windows, SHAPE)
     return repeats.cut(docs, spans, text_col, remove)
