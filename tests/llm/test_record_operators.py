@@ -371,3 +371,34 @@ def test_long_line(spark):
     long = "word " * 50_000 + licenses.TEMPLATES[0][1]
     df = spark.createDataFrame([("a", long), ("b", long + "\n" + licenses.TEMPLATES[0][1])], "path string, text string")
     assert {r.path: r.licence for r in licenses.scan(df).collect()} == {"a": None, "b": "MIT"}
+
+
+def test_whole_licences_and_headers(spark):
+    body = {name: text for name, text in licenses.BODIES}
+    for name, text in licenses.BODIES:
+        plain = licenses._plain(text)
+        assert plain.count(licenses._opening(plain)) == 1, name
+    holder = "Copyright (c) 2021, The Example Authors. All rights reserved.\n\n"
+    header = "\n".join("# " + x for x in (
+        "Copyright 2020 Somebody. This program is free software: you can redistribute it", "and/or modify it under the terms of the GNU General Public",
+        "License as published by the Free Software Foundation, either version 3 of the", "License, or (at your option) any later version. It comes without any warranty.",
+    ))
+    want = {
+        "LICENSE": (holder + body["MIT"], "MIT"),
+        "one_line": ("The licence. " + " ".join(body["MIT"].split()), "MIT"),
+        "bsd3": ("BSD\n" + holder + body["BSD-3-Clause"].replace("the copyright holder", "Example Inc."), "BSD-3-Clause"),
+        "bsd2": (holder + body["BSD-2-Clause"], "BSD-2-Clause"),
+        "code.c": ("/*\n" + "".join(f" * {x}\n" for x in body["ISC"].split("\n")) + " */\n" + "int main(void) { return run(); }\n" * 300, "ISC"),
+        **{f"full/{x}": (body[x].replace("\n", "\r\n"), x) for x in ("Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0")},
+        "header.py": (header + "\n\nx = 1\n" * 50, "GPL-3.0"),
+        "header2.py": (header.replace("version 3", "version 2"), "GPL-2.0"),
+        "wrapped": ("A tool for many things. This software is distributed under the\nterms of the MIT license. It has no other terms.", "MIT"),
+        "title": ("MIT License", "MIT"),
+        "old": ("This work is licensed under the GNU General Public License, version 1.", None),
+        "prose": ("The terms of the house: nobody is granted free entry, and the above notice appears in all copies.", None),
+    }
+    noise = [(f"n/{k}/f", f"word{k} the tool runs and the parser reads line {k} of a file") for k in range(40)]
+    df = spark.createDataFrame([(p, t) for p, (t, _) in want.items()] + noise, "path string, text string")
+    got = {r.path: r.own_licence for r in licenses.scan(df).collect()}
+    assert {p: got[p] for p in want} == {p: x for p, (_, x) in want.items()}
+    assert not any(got[p] for p, _ in noise)
