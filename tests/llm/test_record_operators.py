@@ -205,6 +205,18 @@ def test_what_is_not_valid_stays(spark):
     assert [r.text for r in sorted(out, key=lambda r: r.doc_id)] == bad and not any(r.n_pseudonyms for r in out)
 
 
+def test_valid_numbers_next_to_others(spark):
+    card, iban = "4111 1111 1111 1111", "BE68 5390 0754 7034"
+    forms = {
+        f"{card} 12/27": (card, 1), "4111111111111111 03/28": ("4111111111111111", 1), f"{card} 123": (card, 1), f"12 {card}": (card, 1),
+        f"12345 {card}": (card, 1), f"2024 {card}": (card, 1), f"{card} 2024-05-06": (card, 2), f"{card} 5500 0000 0000 0004": (card, 2),
+        f"{iban} BIC": (iban, 1), "2024-01-01T10:00:00Z": ("2024-01-01", 1),
+    }
+    out = {r.doc_id: r for r in pii.pseudonymise(texts(spark, list(enumerate(forms))), "key").collect()}
+    for k, (text, (hidden, n)) in enumerate(forms.items()):
+        assert hidden not in out[k].text and out[k].n_pseudonyms == n and shape(out[k].text) == shape(text), text
+
+
 def test_permutation_is_one_to_one(spark):
     sql = pii.permuted("array(cast(id div 10 as int), cast(id % 10 as int))", "array(7, 10)", "k", "t")
     got = [tuple(r[0]) for r in spark.range(70).select(F.expr(sql)).collect()]

@@ -17,20 +17,39 @@ FIRST_DAY, DAY_CELLS = "1800-01-01", (189, 773)
 
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])"
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+#: Letters by country; an IBAN of these has this length, whatever stands behind it.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH CR HR LI LV",
+    22: "BG BH DE GB GE IE ME RS VA", 23: "AE GI IL IQ TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "PT",
+    26: "IS TR", 27: "FR GR IT MC MR SM", 28: "AL AZ CY DO GT HU LB PL", 29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC",
+}
+IBAN = "(?:" + "|".join(
+    rf"(?<![A-Za-z0-9])(?:{names.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{(n - 4) // 4}}}"
+    + (rf" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else "") + "(?![A-Za-z0-9])"
+    for n, names in IBAN_LENGTHS.items()
+) + "|" + IBAN + ")"
 #: No digit, nor digits behind a point, before or after.
 FREE, END = r"(?<![0-9A-Za-z])(?<![0-9][.-])", r"(?![0-9A-Za-z])(?![.-][0-9])"
 IP = FREE + r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}" + END
-DATE_ISO = FREE + r"[0-9]{4}([-/.])[0-9]{2}\{g}[0-9]{2}" + END
+DATE_ISO = FREE + r"[0-9]{4}([-/.])[0-9]{2}\{g}[0-9]{2}(?:" + END + "|(?=T[0-9]{2}))"
 DATE_DAY = FREE + r"[0-9]{2}([/.])[0-9]{2}\{g}[0-9]{4}" + END
 SSN = FREE + r"[0-9]{3}-[0-9]{2}-[0-9]{4}" + END
 CARD = FREE + r"[0-9](?:[ -]?[0-9]){12,18}" + END
+#: Groups of digits in which a card may stand beside other numbers, and the groupings it is printed in.
+RUN = FREE + r"[0-9](?:[ -]?[0-9]){12}(?:[0-9 -]*[0-9])?" + END
+PRINTED = (
+    "^(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}(?:[ -][0-9]{1,3})?|[0-9]{4}(?:[ -][0-9]{4}){2}[ -][0-9]{1,4}"
+    "|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5})$"
+)
 NANP = r"(?<![0-9A-Za-z+])(?:\+?1[ .-]?)?\(?[2-9][0-9]{2}\)?[ .-]?[2-9][0-9]{2}[ .-][0-9]{4}" + END
 PHONE = r"(?<![0-9A-Za-z+])\+[1-9][0-9]{0,2}(?:[ .-]?\(?[0-9]{1,5}\)?){2,6}" + END
 
 #: Alternatives in this order: the first that matches at a place is the candidate there.
-CANDIDATE = "|".join(
+SINGLE = "|".join(
     (EMAIL, IBAN, IP, DATE_ISO.replace(r"\{g}", r"\1"), DATE_DAY.replace(r"\{g}", r"\2"), SSN, CARD, NANP, PHONE)
 )
+#: The same, but runs of digit groups come whole.
+CANDIDATE = SINGLE.replace(CARD, RUN)
 KINDS = {
     "email": EMAIL,
     "iban": IBAN,
@@ -187,6 +206,31 @@ def _replaced(key: str) -> str:
     return f"case {cases} end"
 
 
+def _scanned(text: str, key: str) -> str:
+    """SQL: ``struct(t, n)``, a short text with its candidates replaced one by one, and their number."""
+    found = f"transform(regexp_extract_all({text}, {_text(SINGLE)}, 0), m -> struct(m as m, {_replaced(key)} as p))"
+    joined = f"array_join(zip_with(split({text}, {_text(SINGLE)}, -1), f, (s, x) -> concat(s, coalesce(x.p, x.m, ''))), '')"
+    return _let(found, "f", f"struct({joined} as t, size(filter(f, x -> x.p is not null)) as n)")
+
+
+def _run(key: str) -> str:
+    """SQL: ``struct(t, n)`` of a run ``m`` of digit groups.
+
+    Cards in printed groupings come first, from left to right; what is left between them is scanned
+    like any text.
+    """
+    part = "regexp_replace(array_join(zip_with(slice(b, i + 1, k), slice(g, i + 1, k), (x, y) -> concat(x, y)), ''), '^[ -]+', '')"
+    read = _let(part, "q", f"struct(k as k, if(q rlike {_text(PRINTED)}, {_pseudonym('card', 'q', key)}, null) as p)")
+    tried = f"filter(transform(filter(array(1, 4, 5, 3), k -> i + k <= size(g)), k -> {read}), x -> x.p is not null)"
+    card = "struct(concat(r.t, b[i], '|', c[0].p, '|') as t, i + c[0].k as i)"
+    plain = "struct(concat(r.t, b[i], g[i]) as t, i + 1 as i)"
+    step = f"if(i < r.i, r, {_let(tried, 'c', f'if(size(c) > 0, {card}, {plain})')})"
+    swept = f"aggregate(sequence(0, size(g) - 1), struct('' as t, 0 as i), (r, i) -> {step}).t"
+    swept = _let("split(m, '[ -]+', -1)", "g", _let("split(m, '[0-9]+', -1)", "b", swept))
+    pieces = f"transform(split({swept}, '[|]', -1), (o, j) -> if(j % 2 = 1, struct(o as t, 1 as n), {_scanned('o', key)}))"
+    return _let(pieces, "z", "struct(array_join(transform(z, x -> x.t), '') as t, aggregate(z, 0, (a, x) -> a + x.n) as n)")
+
+
 def pseudonymise(docs: DataFrame, key: str, *, text_col: str = "text") -> DataFrame:
     """``docs`` with pseudonyms in ``text_col`` and their number in ``n_pseudonyms``.
 
@@ -194,7 +238,8 @@ def pseudonymise(docs: DataFrame, key: str, *, text_col: str = "text") -> DataFr
     (year first; day first with points; month first with slashes), US social security numbers,
     payment card numbers (Luhn) and phone numbers change into others of the same format that are
     valid by the same rules.  Equal values get equal pseudonyms in all documents, however they are
-    separated; different values get different ones.  Candidates that aren't valid stay.
+    separated; different values get different ones.  Candidates that aren't valid stay.  Cards next
+    to other digits are found in the groupings they are printed in, IBANs by their country's length.
 
     A null text stays null with none, an empty one stays empty.  Repeated rows get the same
     result.  Other columns stay; an ``n_pseudonyms`` of the input gives way.  An empty table gives
@@ -203,14 +248,16 @@ def pseudonymise(docs: DataFrame, key: str, *, text_col: str = "text") -> DataFr
     names = without(docs, ["n_pseudonyms"]).columns
     pattern = _text(CANDIDATE)
     rows = docs.select(packed(docs, ["n_pseudonyms"]), quoted(text_col).cast("string").alias("_t"))
+    one = _let(_replaced(key), "p", "struct(m as m, p as p, if(p is null, 0, 1) as n)")
+    run = _let(_run(key), "p", "struct(m as m, if(p.n > 0, p.t, null) as p, p.n as n)")
+    each = f"if(m rlike {_text('^(?:' + RUN + ')$')}, {run}, {one})"
     found = rows.withColumn(
-        "_m",
-        F.expr(f"if(_t rlike '[0-9@]', transform(regexp_extract_all(_t, {pattern}, 0), m -> struct(m as m, {_replaced(key)} as p)), array())"),
+        "_m", F.expr(f"if(_t rlike '[0-9@]', transform(regexp_extract_all(_t, {pattern}, 0), m -> {each}), array())")
     )
     pieces = f"split(_t, {pattern}, -1)"
     text = F.expr(
         f"if(exists(_m, x -> x.p is not null), array_join(zip_with({pieces}, _m, (s, x) -> concat(s, coalesce(x.p, x.m, ''))), ''), _t)"
     )
-    number = F.expr("coalesce(size(filter(_m, x -> x.p is not null)), 0)").cast("long")
+    number = F.expr("coalesce(aggregate(_m, 0, (a, x) -> a + x.n), 0)").cast("long")
     shown = [text.alias(c) if c == text_col else F.col("_row").getField(c).alias(c) for c in names]
     return found.select(*shown, number.alias("n_pseudonyms"))
