@@ -21,7 +21,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document, that of the smallest id, of each group of near copies."""
+    """Keeps one document, that of the smallest id, of each group of near copies by op3's rule."""
     return simhash.one_of_each(docs)
 
 
