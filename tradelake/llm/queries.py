@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradelake.llm import ann, decontaminate, licenses, mixing, pii, simhash, sql, substring, suffix_dedup, toxicity, warc
+from tradelake.llm import ann, clusters, decontaminate, licenses, mixing, parity, pii, simhash, sql, substring, suffix_dedup, toxicity, warc
 from tradelake.llm.common import read
 
 #: Key of the registered query's pseudonyms; a real run passes its own secret.
@@ -112,6 +112,16 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(read(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
 
 
+def op12_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _ = clusters.cluster(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return rows.drop("embedding")
+
+
+def op13_similar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return parity.similar(docs).select("doc_id", "n_shingles", "component_id")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_decontaminate": op1_decontaminate,
@@ -124,8 +134,10 @@ def queries() -> dict[str, Query]:
         "op8_pii": op8_pii,
         "op9_licenses": op9_licenses,
         "op10_nearest": op10_nearest,
+        "op12_clusters": op12_clusters,
+        "op13_similar": op13_similar,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontaminate": sql.OP1, "op5_warc": sql.OP5, "op6_substring": sql.OP6}
+    return {"op1_decontaminate": sql.OP1, "op5_warc": sql.OP5, "op6_substring": sql.OP6, "op12_clusters": sql.OP12}

@@ -66,3 +66,52 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT)
   sha256(coalesce(k, '')) AS kept_sha256
 FROM d LEFT JOIN removed USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
+
+
+def _op12(size: int = 64, clusters: int = 40, rounds: int = 5) -> str:
+    """Rounds of centroids, one after the other; all sums are of whole numbers."""
+    near = """
+a{r} AS MATERIALIZED (
+  SELECT id, arg_min(k, (d, k)) AS k, min(d) AS d
+  FROM (SELECT v.id, c.k, list_sum(list_transform(list_zip(v.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d
+        FROM v, c{r} AS c)
+  GROUP BY id
+)"""
+    move = """
+c{s} AS MATERIALIZED (
+  SELECT c.k, coalesce(m.x, c.x) AS x
+  FROM c{r} AS c LEFT JOIN (
+    SELECT k, list(x ORDER BY i) AS x
+    FROM (SELECT k, i, CAST(floor_div(sum(x), count(*)) AS BIGINT) AS x
+          FROM (SELECT a.k, unnest(v.x) AS x, generate_subscripts(v.x, 1) AS i FROM a{r} AS a JOIN v USING (id))
+          GROUP BY k, i)
+    GROUP BY k) AS m USING (k)
+)"""
+    floor_div = "(CAST(sum(x) AS HUGEINT) - ((CAST(sum(x) AS HUGEINT) % count(*)) + count(*)) % count(*)) // count(*)"
+    steps = [
+        f"""
+raw AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+v AS MATERIALIZED (
+  SELECT row_number() OVER () AS id, vec_id, list_transform(e, lambda y: CAST(floor(256 * y) AS BIGINT)) AS x
+  FROM raw
+  WHERE len(e) = {size} AND len(list_filter(e, lambda y: y IS NOT NULL AND isfinite(y))) = {size}
+)""",
+        f"""
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, x) - 1 AS k, x
+  FROM (SELECT sha256('2:' || vec_id) AS h, x FROM v ORDER BY h, x LIMIT {clusters})
+)""",
+    ]
+    for r in range(rounds):
+        steps += [near.format(r=r), move.format(r=r, s=r + 1).replace("floor_div(sum(x), count(*))", floor_div)]
+    steps.append(near.format(r=rounds))
+    return f"""
+WITH {",".join(steps)}
+SELECT v.vec_id, CAST(a.k AS INTEGER) AS cluster, CAST(a.d AS BIGINT) AS distance,
+  CAST(sum(a.d) OVER (PARTITION BY a.k) AS BIGINT) AS cluster_inertia, CAST(sum(a.d) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM a{rounds} AS a JOIN v USING (id) JOIN c{rounds} AS c USING (k)
+"""
+
+
+OP12 = _op12()
