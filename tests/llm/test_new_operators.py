@@ -1,4 +1,4 @@
-"""Centroids and similar texts next to plain implementations, and odd inputs."""
+"""Aligned tokens, centroids and similar texts next to plain implementations, and odd inputs."""
 
 import hashlib
 import math
@@ -7,7 +7,7 @@ import re
 
 import pytest
 
-from tradelake.llm import clusters, parity
+from tradelake.llm import alignment, clusters, parity
 
 # --- centroids
 
@@ -153,3 +153,96 @@ def test_pigeonhole_holds():
                 break
         else:
             assert min(len(x) for x in pair) < parity.FIRST
+
+
+# --- aligned tokens
+
+FILES = ("/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model")
+
+
+def plain_alignment(texts):
+    from sentencepiece import SentencePieceProcessor
+    from tokenizers import Tokenizer
+
+    first, second = Tokenizer.from_file(FILES[0]), SentencePieceProcessor(model_file=FILES[1])
+    first.encode_special_tokens = True
+    alphabet = {c: b for c, b in alignment._letters().items()}
+    rows, holders = [], {}
+    for t in texts:
+        a_ids = first.encode(" " + t, add_special_tokens=False).ids if t else []
+        b_ids = second.encode(t) if t else []
+        a = [bytes(alphabet[c] for c in first.id_to_token(i)) for i in a_ids]
+        b = []
+        for i in b_ids:
+            piece = second.id_to_piece(i)
+            b.append(bytes([int(piece[3:5], 16)]) if re.fullmatch("<0x..>", piece) else piece.replace("\u2581", " ").encode())
+        if not t or b"".join(a) != (" " + t).encode() or b"".join(b) != (" " + t).encode():
+            rows.append(([], [], [], []))
+            continue
+        ends = [[sum(map(len, side[: k + 1])) for k in range(len(side))] for side in (a, b)]
+        cuts = sorted(set(ends[0]) & set(ends[1]))
+        groups = [[[i for i, e in zip(ids, es, strict=True) if lo < e <= hi] for ids, es in zip((a_ids, b_ids), ends, strict=True)] for lo, hi in zip([0, *cuts], cuts, strict=False)]
+        starts = [[0, *e[:-1]] for e in ends]
+        pairs = [
+            (x, y)
+            for x, s, e in zip(a_ids, starts[0], ends[0], strict=True)
+            for y, u, v in zip(b_ids, starts[1], ends[1], strict=True)
+            if s < v and u < e
+        ]
+        for p in set(pairs):
+            holders[p] = holders.get(p, 0) + 1
+        rows.append((a_ids, b_ids, groups, pairs))
+    top = {}
+    for (x, _), n in holders.items():
+        top[x] = max(n, top.get(x, 0))
+    out = []
+    for a_ids, b_ids, groups, pairs in rows:
+        text = ";".join("|".join(",".join(map(str, side)) for side in g) for g in groups)
+        best = sum(holders[p] == top[p[0]] for p in pairs)
+        out.append((len(a_ids), len(b_ids), len(groups), len(pairs), text, best, sum(holders[p] for p in pairs)))
+    return out
+
+
+TEXTS = [
+    None, "", " ", "a", "  two  spaces\n\n\ttabs ", "The quick brown fox doesn't jump.", "The quick brown fox", "the quick brown fox",
+    "<|endoftext|> <s> x </s> <unk> <0x41>", "\u2581 is a mark", "nul \x00 here", "日本語のテキスト", "na\u00efve caf\u00e9 \u00b2 \u00bd", "😀 emoji 👩‍👩‍👧",
+    "e\u0301 combined", "\u00a0\u2003blank\u0085", "12345678901234567890", "x" * 700, " " * 300, "unbelievably antidisestablishmentarianism", "The quick brown fox",
+]
+
+
+@pytest.mark.parametrize("head", [1 << 20, 16, 0])
+def test_alignment(spark, monkeypatch, head):
+    if head == 16:
+        monkeypatch.setattr(alignment, "HELD", 8)
+    docs = spark.createDataFrame([(i, t, "z", 5) for i, t in enumerate(TEXTS)], "doc_id long, text string, groups string, no int")
+    out = alignment.align(docs, *FILES, head=head)
+    assert out.columns == "doc_id no n_a n_b n_groups n_links groups n_best count_sum".split()
+    got = [tuple(r)[2:] for r in sorted(out.collect())]
+    assert got == plain_alignment(TEXTS)
+    assert sum(x[0] > 0 for x in got) > 12
+
+
+def test_quick_tokens_are_those_of_the_file():
+    side = alignment.ByteTokens(FILES[0])
+    assert side.quick is not None
+    rng = random.Random(4)
+    chars = [chr(c) for c in range(1, 0x250)] + [" ", "e", "'s", "\n", "1"] * 150
+    for _ in range(300):
+        t = "".join(rng.choices(chars, k=rng.randrange(60)))
+        assert side.encode(t) == side.slow.encode(t, add_special_tokens=False).ids
+
+
+def test_alignment_without_rows(spark):
+    docs = spark.createDataFrame([], "text string")
+    out = alignment.align(docs, *FILES, digest=True)
+    assert out.collect() == [] and out.columns == "n_a n_b n_groups n_links groups n_best count_sum".split()
+
+
+def test_pointers_follow_long_chains():
+    """Tokens of two and three bytes cross for six bytes at a time; of shifted twos, for ever."""
+    np = alignment.np
+    a, b = alignment.terminals(np.array([2, 4, 6, 8, 10, 12]), np.array([3, 6, 9, 12]))
+    assert a.tolist() == [1, 1, 1, 3, 3, 3] and b.tolist() == [1, 1, 3, 3]
+    ends = np.arange(2, 20_001, 2)
+    a, b = alignment.terminals(np.append(ends, 20_001), np.append(ends - 1, 20_001))
+    assert set(a.tolist()) == set(b.tolist()) == {len(ends)}

@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradelake.llm import ann, clusters, decontaminate, licenses, mixing, parity, pii, simhash, sql, substring, suffix_dedup, toxicity, warc
+from tradelake.llm import alignment, ann, clusters, decontaminate, licenses, mixing, parity, pii, simhash, sql, substring, suffix_dedup, toxicity, warc
 from tradelake.llm.common import read
 
 #: Key of the registered query's pseudonyms; a real run passes its own secret.
 PII_KEY = "registered query"
+#: Folder of the tokenizer files.
+TOKENIZERS = "/opt/tokenizers"
 #: Labelled documents that the domain classifier learns from at most.
 LABELLED = 20_000
 
@@ -112,6 +114,12 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(read(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
 
 
+def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    files = (f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model")
+    return alignment.align(docs, *files, digest=True).withColumnRenamed("groups", "groups_sha256")
+
+
 def op12_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, _ = clusters.cluster(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
     return rows.drop("embedding")
@@ -134,6 +142,7 @@ def queries() -> dict[str, Query]:
         "op8_pii": op8_pii,
         "op9_licenses": op9_licenses,
         "op10_nearest": op10_nearest,
+        "op11_align": op11_align,
         "op12_clusters": op12_clusters,
         "op13_similar": op13_similar,
     }
