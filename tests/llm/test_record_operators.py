@@ -264,7 +264,7 @@ def test_totals_meet_targets(spark):
     members = mixing.memberships(docs, model).cache()
     rates, reached = mixing.fit_rates(members, [1000.0, 500.0, 300.0])
     got = rates.collect()
-    totals = sum(r.copies * r.tokens * r.rate * np.array(r.p) for r in got)
+    totals = sum(r.tokens * r.rate * np.array(r.p) for r in got)
     assert np.allclose(totals, [1000, 500, 300], rtol=1e-3) and np.allclose(totals, reached, rtol=1e-9)
     assert min(r.rate for r in got) >= 0
     out = mixing.mix(docs, model, weights).collect()
@@ -276,18 +276,50 @@ def test_totals_meet_targets(spark):
     assert 0.6 < share < 0.8
 
 
-def test_posteriors_are_naive_bayes(spark):
+def test_posteriors_are_naive_bayes(spark, monkeypatch):
     rows = mixed(spark, 40)
     docs = spark.createDataFrame(rows, "doc_id long, text string, kind string, row string")
     model = mixing.fit_classifier(docs, domain_col="kind")
-    table = {r.bucket: [r.l0, r.l1, r.l2] for r in model.table.collect()}
-    bucket = {r["word"]: r["bucket"] for r in mixing._tokens(docs, "text", F.col("doc_id")).collect()}
-    key = {r.row: r.text for r in docs.select("text", F.xxhash64("doc_id", "text").alias("row")).collect()}
-    for r in mixing.memberships(docs, model).collect():
-        words = key[r.row].split()
-        logs = np.array(model.prior) + sum(np.array(table[bucket[w]]) for w in words) / math.sqrt(len(words))
-        p = np.exp(logs - logs.max())
-        assert np.allclose(r.p, p / p.sum())
+    table = {r.bucket: r.logs for r in model.table.collect()}
+    bucket = {r.w: r.b for r in docs.select(F.explode(F.split("text", " ")).alias("w")).select("w", mixing._bucket(F.col("w")).alias("b")).collect()}
+    counts = collections.Counter((bucket[w], k) for _, t, k, _ in rows for w in t.split())
+    sizes = collections.Counter(k for _, t, k, _ in rows for _ in t.split())
+    for b, logs in table.items():
+        want = [math.log((counts[b, k] + 0.5) / (sizes[k] + 0.5 * mixing.BUCKETS)) for k in "abc"]
+        assert np.allclose(logs, want)
+    assert len(table) == mixing.BUCKETS
+    for slab in (mixing.SLAB, 2):
+        monkeypatch.setattr(mixing, "SLAB", slab)
+        for r in mixing.memberships(docs, model).collect():
+            words = r.text.split()
+            logs = np.array(model.prior) + sum(np.array(table[bucket[w]]) for w in words) / math.sqrt(len(words))
+            p = np.exp(logs - logs.max())
+            assert np.allclose(r.p, p / p.sum()) and r.tokens == len(words)
+
+
+def test_tables_of_logs_are_not_carried_by_rows(spark):
+    docs = spark.createDataFrame(mixed(spark, 40), "doc_id long, text string, kind string, row string")
+    model = mixing.fit_classifier(docs, domain_col="kind")
+    plan = mixing.memberships(docs, model)._jdf.queryExecution().optimizedPlan().toString()
+    assert "scalar-subquery" in plan and "AS _slab" not in plan
+
+
+def test_many_domains(spark):
+    rows = [(i, f"word{i % 100} also{i % 100} the", f"d{i % 100:02}", "r") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, domain string, row string")
+    model = mixing.fit_classifier(docs, domain_col="domain")
+    assert len(model.domains) == 100
+    out = mixing.mix(docs.drop("domain"), model, {f"d{k:02}": 1.0 + k % 3 for k in range(100)}).collect()
+    kinds = {r[0]: r[2] for r in rows}
+    assert sum(r.domain == kinds[r.doc_id] for r in out) > 390 and all(r.copies >= 0 for r in out)
+
+
+def test_a_missed_target_is_told(spark):
+    rows = [(i, "a b c" if i else "x y z", "a" if i else "x", "r") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, domain string, row string")
+    model = mixing.fit_classifier(docs, domain_col="domain")
+    with pytest.warns(UserWarning, match="miss the target"):
+        mixing.mix(docs.where("doc_id > 0"), model, {"x": 1.0}).collect()
 
 
 def test_mixing_of_odd_texts(spark):

@@ -95,7 +95,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = mixing.fit_classifier(labelled_domains(spark, docs, sf_dir), domain_col="domain")
     docs = docs.select("doc_id", "text")
-    return mixing.mix(docs, model, domain_weights(model)).drop("text")
+    return mixing.mix(docs, model, domain_weights(model), with_text=False)
 
 
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
