@@ -12,6 +12,7 @@ import os
 import sys
 import uuid
 from collections.abc import Callable
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -500,6 +501,7 @@ def _query_surface() -> dict[str, Query]:
             **FLOWS_ONLY,
         ),
         "engine_run": _on_trade(engine_run, **FLOWS_ONLY),
+        "engine_isolated": _on_trade(engine_isolated, **FLOWS_ONLY),
     }
 
 
@@ -945,6 +947,44 @@ def exact_text(t: DataFrame) -> DataFrame:
     return rows.select("partner_code", F.col("net_trade").cast("string").alias("net_trade"))
 
 
+def engine_isolated(t: DataFrame) -> DataFrame:
+    """Metrics that overflow, divide by zero or raise, next to good ones and a median by histogram."""
+    huge = Metric.total("huge", F.lit(Decimal("9" * 38)))
+    middle = Metric.mergeable(
+        "median_year", {"n": F.count(F.lit(1))}, F.percentile("ref_year", 0.5, F.col("_median_year_n")), keys=("ref_year",)
+    )
+    raising = {"n": F.max(F.assert_true(F.col("quantity_qty") < 0))}
+    run = (
+        Analysis("isolated")
+        .with_metric(
+            Metric.count(),
+            huge,
+            (huge + Metric.sum_fob_value()).named("huge_too"),
+            (Metric.count() / (Metric.count() - Metric.count())).named("by_zero"),
+            Metric.mergeable("raising", raising, F.max("_raising_n").cast("double")),
+            Metric.custom("raising_alone", F.sum(F.when(F.col("quantity_qty") < 0, 1).otherwise(F.raise_error(F.lit("no")).cast("int")))),
+            Metric.custom("largest_year", F.max("ref_year")),
+            middle,
+        )
+        .with_aggregation(
+            Aggregation("median_by_flow", ("flow_code",), middle),
+            Aggregation("huge_by_flow", ("flow_code",), huge),
+        )
+        .run(t)
+    )
+    names = run.metrics.columns
+    each = F.array(*(F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in names))
+    metrics = run.metrics.select(F.explode(each).alias("m")).select("m.name", F.lit("").alias("key"), "m.value")
+    groups = run.aggregation("median_by_flow").select(
+        F.lit("median_by_flow").alias("name"), F.col("flow_code").alias("key"), F.col("metric_value").alias("value")
+    )
+    none = run.aggregation("huge_by_flow").select(F.lit("huge_by_flow").alias("name"), "flow_code", F.lit(1.0).alias("value"))
+    # of raised errors only the fact is shown, not Spark's wording
+    why = F.when(F.col("reason").isin("a sum does not fit", "no value", "a group has no value"), F.col("reason")).otherwise("raised")
+    problems = run.problems.select(F.concat_ws(" ", "level", "kind", "name").alias("name"), why.alias("key"), F.lit(0.0).alias("value"))
+    return metrics.union(groups).union(none).union(problems)
+
+
 def custom_metric(t: DataFrame) -> DataFrame:
     """Any aggregate as a metric: the width of the values, and a sum combined with another."""
     spread = Metric.custom("spread", F.max(VALUE) - F.min(VALUE))

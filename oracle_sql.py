@@ -947,6 +947,17 @@ def storage_sql() -> dict[str, str]:
                 else cast(0 as decimal(38,18)) end) as varchar) as net_trade
             from trade where reporter_code = 15 and flow_code in ('X', 'M') group by partner_code"""
         ),
+        "engine_isolated": q(
+            """select 'count' as name, '' as key, cast(count(*) as double) as value from trade
+            union all select 'largest_year', '', cast(max(ref_year) as double) from trade
+            union all select 'median_year', '', quantile_cont(ref_year, 0.5) from trade
+            union all select name, '', null from (values ('huge'), ('huge_too'), ('by_zero'), ('raising'), ('raising_alone')) x(name)
+            union all select 'median_by_flow', flow_code, quantile_cont(ref_year, 0.5) from trade group by flow_code
+            union all select * from (values
+              ('warning metric huge', 'a sum does not fit', 0.0), ('warning metric huge_too', 'a sum does not fit', 0.0),
+              ('warning metric by_zero', 'no value', 0.0), ('warning metric raising', 'raised', 0.0),
+              ('warning metric raising_alone', 'raised', 0.0), ('error aggregation huge_by_flow', 'a group has no value', 0.0)) y"""
+        ),
         "custom_metric": q(
             f"""select {dbl("max(v) - min(v)", "spread")},
             {dbl("coalesce(sum(cif), 0) - coalesce(sum(fob), 0)", "margin")},

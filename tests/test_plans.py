@@ -136,7 +136,7 @@ def scans(df):
 
 
 @pytest.mark.parametrize(
-    ("name", "most"), [("balance_full_outer", 2), ("update_counts", 5), ("country_balance", 1)]
+    ("name", "most"), [("balance_full_outer", 2), ("update_counts", 5), ("country_balance", 1), ("engine_run", 1)]
 )
 def test_number_of_fact_scans(spark, name, most):
     import __spark_entry__ as entry

@@ -9,6 +9,8 @@ from tradelake.functions import codes
 from tradelake.operators import balance, commodity, compare, country, partner, timeseries
 from tradelake.operators.metrics import Aggregation, Filter, Metric
 from tradelake.plans import reports
+from pyspark.sql import functions as F
+
 from tradelake.plans.analysis import Analysis
 
 
@@ -295,13 +297,52 @@ def test_metrics_and_analysis(t, nothing):
     }
     empty = Analysis(metrics=(Metric.sum_primary_value(), Metric.avg_primary_value())).run(nothing)
     assert empty.metric("sum_primary_value") == 0
-    assert [p["name"] for p in records(empty.problems)] == ["avg_primary_value"]
+    assert [(p["name"], p["reason"]) for p in records(empty.problems)] == [("avg_primary_value", "no value")]
     with pytest.raises(ValueError):
         Aggregation("x", ("weight",), Metric.count())
     with pytest.raises(KeyError):
         run.metric("other")
 
 
+def test_failed_metrics_leave_the_others(t):
+    huge = Metric.total("huge", F.lit(D("9" * 38)))
+    run = Analysis(
+        metrics=(
+            huge,
+            Metric.custom("bad", F.sum(F.raise_error(F.lit("broken")).cast("int"))),
+            Metric.mergeable("worse", {"n": F.max(F.assert_true(F.lit(False)))}, F.max("_worse_n").cast("int")),
+            Metric.custom("none", F.col("no_such_column")),
+            Metric.sum_primary_value(),
+            Metric.distinct_partners(),
+            Metric.distinct_reporters(),
+        ),
+        aggregations=(
+            Aggregation("by_flow", ("flow_code",), Metric.distinct_partners()),
+            Aggregation("all", (), Metric.count()),
+            Aggregation("bad", ("flow_code",), Metric.custom("bad", F.sum(F.raise_error(F.lit("x")).cast("int")))),
+            Aggregation("huge", ("flow_code",), huge),
+        ),
+    ).run(t)
+    row = records(run.metrics)[0]
+    assert list(row) == ["huge", "bad", "worse", "none", "sum_primary_value", "distinct_partners", "distinct_reporters"]
+    plain = t.agg(F.sum("trade_value_primary_value"), F.count_distinct("partner_code"), F.count_distinct("reporter_code")).first()
+    assert tuple(row.values()) == (None, None, None, None, *plain)
+    told = {(p["kind"], p["name"]): p["reason"] for p in records(run.problems)}
+    assert set(told) == {("metric", n) for n in ("huge", "bad", "worse", "none")} | {("aggregation", n) for n in ("bad", "huge")}
+    assert told["metric", "huge"] == "a sum does not fit" and "broken" in told["metric", "bad"]
+    flows = {r["flow_code"]: (r["metric_value"], r["record_count"]) for r in records(run.aggregation("by_flow"))}
+    want = t.groupBy("flow_code").agg(F.count_distinct("partner_code").alias("n"), F.count(F.lit(1)).alias("c"))
+    assert flows == {r.flow_code: (r.n, r.c) for r in want.collect()}
+    assert [r["metric_value"] for r in records(run.aggregation("all"))] == [t.count()]
+    assert records(run.aggregation("bad")) == records(run.aggregation("huge")) == []
+
+
+def test_an_error_that_is_no_metric_s_own_stops_the_run(t):
+    broken = t.withColumn("trade_value_primary_value", F.raise_error(F.lit("disk")).cast("decimal(38,18)"))
+    with pytest.raises(Exception, match="disk"):
+        Analysis(metrics=(Metric.sum_primary_value(),)).run(broken)
+
+
 def test_last_of_two_metrics_with_one_name_is_used(t):
     run = Analysis(metrics=(Metric.count(), Metric.max_year().named("count"))).run(t)
     assert run.metric("count") == 2021

@@ -13,13 +13,33 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradelake.functions.ratios import minus, plus, ratio
+from tradelake.functions.ratios import ratio
 from tradelake.schema import VALUE
 
 
+#: One digit less before the point, so that a sum of two amounts keeps all 18 decimals.
+_TERM = "decimal(37,18)"
+
+
+def _plus(a: Column, b: Column) -> Column:
+    return a.try_cast(_TERM) + b.try_cast(_TERM)
+
+
+def _minus(a: Column, b: Column) -> Column:
+    return a.try_cast(_TERM) - b.try_cast(_TERM)
+
+
+def _overflown(column: Column) -> Column:
+    """Whether values are there, but their sum doesn't fit."""
+    return (F.count(column) > 0) & F.try_sum(column).isNull()
+
+
 @dataclass(frozen=True)
 class Metric:
-    """A named aggregate.  ``may_fail`` marks metrics that can be null on a non-empty group."""
+    """A named aggregate.  ``may_fail`` marks metrics that can be null on a non-empty group.
+
+    No built-in metric stops the job: a sum that doesn't fit, like a division by zero, is null.
+    """
 
     name: str
     build: Callable[[], Column]
@@ -33,6 +53,10 @@ class Metric:
     buffers: tuple[tuple[str, Callable[[], Column]], ...] = ()
     keys: tuple[str, ...] = ()
     merge: Callable[[], Column] | None = None
+    #: Whether the value is missing because a sum didn't fit, over those rows.
+    overflow: Callable[[], Column] | None = None
+    #: Given by the caller, so that its expressions may stop a job.
+    given: bool = False
 
     def merged(self) -> Column:
         return self.merge().alias(self.name)
@@ -41,15 +65,15 @@ class Metric:
         return self.build().alias(self.name)
 
     def __add__(self, other: Metric) -> Metric:
-        return self._with(other, "+", lambda a, b: a + b, plus)
+        return self._with(other, "+", lambda a, b: F.try_add(a, b), _plus)
 
     def __sub__(self, other: Metric) -> Metric:
-        return self._with(other, "-", lambda a, b: a - b, minus)
+        return self._with(other, "-", lambda a, b: F.try_subtract(a, b), _minus)
 
     def __mul__(self, other: Metric) -> Metric:
         """The product; of amounts a double, as twice the decimals fit no column."""
         return self._with(
-            other, "×", lambda a, b: a * b, lambda a, b: a.cast("double") * b.cast("double")
+            other, "×", lambda a, b: F.try_multiply(a, b), lambda a, b: a.cast("double") * b.cast("double")
         )
 
     def __truediv__(self, other: Metric) -> Metric:
@@ -70,13 +94,18 @@ class Metric:
             buffers=(*self.buffers, *other.buffers),
             keys=(*self.keys, *other.keys),
             merge=(lambda: combine(self.merge(), other.merge())) if self.merge and other.merge else None,
+            overflow=lambda: self.overflown() | other.overflown(),
+            given=self.given or other.given,
             build=lambda: combine(self.build(), other.build()),
             description=f"{self.description} {sign} {other.description}",
             may_fail=self.may_fail or other.may_fail,
         )
 
-    def _in_steps(self, buffers: dict[str, Callable[[], Column]], merge) -> Metric:
-        return replace(self, buffers=tuple(buffers.items()), merge=merge)
+    def overflown(self) -> Column:
+        return self.overflow() if self.overflow else F.lit(False)
+
+    def _in_steps(self, buffers: dict[str, Callable[[], Column]], merge, overflow=None) -> Metric:
+        return replace(self, buffers=tuple(buffers.items()), merge=merge, overflow=overflow)
 
     def named(self, name: str) -> Metric:
         """The same metric under another column name."""
@@ -89,14 +118,32 @@ class Metric:
         )
 
     @classmethod
-    def _sum(cls, name: str, column: str, unit: str | None) -> Metric:
+    def total(cls, name: str, column: Column, *, unit: str | None = None, description: str = "") -> Metric:
+        """Sum of any column, 0 without values, null where it doesn't fit."""
+        return cls._total(name, lambda: column, name, description or name, unit)
+
+    @classmethod
+    def _total(cls, name: str, column: Callable[[], Column], key: str, description: str, unit: str | None) -> Metric:
+        held, over = f"_sum_{key}", f"_over_{key}"
+        overflow = lambda: F.coalesce(F.bool_or(over), F.lit(False)) | _overflown(F.col(held))
+        none = lambda total, bad: F.when(~bad, F.coalesce(total, F.lit(0)))
         return cls(
-            name, lambda: F.coalesce(F.sum(column), F.lit(0)), f"Sum of {column}", unit, kind="amount"
+            name,
+            lambda: none(F.try_sum(column()), _overflown(column())),
+            description,
+            unit,
+            kind="amount",
+            may_fail=True,
         )._in_steps(
-            {f"_sum_{column}": lambda: F.sum(column)},
-            lambda: F.coalesce(F.sum(f"_sum_{column}"), F.lit(0)),
+            {held: lambda: F.try_sum(column()), over: lambda: _overflown(column())},
+            lambda: none(F.try_sum(held), overflow()),
+            overflow,
         )
 
+    @classmethod
+    def _sum(cls, name: str, column: str, unit: str | None) -> Metric:
+        return cls._total(name, lambda: F.col(column), column, f"Sum of {column}", unit)
+
     @classmethod
     def sum_primary_value(cls) -> Metric:
         return cls._sum("sum_primary_value", VALUE, "USD")
@@ -115,15 +162,17 @@ class Metric:
 
     @classmethod
     def avg_primary_value(cls) -> Metric:
+        total = cls.sum_primary_value()
         return cls(
             "avg_primary_value",
-            lambda: ratio(F.sum(VALUE), F.count(VALUE)),
+            lambda: ratio(total.build(), F.count(VALUE)),
             f"Mean of {VALUE}",
             "USD",
             may_fail=True,
         )._in_steps(
-            {f"_sum_{VALUE}": lambda: F.sum(VALUE), "_valued": lambda: F.count(VALUE)},
-            lambda: ratio(F.sum(f"_sum_{VALUE}"), F.sum("_valued")),
+            {**dict(total.buffers), "_valued": lambda: F.count(VALUE)},
+            lambda: ratio(total.merge(), F.sum("_valued")),
+            total.overflow,
         )
 
     @classmethod
@@ -166,8 +215,34 @@ class Metric:
     def custom(
         cls, name: str, expression: Column, *, description: str = "", unit: str | None = None
     ) -> Metric:
-        """Any aggregate column, including a grouped-aggregate pandas UDF call."""
-        return cls(name, lambda: expression, description or name, unit, may_fail=True)
+        """Any aggregate column, including a grouped-aggregate pandas UDF call.  It reads the facts
+        by itself; see ``mergeable`` for one that shares the pass of the others."""
+        return cls(name, lambda: expression, description or name, unit, may_fail=True, given=True)
+
+    @classmethod
+    def mergeable(
+        cls,
+        name: str,
+        buffers: dict[str, Column],
+        value: Column,
+        *,
+        keys: Sequence[str] = (),
+        whole: Column | None = None,
+        description: str = "",
+        unit: str | None = None,
+    ) -> Metric:
+        """A metric in two steps: ``buffers`` are aggregates over the facts of each combination of
+        ``keys``, and of whatever else a run groups by; ``value`` is an aggregate over those few rows.
+
+        The facts are thus aggregated before the shuffle, and a histogram (keys and a count) makes
+        medians and the like out of one row a key.  ``whole`` is the same over the facts at once, for
+        use outside a run.  Names of buffers begin with the metric's own name.
+        """
+        own = {f"_{name}_{n}": (lambda c=c: c) for n, c in buffers.items()}
+        direct = whole if whole is not None else F.lit(None)
+        return cls(name, lambda: direct, description or name, unit, may_fail=True, keys=tuple(keys), given=True)._in_steps(
+            own, lambda: value
+        )
 
 
 def standard_metrics() -> list[Metric]:
@@ -259,19 +334,19 @@ class Filter:
         return Filter(
             f"({self.name}) AND ({other.name})",
             lambda df: self.column(df) & other.column(df),
-            f"{self.description}; AND {other.description}",
+            f"both of: {self.description} / {other.description}",
         )
 
     def __or__(self, other: Filter) -> Filter:
         return Filter(
             f"({self.name}) OR ({other.name})",
             lambda df: self.column(df) | other.column(df),
-            f"{self.description}; OR {other.description}",
+            f"one of: {self.description} / {other.description}",
         )
 
     def __invert__(self) -> Filter:
         return Filter(
-            f"NOT ({self.name})", lambda df: ~self.column(df), f"NOT ({self.description})"
+            f"NOT ({self.name})", lambda df: ~self.column(df), f"all but: {self.description}"
         )
 
     @classmethod
@@ -279,7 +354,7 @@ class Filter:
         return cls(
             f"{label}={value}",
             lambda df: F.col(column).eqNullSafe(F.lit(value)),
-            f"{column} equals {value!r}",
+            f"rows whose {column} is {value!r}",
         )
 
     @classmethod
@@ -313,7 +388,7 @@ class Filter:
         return cls(
             f"year IN {{{text}}}",
             lambda df: F.col("ref_year").isNotNull() & F.col("ref_year").isin(wanted),
-            f"ref_year is one of {wanted}",
+            f"rows of the years {text}",
         )
 
     @classmethod
