@@ -43,7 +43,7 @@ from tradelake.operators.predicates import FieldTest  # noqa: E402
 from tradelake.operators.query import Query as TradeQuery  # noqa: E402
 from tradelake.plans import pipeline, reports  # noqa: E402
 from tradelake.plans.analysis import Analysis, metric_row  # noqa: E402
-from tradelake.schema import COMPOSITE_KEY, SEQ, VALUE  # noqa: E402
+from tradelake.schema import COMPOSITE_KEY, SEQ, VALUE, as_canonical, flat_record, nested_record  # noqa: E402
 from tradelake.session import work_folder  # noqa: E402
 from tradelake.sources import codelists, datasets, fixtures, registry, responses  # noqa: E402
 from tradelake.sources.fixtures import table, trade_table  # noqa: E402
@@ -947,6 +947,96 @@ def exact_text(t: DataFrame) -> DataFrame:
     return rows.select("partner_code", F.col("net_trade").cast("string").alias("net_trade"))
 
 
+def registry_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Provenance rows of a first write and a merge, and what the gate says to another parser's batch."""
+    t = fixtures.full_table(spark, sf_dir)
+    path, rows = _aside(spark, "gated"), _aside(spark, "registry")
+    kept = {"registry_path": rows, "name": "gated", "order": ORDER}
+    update.update_dataset(_existing(t), path, **kept)
+    update.update_dataset(_batch(t), path, **kept)
+    try:
+        update.update_dataset(_batch(t), path, parser_name="other", **kept)
+        said = "taken"
+    except update.SchemaIncompatibleError as refused:
+        said = str(refused)
+    columns = ("dataset_name", "record_count", "duplicates_removed", "source_count", "backend", "parser_name")
+    stored = datasets.open_dataset(spark, path).agg(F.count(F.lit(1)).alias("stored_rows")).first()[0]
+    shown = registry.history(spark, rows, "gated").select(*columns)
+    return shown.withColumns({"stored_rows": F.lit(stored), "refused": F.lit(said)})
+
+
+def nested_and_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields of the nested view, and the same columns after it is flattened again."""
+    nested = as_canonical(fixtures.full_table(spark, sf_dir)).select(*nested_record())
+    flat = nested.select(
+        F.col("reporter.reporter_code").alias("nested_reporter"),
+        F.col("flow.flow_code").alias("nested_flow"),
+        F.col("partner2.partner2_code").alias("nested_partner2"),
+        *flat_record(),
+    )
+    return flat.groupBy("nested_reporter", "reporter_code", "nested_flow", "flow_code").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(VALUE).cast("double").alias("value"),
+        F.count_if(F.col("nested_partner2").eqNullSafe(F.col("partner2_code"))).alias("same_partner2"),
+    )
+
+
+def partner_report(t: DataFrame) -> DataFrame:
+    """Ranking of a reporter's partners, and how trade with one of them grew."""
+    made = reports.partner_analysis(t, reporter_code=REPORTER, flow="X", top_n=10, focus_partner=PARTNER)
+    value = F.col("total_trade").cast("double").alias("value")
+    rank, code = F.col("rank").cast("string").alias("key"), F.col("partner_code").cast("long").alias("code")
+    top = made["top_partners"].select(F.lit("rank").alias("kind"), rank, code, value)
+    points = made["growth_points"].select(F.lit("point"), "period", F.col("year").cast("long"), value)
+    nothing = F.lit(None).cast("double")
+    count = made["growth"].select(F.lit("growth"), F.lit(""), F.col("point_count").cast("long"), nothing)
+    return top.union(points).union(count)
+
+
+def stored_recipe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Summary and partner ranking of one reporter, from a dataset opened by its path."""
+    path = _stored(spark, fixtures.full_table(spark, sf_dir))
+    made = reports.stored_analysis(spark, path, reporter_code=REPORTER, limit=10)
+    shown = (F.col("record_count").cast("long").alias("records"), F.col("total_trade").cast("double").alias("value"))
+    summary = made["summary"].select(F.lit("summary").alias("kind"), F.col("partner_count").cast("long").alias("code"), *shown)
+    return summary.union(made["top_partners"].select(F.lit("partner"), F.col("partner_code").cast("long"), *shown))
+
+
+#: Raw code lists out of the test tables: the name a list is asked by, the table and its row number, an entry.
+RAW_LISTS = {
+    "References": (
+        "region",
+        "r_regionkey",
+        "'category', r_name, 'variable', 'v', 'description', if(r_regionkey = 3, ' ', 'd'), 'fileuri', concat('f/', r_regionkey)",
+    ),
+    "R03": (
+        "nation",
+        "n_nationkey",
+        "'PartnerCode', n_nationkey, 'PartnerDesc', n_name, 'PartnerCodeIsoAlpha2', if(n_nationkey % 5 = 0, 'xyz', 'ab')",
+    ),
+    "HSEdition": ("part", "p_partkey", "'id', if(p_partkey % 9 = 0, '123', lpad(p_partkey % 10000, 4, '0')), 'text', p_name"),
+    "Frequency": ("supplier", "s_suppkey", "'id', element_at(array('A', 'M', 'Z'), cast(s_suppkey % 3 as int) + 1), 'text', s_name"),
+    "R10": ("supplier", "s_suppkey", "'id', element_at(array('X', 'RM', 'x'), cast(s_suppkey % 3 as int) + 1), 'text', s_name"),
+    "TransportModes": ("nation", "n_nationkey", "'id', n_nationkey * 100 - 300, 'text', n_name"),
+    "R14": ("nation", "n_nationkey", "'qtyCode', n_nationkey, 'qtyAbbr', if(n_nationkey % 4 = 0, '', 'u'), 'qtyDescription', n_name"),
+    "DataItems": ("customer", "c_custkey", "'dataItem', concat('i', c_custkey % 40), 'description', c_name"),
+}
+
+
+def code_lists_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight lists, asked for by table name or number: valid entries, the first of each key."""
+    out = None
+    for name, (source, place, fields) in RAW_LISTS.items():
+        raw = table(spark, sf_dir, source).selectExpr(f"{place} as entry_no", f"to_json(named_struct({fields})) as json")
+        one = codelists.code_list(name, edition="HS2017" if name == "HSEdition" else None)
+        rows = one.parse(_listed(raw), order=("entry_no",))
+        label = next(c for c in ("display_name", "qty_description", "description") if c in rows.columns)
+        code = F.col(rows.columns[0]).cast("string").alias("code")
+        rows = rows.select(F.lit(name).alias("list"), code, F.col(label).alias("label"))
+        out = rows if out is None else out.union(rows)
+    return out
+
+
 def engine_isolated(t: DataFrame) -> DataFrame:
     """Metrics that overflow, divide by zero or raise, next to good ones and a median by histogram."""
     huge = Metric.total("huge", F.lit(Decimal("9" * 38)))
@@ -1000,6 +1090,11 @@ def _storage() -> dict[str, Query]:
         "stored_append": stored_rows("append"),
         "stored_update_counts": stored_update_counts,
         "stored_reports": stored_reports,
+        "stored_recipe": stored_recipe,
+        "registry_history": registry_history,
+        "nested_and_back": nested_and_back,
+        "partner_report": _on_trade(partner_report, **BY_PARTNER),
+        "code_lists_by_name": code_lists_by_name,
         "ingest_twice": ingest_twice,
         "ingest_latest": ingest_latest,
         "read_documents": read_documents,

@@ -947,6 +947,49 @@ def storage_sql() -> dict[str, str]:
                 else cast(0 as decimal(38,18)) end) as varchar) as net_trade
             from trade where reporter_code = 15 and flow_code in ('X', 'M') group by partner_code"""
         ),
+        "stored_recipe": q(
+            f"""select 'summary' as kind, count(distinct partner_code) as code, count(*) as records, {dbl(f"{X} + {M}", "value")}
+              from trade where reporter_code = 15
+            union all select * from (select 'partner', partner_code, count(*), cast({X} + {M} as double)
+              from trade where reporter_code = 15 group by partner_code order by {X} + {M} desc, partner_code limit 10)"""
+        ),
+        "registry_history": q(
+            """select 'gated' as dataset_name, record_count, duplicates_removed, source_count, 'parquet' as backend,
+              'parse_records' as parser_name, (select count(*) from final) as stored_rows,
+              $$parser_name mismatch: existing='parse_records', new='other'$$ as refused
+            from (select (select count(*) from first_write) as record_count, (select count(*) from existing) as source_count,
+                (select count(*) from existing) - (select count(*) from first_write) as duplicates_removed
+              union all select (select count(*) from final), (select count(*) from batch),
+                (select count(*) from batch) - (select count(*) from reduced))""",
+            BATCH,
+            f"first_write as ({pick('existing', 'seq desc, v desc, qty desc')})",
+            f"""final as (select seq from first_write e where not exists (select 1 from reduced b where {JOIN_KEY})
+              union all select seq from reduced)""",
+        ),
+        "nested_and_back": q(
+            """select reporter_code as nested_reporter, reporter_code, flow_code as nested_flow, flow_code, count(*) as n,
+              cast(sum(v) as double) as value, count(*) as same_partner2 from trade group by reporter_code, flow_code"""
+        ),
+        "partner_report": q(
+            f"""select 'rank' as kind, cast(row_number() over (order by value desc, code) as varchar) as key, code, value
+              from (select partner_code as code, cast({X} as double) as value from trade where reporter_code = 15
+                group by partner_code having count(case when flow_code = 'X' then 1 end) > 0 order by {X} desc, partner_code limit 10)
+            union all select 'point', period, ref_year, cast({X} + {M} as double) from trade
+              where reporter_code = 15 and partner_code = 7 group by ref_year, period
+            union all select 'growth', '', count(distinct (ref_year, period)), null from trade
+              where reporter_code = 15 and partner_code = 7"""
+        ),
+        "code_lists_by_name": """select 'References' as list, r_name as code, 'd' as label from region where r_regionkey <> 3
+            union all select 'R03', cast(n_nationkey as varchar), n_name from nation where n_nationkey % 5 <> 0
+            union all select 'HSEdition', lpad(cast(p_partkey % 10000 as varchar), 4, '0'), arg_min(p_name, p_partkey)
+              from part where p_partkey % 9 <> 0 group by 2
+            union all select 'Frequency', case s_suppkey % 3 when 0 then 'A' else 'M' end, arg_min(s_name, s_suppkey)
+              from supplier where s_suppkey % 3 < 2 group by 2
+            union all select 'R10', case s_suppkey % 3 when 0 then 'X' else 'RM' end, arg_min(s_name, s_suppkey)
+              from supplier where s_suppkey % 3 < 2 group by 2
+            union all select 'TransportModes', cast(n_nationkey * 100 - 300 as varchar), n_name from nation where n_nationkey >= 3
+            union all select 'R14', cast(n_nationkey as varchar), n_name from nation where n_nationkey % 4 <> 0
+            union all select 'DataItems', 'i' || (c_custkey % 40), arg_min(c_name, c_custkey) from customer group by 2""",
         "engine_isolated": q(
             """select 'count' as name, '' as key, cast(count(*) as double) as value from trade
             union all select 'largest_year', '', cast(max(ref_year) as double) from trade

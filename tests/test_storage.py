@@ -11,7 +11,7 @@ from tests.test_ingest import with_
 from tradelake import schema as S
 from tradelake.operators import balance, coverage, update
 from tradelake.plans import pipeline, reports
-from tradelake.sources import datasets, registry
+from tradelake.sources import codelists, datasets, registry
 
 
 @pytest.fixture(scope="module")
@@ -410,3 +410,23 @@ def test_malformed_lines_keep_their_text(spark, tmp_path):
 def test_a_sink_without_an_action_does_not_hang(t):
     done = pipeline.Pipeline("p", [pipeline.Stage("keep", lambda df: df)]).run(t, lambda df: df)
     assert done.status == pipeline.SUCCESS and done.records_in is None and done.counts == {"keep": None}
+
+
+def test_lists_by_table_name():
+    for name, known in codelists.TABLE_NAMES.items():
+        edition = "HS2012" if name in codelists.OF_AN_EDITION else None
+        assert codelists.code_list(name, edition=edition).name == known
+    with pytest.raises(ValueError, match="edition"):
+        codelists.code_list("R05")
+    with pytest.raises(KeyError):
+        codelists.code_list("R99")
+
+
+def test_the_registry_is_the_gate(spark, stored, tmp_path):
+    rows = str(tmp_path / "registry")
+    batch = datasets.open_dataset(spark, stored).limit(2)
+    update.update_dataset(batch, str(tmp_path / "new"), registry_path=rows, name="n")
+    assert registry.latest(spark, rows, "n").first().record_count == update.reduce_batch(batch).count()
+    with pytest.raises(update.SchemaIncompatibleError, match="schema_version"):
+        update.update_dataset(batch, str(tmp_path / "new"), registry_path=rows, name="n", schema_version="9")
+    update.update_dataset(batch, str(tmp_path / "new"), registry_path=rows, name="other", schema_version="9")

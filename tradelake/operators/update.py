@@ -140,7 +140,8 @@ def update_dataset(
     key may sit under another year or frequency than the batch row replacing it, so those folders
     are found by the key columns of the batch's reporters, in one pass that also counts the keys
     on both sides.  Rows of the batch are numbered on from the last stored number.  With
-    ``registry_path`` a provenance row tells the new record count.  ``order`` says which of the
+    ``registry_path`` a provenance row tells the new record count, and a batch of another schema or
+    parser than the newest row's is refused (``latest_metadata`` stands in for that row).  ``order`` says which of the
     batch's rows of one key is the last, by default the reading order.
 
     The new content of those folders is written aside first, since a folder cannot be read and
@@ -150,6 +151,8 @@ def update_dataset(
     """
     check_choice("mode", mode, MODES)
     spark = batch.sparkSession
+    if latest_metadata is None and registry_path is not None:
+        latest_metadata = registry.latest(spark, registry_path, name)
     fits, why = check_compatible(
         latest_metadata, schema_version=schema_version, parser_name=parser_name
     )
@@ -165,8 +168,20 @@ def update_dataset(
     try:
         if not datasets.path_exists(spark, path):
             datasets.write_dataset(reduced, path, fmt, compression=compression)
-            n = reduced.count()
-            return UpdateResult(mode, n, 0, given.count() - n, path)
+            n, total = reduced.count(), given.count()
+            if registry_path is not None:
+                registry.register(
+                    spark,
+                    registry_path,
+                    dataset_name=name,
+                    record_count=n,
+                    destination=path,
+                    backend=fmt,
+                    parser_name=parser_name,
+                    duplicates_removed=total - n,
+                    source_count=total,
+                )
+            return UpdateResult(mode, n, 0, total - n, path)
         existing = datasets.read_dataset(spark, path, fmt)
         if SEQ in reduced.columns and SEQ in existing.columns:
             reduced = reduced.withColumn(SEQ, F.col(SEQ) + F.lit(next_number(existing)))

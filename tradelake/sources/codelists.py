@@ -185,9 +185,38 @@ ALIASES = {
 }
 
 
+# The table names and numbers that lists are known by elsewhere.
+TABLE_NAMES = {
+    "References": "references",
+    "R01": "references",
+    "Reporters": "reporters",
+    "R02": "reporters",
+    "Partners": "partners",
+    "R03": "partners",
+    "HSCombined": "hs_codes",
+    "R04": "hs_codes",
+    "HSEdition": "hs_codes",
+    "R05": "hs_codes",
+    "Frequency": "frequencies",
+    "R09": "frequencies",
+    "TradeFlows": "trade_flows",
+    "R10": "trade_flows",
+    "TransportModes": "transport_modes",
+    "R12": "transport_modes",
+    "QuantityUnits": "quantity_units",
+    "R14": "quantity_units",
+    "DataItems": "data_items",
+    "R15": "data_items",
+}
+#: Names of the commodity list of one edition, which must be given.
+OF_AN_EDITION = ("HSEdition", "R05")
+
+
 def code_list(name: str, *, edition: str | None = None) -> CodeList:
-    """A list by name or alias; commodity lists may name an edition."""
-    known = ALIASES.get(name, name)
+    """A list by its name, another name or a table name; commodity lists may name an edition."""
+    if name in OF_AN_EDITION and edition is None:
+        raise ValueError(f"{name} needs an edition; known: {list(HS_EDITIONS)}")
+    known = TABLE_NAMES.get(name) or ALIASES.get(name, name)
     if known == "hs_codes" and edition is not None:
         return hs_list(edition)
     lists = code_lists()
