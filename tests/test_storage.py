@@ -412,7 +412,7 @@ def test_a_sink_without_an_action_does_not_hang(t):
     assert done.status == pipeline.SUCCESS and done.records_in is None and done.counts == {"keep": None}
 
 
-def test_lists_by_table_name():
+def test_lists_by_table_name(spark):
     for name, known in codelists.TABLE_NAMES.items():
         edition = "HS2012" if name in codelists.OF_AN_EDITION else None
         assert codelists.code_list(name, edition=edition).name == known
