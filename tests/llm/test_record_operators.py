@@ -130,6 +130,44 @@ def test_recall(spark):
     assert sum(j in {v for _, v in got[i]} for i, _, j, _ in want) / len(want) >= 0.9
 
 
+
+def test_nearest_puts_all_queries_to_all_rows_when_probes_find_too_few(spark, monkeypatch):
+    """One probe a table is far from the recall asked for, so the answer has to be exact."""
+    monkeypatch.setattr(ann, "PROBE_AXES", 1)
+    rng = np.random.default_rng(5)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(400, 24)))]
+    index = ann.build_index(vectors(spark, [(*r, 1, "x") for r in rows]), "vec_id", "embedding")
+    probes, recall = ann.fit_probes(index, index, 3)
+    assert probes == 1 and recall < ann.RECALL
+    out = ann.nearest(vectors(spark, [(*r, 1, "x") for r in rows]), F.col("id") % 4 == 0)
+    got = sorted((r.query_id, r["rank"], r.vec_id, round(r.score, 9)) for r in out.collect())
+    assert got == sorted((i, k, j, round(s, 9)) for i, k, j, s in plain_nearest(rows, lambda i: i % 4 == 0))
+
+
+def test_nearest_in_large_buckets_and_small_chunks(spark, monkeypatch):
+    """Buckets dealt over several keys, queries over several chunks and rows over pieces lose no pair."""
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(3, 16))
+    rows = [(i, (centres[i % 3] + 0.01 * rng.normal(size=16)).tolist()) for i in range(600)]
+    table = vectors(spark, [(*r, 1, "x") for r in rows])
+    whole = sorted(tuple(r) for r in ann.nearest(table, F.col("id") % 5 == 0).collect())
+    monkeypatch.setattr(ann, "BUCKET", 16)
+    monkeypatch.setattr(ann, "PIECE", 100)
+    assert sorted(tuple(r) for r in ann.nearest(table, F.col("id") % 5 == 0).collect()) == whole
+    assert len(whole) == 600
+
+
+def test_nearest_of_huge_and_tiny_vectors(spark):
+    """Squares of these numbers leave the range of doubles; their cosines don't."""
+    rows = [(i, [s * 1.0, s * (i % 4), s * 0.5]) for i, s in enumerate([1e200, 1e-200, 1.0, 1e300, 1e-300, 3.0, 1e160, 1e-170])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    out = ann.nearest(table, F.col("id") >= 0).collect()
+    small = [(i, [1.0, float(i % 4), 0.5]) for i, _ in rows]
+    want = {(i, j): s for i, _, j, s in plain_nearest(small, lambda i: True)}
+    assert len(out) == 40 and all(abs(r.score - want.get((r.query_id, r.vec_id), r.score)) < 1e-8 for r in out)
+    assert all(0 <= r.score <= 1 + 1e-12 for r in out)
+
+
 def test_no_vectors(spark):
     assert ann.nearest(vectors(spark, []), F.col("id") >= 0).collect() == []
     (one,) = [vectors(spark, [(1, [1.0, 1.0], 1, "x")])]

@@ -19,8 +19,10 @@ SEED = 20
 NEAREST = 5
 #: Sample queries that fix the number of probes, and the recall asked of them.
 SAMPLE, RECALL = 96, 0.96
-#: Probes that one pass over the index holds; queries go in blocks of so many.
-PROBES_HELD = 4 << 20
+#: Queries that are compared together, a power of two; and rows of the index that meet them in one piece.
+CHUNK, PIECE = 1 << 10, 1 << 16
+#: Rows of one bucket that stay together; larger buckets are dealt over several keys.
+BUCKET = 1 << 14
 #: Axes of each hash function that probes are drawn from.
 PROBE_AXES = 64
 
@@ -105,7 +107,7 @@ def _by_size(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 def build_index(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """One row per distinct vector, written: ``h1, h2`` (its key), ``ids`` (the NEAREST + 1 smallest),
-    ``vec``, ``codes`` (its bucket in each table)."""
+    ``vec``, ``codes`` (its bucket in each table), ``row`` (its number)."""
     rows = usable(vectors, id_col, vector_col)
     first = Window.partitionBy("h1", "h2").orderBy("id")
     least = (
@@ -130,7 +132,8 @@ def build_index(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*batch.columns, held], names=[*batch.schema.names, "codes"])
 
     schema = "h1 long, h2 long, ids array<long>, vec array<double>, codes array<int>"
-    return stored(classes.select("h1", "h2", "ids", "vec").mapInArrow(run, schema), "ann-index")
+    coded = classes.select("h1", "h2", "ids", "vec").mapInArrow(run, schema)
+    return stored(coded.withColumn("row", F.monotonically_increasing_id()), "ann-index")
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -144,45 +147,163 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return rows.select("id", "vec", F.xxhash64("vec").alias("h1"), F.xxhash64(F.lit(1), "vec").alias("h2"))
 
 
-class Block:
-    """Some queries and, unless all rows are to be scored, the buckets they probe."""
-
-    def __init__(self, vectors: list[list[float]], probes: list[np.ndarray] | None) -> None:
-        sizes = np.array([len(v) for v in vectors])
-        self.groups = {}
-        for size in np.unique(sizes):
-            of = np.flatnonzero(sizes == size)
-            m = np.array([vectors[i] for i in of], np.float64)
-            tables = None
-            if probes is not None:
-                p = np.stack([probes[i] for i in of])
-                tables = []
-                for t in range(TABLES):
-                    codes, query = p[:, t].ravel(), np.repeat(np.arange(len(of)), p.shape[2])
-                    order = np.argsort(codes, kind="stable")
-                    order = order[codes[order] >= 0]
-                    tables.append((codes[order], query[order].astype(np.int32)))
-            self.groups[int(size)] = (of, m, np.linalg.norm(m, axis=1), tables)
-
-    def candidates(self, size: int, codes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Pairs (row, query of the group) that meet in any table, each once."""
-        of, _, _, tables = self.groups[size]
-        step = max(1, (1 << 22) // len(of))
-        for at in range(0, len(codes), step):
-            part = codes[at : at + step]
-            if tables is None:
-                met = np.ones((len(part), len(of)), bool)
-            else:
-                met = np.zeros((len(part), len(of)), bool)
-                for t, (probed, query) in enumerate(tables):
-                    lo = np.searchsorted(probed, part[:, t], "left")
-                    n = np.searchsorted(probed, part[:, t], "right") - lo
-                    row = np.repeat(np.arange(len(part)), n)
-                    place = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
-                    met[row, query[place]] = True
-            row, query = np.nonzero(met)
-            for k in range(0, len(row), 1 << 18):
-                yield row[k : k + (1 << 18)] + at, query[k : k + (1 << 18)]
+def _numbered(queries: DataFrame) -> DataFrame:
+    """Query vectors, written, with their chunk and their place in it; a chunk holds CHUNK at most."""
+    q = F.monotonically_increasing_id()
+    chunk, place = F.shiftright(q, CHUNK.bit_length() - 1), q.bitwiseAND(F.lit(CHUNK - 1)).cast("int")
+    return stored(
+        queries.select("h1", "h2", "vec", chunk.alias("chunk"), place.alias("place")), "ann-queries"
+    )
+
+
+def _piece(pieces: int) -> F.Column:
+    return F.pmod("row", F.lit(pieces))
+
+
+def _bucket(code: F.Column, table: F.Column) -> F.Column:
+    """Bucket of a table as one number, apart for each number of components."""
+    d = F.size("vec").cast("long")
+    return F.shiftleft(d, 36).bitwiseOR(F.shiftleft(table.cast("long"), 31)).bitwiseOR(code.cast("long"))
+
+
+def _met(index: DataFrame, asked: DataFrame, probes: int) -> DataFrame:
+    """Rows that share a probed bucket with a query: ``row, chunk, places`` (those of the queries).
+
+    Numbers alone are joined.  Buckets of over BUCKET rows are dealt over several keys, which the
+    probes of such a bucket are repeated for, so that no task gets a bucket whole.
+    """
+    held = index.select("row", "vec", F.posexplode("codes").alias("t", "code"))
+    held = stored(held.select("row", _bucket(F.col("code"), F.col("t")).alias("b")), "ann-buckets")
+    probed = asked.select("chunk", "place", "vec").mapInArrow(
+        lambda x: _with_probes(x, probes), "chunk long, place int, vec array<double>, probes array<int>"
+    )
+    probed = probed.select("chunk", "place", "vec", F.posexplode("probes").alias("i", "code")).where("code >= 0")
+    table = F.floor(F.col("i") / F.lit(probes))
+    probed = probed.select("chunk", "place", _bucket(F.col("code"), table).alias("b"))
+    large = held.groupBy("b").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BUCKET)
+    large = stored(large.select("b", F.ceil(F.col("n") / BUCKET).cast("int").alias("keys")), "ann-large")
+    keys = F.coalesce("keys", F.lit(1))
+    held = held.join(large, "b", "left").select("row", "b", F.pmod("row", keys).cast("int").alias("key"))
+    probed = probed.join(large, "b", "left").select(
+        "chunk", "place", "b", F.explode(F.sequence(F.lit(0), keys - 1)).alias("key")
+    )
+    met = held.join(probed, ["b", "key"])
+    return met.groupBy("row", "chunk").agg(F.collect_set("place").alias("places"))
+
+
+def _all_rows(index: DataFrame, asked: DataFrame, pieces: int) -> DataFrame:
+    """Every row with every chunk of the queries: ``row, chunk, places``."""
+    chunks = asked.groupBy("chunk").agg(F.collect_set("place").alias("places"))
+    dealt = chunks.select("chunk", "places", F.explode(F.sequence(F.lit(0), F.lit(pieces - 1))).alias("piece"))
+    rows = index.select("row", _piece(pieces).cast("int").alias("piece"))
+    return rows.join(dealt, "piece").select("row", "chunk", "places")
+
+
+def _scored(index: DataFrame, asked: DataFrame, met: DataFrame, pieces: int) -> DataFrame:
+    """The best rows of each query among those it meets: ``chunk, place, score, id, h1, h2``.
+
+    The vectors of a chunk's queries and the rows they meet come to the same task, queries first; rows
+    pass by in batches, each with its own vector once for all queries of the chunk.
+    """
+    piece = _piece(pieces).alias("piece")
+    met = stored(met.select("row", "chunk", "places", piece), "ann-met")
+    wanted = met.select("chunk", "piece", F.explode("places").alias("place")).distinct()
+    none = lambda kind: F.lit(None).cast(kind)
+    queries = wanted.join(asked, ["chunk", "place"]).select(
+        "chunk", "piece", "place", "vec", none("array<int>").alias("places"), none("array<long>").alias("ids"), "h1", "h2"
+    )
+    rows = met.join(index, "row").select(
+        "chunk", "piece", none("int").alias("place"), "vec", "places", "ids", "h1", "h2"
+    )
+    both = queries.union(rows).repartition("chunk", "piece")
+    both = both.sortWithinPartitions("chunk", "piece", F.col("place").asc_nulls_last())
+    found = both.mapInArrow(_score_chunks, "chunk long, place int, score double, id long, h1 long, h2 long")
+    order = Window.partitionBy("chunk", "place").orderBy(F.desc("score"), "id")
+    found = found.withColumn("r", F.row_number().over(order)).where(F.col("r") <= NEAREST + 1).drop("r")
+    return stored(found, "ann-found")
+
+
+def _scaled(vectors: np.ndarray) -> np.ndarray:
+    """Rows times a power of two, so that squares neither overflow nor vanish; cosines stay the same."""
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1, keepdims=True))[1])
+
+
+class _Chunk:
+    """Queries of one chunk and the best rows found for them so far."""
+
+    def __init__(self, key: tuple[int, int]) -> None:
+        self.key = key
+        self.vectors: dict[int, dict[int, np.ndarray]] = {}
+        self.tables: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        self.best = [np.zeros(0, kind) for kind in (np.int64, np.float64, np.int64, np.int64, np.int64)]
+
+    def ask(self, batch: pa.RecordBatch) -> None:
+        places = batch.column("place").to_numpy()
+        for at, v in _by_size(batch.column("vec")):
+            self.vectors.setdefault(v.shape[1], {}).update(zip(places[at].tolist(), v, strict=True))
+
+    def _queries(self, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where each place of the chunk is in the matrix of this size (-1: of another size), matrix, norms."""
+        if size not in self.tables:
+            held = self.vectors.get(size, {})
+            where = np.full(CHUNK, -1)
+            where[list(held)] = np.arange(len(held))
+            m = _scaled(np.array(list(held.values()))) if held else np.zeros((0, size))
+            self.tables[size] = where, m, np.linalg.norm(m, axis=1)
+        return self.tables[size]
+
+    def meet(self, batch: pa.RecordBatch) -> None:
+        lists = [(batch.column(c), pc.list_value_length(batch.column(c)).to_numpy()) for c in ("places", "ids")]
+        (places, n_places), (ids, n_ids) = ((c.flatten().to_numpy(), n) for c, n in lists)
+        at_place, at_id = (np.cumsum(n) - n for n in (n_places, n_ids))
+        key = [batch.column(k).to_numpy() for k in ("h1", "h2")]
+        for rows, v in _by_size(batch.column("vec")):
+            where, asked, norms = self._queries(v.shape[1])
+            v = _scaled(v)
+            own = np.linalg.norm(v, axis=1)
+            r, spot = _unfolded(n_places[rows], at_place[rows])
+            place = places[spot]
+            r, place = (x[where[place] >= 0] for x in (r, place))
+            for k in range(0, len(r), 1 << 16):
+                of, row = place[k : k + (1 << 16)], r[k : k + (1 << 16)]
+                q = where[of]
+                score = np.einsum("ij,ij->i", v[row], asked[q]) / (own[row] * norms[q])
+                pair, spot = _unfolded(n_ids[rows[row]], at_id[rows[row]])
+                new = [of[pair], score[pair], ids[spot], *(x[rows[row[pair]]] for x in key)]
+                self.best = _best(*(np.concatenate(x) for x in zip(self.best, new, strict=True)))
+
+    def result(self) -> pa.RecordBatch:
+        place, score, ids, h1, h2 = self.best
+        columns = [np.full(len(place), self.key[0]), place.astype(np.int32), score, ids, h1, h2]
+        names = ["chunk", "place", "score", "id", "h1", "h2"]
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=names)
+
+
+def _unfolded(counts: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each value of lists laid end to end: number of its list, and its place in the flat array."""
+    which = np.repeat(np.arange(len(counts)), counts)
+    return which, np.arange(len(which)) - np.repeat(np.cumsum(counts) - counts - starts, counts)
+
+
+def _score_chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held = None
+    for whole in batches:
+        for start in range(0, whole.num_rows, 2048):
+            batch = whole.slice(start, 2048)
+            keys = np.stack([batch.column(c).to_numpy() for c in ("chunk", "piece")])
+            asks = batch.column("place").is_valid().to_numpy(zero_copy_only=False)
+            new = np.any(keys[:, 1:] != keys[:, :-1], axis=0) | (asks[1:] != asks[:-1])
+            cuts = [0, *(np.flatnonzero(new) + 1).tolist(), batch.num_rows]
+            for a, b in zip(cuts, cuts[1:]):
+                key = (int(keys[0, a]), int(keys[1, a]))
+                if held is None or held.key != key:
+                    if held is not None:
+                        yield held.result()
+                    held = _Chunk(key)
+                part = batch.slice(a, b - a)
+                held.ask(part) if asks[a] else held.meet(part)
+    if held is not None:
+        yield held.result()
 
 
 def _best(query: np.ndarray, score: np.ndarray, ids: np.ndarray, *key: np.ndarray) -> list[np.ndarray]:
@@ -195,68 +316,30 @@ def _best(query: np.ndarray, score: np.ndarray, ids: np.ndarray, *key: np.ndarra
     return [x[keep] for x in (query, score, ids, *key)]
 
 
-def _search(index: DataFrame, block: Block) -> DataFrame:
-    """For each query of the block, the best rows: ``q, score, id`` and the key ``h1, h2`` of the vector."""
-    shared = index.sparkSession.sparkContext.broadcast(block)
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = shared.value
-        best = [np.zeros(0, kind) for kind in (np.int64, np.float64, np.int64, np.int64, np.int64)]
-        for whole in batches:
-            for start in range(0, whole.num_rows, 4096):
-                batch = whole.slice(start, 4096)
-                ids = batch.column("ids")
-                id_counts = pc.list_value_length(ids).to_numpy()
-                id_starts = np.cumsum(id_counts) - id_counts
-                flat = ids.flatten().to_numpy()
-                key = [batch.column(k).to_numpy() for k in ("h1", "h2")]
-                codes = batch.column("codes").flatten().to_numpy().reshape(-1, TABLES)
-                for rows, v in _by_size(batch.column("vec")):
-                    if v.shape[1] not in block.groups:
-                        continue
-                    of, asked, norms, _ = block.groups[v.shape[1]]
-                    own = np.linalg.norm(v, axis=1)
-                    for r, q in block.candidates(v.shape[1], codes[rows]):
-                        score = np.einsum("ij,ij->i", v[r], asked[q]) / (own[r] * norms[q])
-                        n = id_counts[rows[r]]
-                        place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                        new = [
-                            np.repeat(of[q], n),
-                            np.repeat(score, n),
-                            flat[np.repeat(id_starts[rows[r]], n) + place],
-                            *(np.repeat(k[rows[r]], n) for k in key),
-                        ]
-                        best = _best(*(np.concatenate(x) for x in zip(best, new, strict=True)))
-        if len(best[0]):
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in best], names=["q", "score", "id", "h1", "h2"])
-
-    found = index.mapInArrow(run, "q long, score double, id long, h1 long, h2 long")
-    order = Window.partitionBy("q").orderBy(F.desc("score"), "id")
-    return found.withColumn("r", F.row_number().over(order)).where(F.col("r") <= NEAREST + 1)
-
-
-def fit_probes(index: DataFrame, queries: DataFrame) -> tuple[int, float]:
+def fit_probes(index: DataFrame, queries: DataFrame, pieces: int) -> tuple[int, float]:
     """The fewest probes a table (a power of two) that find RECALL of the true neighbours.
 
     Measured on at most SAMPLE query vectors (smallest key hashes), whose neighbours are looked for
     among all rows.  Returns the probes and the recall found on the sample.
     """
-    sample = queries.orderBy("h1", "h2").limit(SAMPLE).collect()
+    asked = _numbered(queries.orderBy("h1", "h2").limit(SAMPLE))
+    sample = {(r.chunk, r.place): r for r in asked.collect()}
     if not sample:
         return 1, 1.0
-    vectors = [list(r.vec) for r in sample]
-    true = _search(index, Block(vectors, None)).join(index.select("h1", "h2", "codes"), ["h1", "h2"])
+    true = _scored(index, asked, _all_rows(index, asked, pieces), pieces)
+    true = true.join(index.select("h1", "h2", "codes"), ["h1", "h2"])
     most = PROBE_AXES**AXES
-    order = [probe_codes(np.array([v]), most)[0] for v in vectors]
+    order = {k: probe_codes(np.array([r.vec]), most)[0] for k, r in sample.items()}
     places = []
     for r in true.collect():
-        if (r.h1, r.h2) != (sample[r.q].h1, sample[r.q].h2):
-            hits = [np.flatnonzero(order[r.q][t] == r.codes[t]) for t in range(TABLES)]
+        of = sample[r.chunk, r.place]
+        if (r.h1, r.h2) != (of.h1, of.h2):
+            hits = [np.flatnonzero(order[r.chunk, r.place][t] == r.codes[t]) for t in range(TABLES)]
             places.append(min((int(h[0]) for h in hits if len(h)), default=most))
     probes = 1
     found = lambda n: sum(p < n for p in places) / len(places) if places else 1.0
     while probes < most and found(probes) < RECALL:
-        probes *= 2
+        probes = min(2 * probes, most)
     return probes, found(probes)
 
 
@@ -272,30 +355,39 @@ def nearest(
     ``is_query`` says of ``id`` which rows ask; all rows but the query's own are candidates.
     Equal vectors are indexed and asked once, with their six smallest ids, which is all that any
     answer can hold; so a vector that a third of the rows share costs as much as one row.  Buckets
-    have no cap.  Queries go over the index in blocks of PROBES_HELD probes: rows that share a
-    bucket with a query in any table are scored exactly inside the task, and a task hands on the
-    best few of each query.  A query that meets fewer than six rows is put to all rows.  The number
-    of probes is fitted on SAMPLE query vectors, see ``fit_probes``.
+    have no cap.  Probed buckets and the rows' buckets are joined as numbers, by a shuffle; each row
+    then meets the queries it shares a bucket with, CHUNK of them at a time, and is scored exactly.
+    Neither queries nor candidates pass through the driver.
+
+    The number of probes is fitted on SAMPLE query vectors, see ``fit_probes``.  Where even the most
+    probes find less than RECALL of the sample's neighbours, all queries are put to all rows in
+    blocks; so is any query that meets fewer than six rows.
 
     Rows without an id, and vectors that are null, empty, zero, or hold nulls or non-finite
     numbers take no part.  Vectors compare with those of the same number of components only.  Rows
     that repeat both id and vector count once; an id with two vectors asks and answers for each.
-    Ties go to the smaller id.  Other columns are not read.  An empty table gives no rows.
+    Ties go to the smaller id.  Vectors of huge or tiny numbers are scaled by a power of two, which
+    leaves cosines as they are.  Other columns are not read.  An empty table gives no rows.
     """
     index = build_index(vectors, id_col, vector_col)
+    pieces = max(1, -(-index.count() // PIECE))
     asking = usable(vectors, id_col, vector_col).where(is_query).select("id", "h1", "h2").distinct()
-    classes = stored(
-        index.join(asking.select("h1", "h2").distinct(), ["h1", "h2"]).select("h1", "h2", "ids", "vec"),
-        "ann-queries",
+    asked = _numbered(index.join(asking.select("h1", "h2").distinct(), ["h1", "h2"]))
+    probes, recall = fit_probes(index, asked, pieces)
+    if recall < RECALL:
+        found = _scored(index, asked, _all_rows(index, asked, pieces), pieces)
+    else:
+        found = _scored(index, asked, _met(index, asked, probes), pieces)
+        met = found.groupBy("chunk", "place").agg(F.count("id").alias("n")).where(F.col("n") > NEAREST)
+        short = stored(asked.join(met, ["chunk", "place"], "left_anti").select(asked.columns), "ann-short")
+        again = _scored(index, short, _all_rows(index, short, pieces), pieces)
+        found = found.join(short.select("chunk", "place"), ["chunk", "place"], "left_anti").select(again.columns)
+        found = found.union(again)
+    keys = asked.select("chunk", "place", F.col("h1").alias("k1"), F.col("h2").alias("k2"))
+    own = (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2"))
+    answers = found.join(keys, ["chunk", "place"]).select(
+        F.col("k1").alias("h1"), F.col("k2").alias("h2"), F.col("id").alias("vec_id"), "score", own.alias("own")
     )
-    probes, _ = fit_probes(index, classes)
-    asked = stored(classes.mapInArrow(lambda x: _with_probes(x, probes), ASKED), "ann-probes")
-    answers = None
-    for block in _blocks(asked, max(1, PROBES_HELD // (TABLES * probes))):
-        answers = _answer(index, block, answers)
-    if answers is None:
-        spark = vectors.sparkSession
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     rows = asking.join(answers, ["h1", "h2"]).where(~((F.col("id") == F.col("vec_id")) & F.col("own")))
     order = Window.partitionBy("id", "h1", "h2").orderBy(F.desc("score"), "vec_id")
     return (
@@ -305,20 +397,6 @@ def nearest(
     )
 
 
-def _blocks(classes: DataFrame, size: int) -> Iterator[list]:
-    held = []
-    for row in classes.toLocalIterator():
-        held.append(row)
-        if len(held) == size:
-            yield held
-            held = []
-    if held:
-        yield held
-
-
-ASKED = "h1 long, h2 long, vec array<double>, probes array<int>"
-
-
 def _with_probes(batches: Iterable[pa.RecordBatch], probes: int) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for at in range(0, whole.num_rows, 64):
@@ -329,27 +407,4 @@ def _with_probes(batches: Iterable[pa.RecordBatch], probes: int) -> Iterator[pa.
             held = pa.ListArray.from_arrays(
                 pa.array(np.arange(0, codes.size + 1, TABLES * probes), pa.int32()), pa.array(codes.ravel())
             )
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("h1", "h2", "vec")), held], names=["h1", "h2", "vec", "probes"]
-            )
-
-
-def _answer(index: DataFrame, block: list, before: DataFrame | None) -> DataFrame:
-    """Answers to the block's queries, ``h1, h2, vec_id, score, own``, added to those before."""
-    spark = index.sparkSession
-    vectors = [list(r.vec) for r in block]
-    probes = [np.array(r.probes, np.int32).reshape(TABLES, -1) for r in block]
-    found = stored(_search(index, Block(vectors, probes)), "ann-found")
-    met = {r.q: r.n for r in found.groupBy("q").agg(F.count("id").alias("n")).collect()}
-    short = [i for i in range(len(block)) if met.get(i, 0) <= NEAREST]
-    if short:
-        again = _search(index, Block([vectors[i] for i in short], None))
-        back = spark.createDataFrame(list(enumerate(short)), "q long, i long")
-        again = again.join(back, "q").withColumn("q", F.col("i")).select(found.columns)
-        found = found.join(back.select(F.col("i").alias("q")), "q", "left_anti").select(found.columns).union(again)
-    keys = spark.createDataFrame([(i, r.h1, r.h2) for i, r in enumerate(block)], "q long, k1 long, k2 long")
-    own = (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2"))
-    answers = found.join(keys, "q").select(
-        F.col("k1").alias("h1"), F.col("k2").alias("h2"), F.col("id").alias("vec_id"), "score", own.alias("own")
-    )
-    return answers if before is None else before.union(answers)
+            yield pa.RecordBatch.from_arrays([*batch.columns, held], names=[*batch.schema.names, "probes"])
