@@ -9,6 +9,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
@@ -144,6 +145,12 @@ def test_nearest_puts_all_queries_to_all_rows_when_probes_find_too_few(spark, mo
     assert got == sorted((i, k, j, round(s, 9)) for i, k, j, s in plain_nearest(rows, lambda i: i % 4 == 0))
 
 
+def in_small_chunks(queries):
+    """Chunks of 32 queries; tasks only see that a chunk holds no more than they allow."""
+    q = queries.withColumn("n", F.row_number().over(Window.orderBy("h1", "h2")) - 1)
+    return q.select("h1", "h2", "vec", F.floor(F.col("n") / 32).alias("chunk"), (F.col("n") % 32).alias("place"))
+
+
 def test_nearest_in_large_buckets_and_small_chunks(spark, monkeypatch):
     """Buckets dealt over several keys, queries over several chunks and rows over pieces lose no pair."""
     rng = np.random.default_rng(6)
@@ -153,6 +160,7 @@ def test_nearest_in_large_buckets_and_small_chunks(spark, monkeypatch):
     whole = sorted(tuple(r) for r in ann.nearest(table, F.col("id") % 5 == 0).collect())
     monkeypatch.setattr(ann, "BUCKET", 16)
     monkeypatch.setattr(ann, "PIECE", 100)
+    monkeypatch.setattr(ann, "_numbered", in_small_chunks)
     assert sorted(tuple(r) for r in ann.nearest(table, F.col("id") % 5 == 0).collect()) == whole
     assert len(whole) == 600
 

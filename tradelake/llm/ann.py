@@ -20,7 +20,7 @@ NEAREST = 5
 #: Sample queries that fix the number of probes, and the recall asked of them.
 SAMPLE, RECALL = 96, 0.96
 #: Queries that are compared together, a power of two; and rows of the index that meet them in one piece.
-CHUNK, PIECE = 1 << 10, 1 << 16
+CHUNK, PIECE = 1 << 12, 1 << 16
 #: Rows of one bucket that stay together; larger buckets are dealt over several keys.
 BUCKET = 1 << 14
 #: Axes of each hash function that probes are drawn from.
@@ -148,7 +148,11 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 
 def _numbered(queries: DataFrame) -> DataFrame:
-    """Query vectors, written, with their chunk and their place in it; a chunk holds CHUNK at most."""
+    """Query vectors, written, with their chunk and their place in it; a chunk holds CHUNK at most.
+
+    They are dealt over so few partitions that chunks, which lie inside one, are full.
+    """
+    queries = queries.repartition(max(1, -(-queries.count() // (16 * CHUNK))), "h1", "h2")
     q = F.monotonically_increasing_id()
     chunk, place = F.shiftright(q, CHUNK.bit_length() - 1), q.bitwiseAND(F.lit(CHUNK - 1)).cast("int")
     return stored(
@@ -169,8 +173,9 @@ def _bucket(code: F.Column, table: F.Column) -> F.Column:
 def _met(index: DataFrame, asked: DataFrame, probes: int) -> DataFrame:
     """Rows that share a probed bucket with a query: ``row, chunk, places`` (those of the queries).
 
-    Numbers alone are joined.  Buckets of over BUCKET rows are dealt over several keys, which the
-    probes of such a bucket are repeated for, so that no task gets a bucket whole.
+    Numbers alone are joined, a row with the list of a chunk's queries that probe its bucket, so pairs
+    are never rows.  Buckets of over BUCKET rows are dealt over several keys, which the lists of such a
+    bucket are repeated for, so that no task gets a bucket whole.
     """
     held = index.select("row", "vec", F.posexplode("codes").alias("t", "code"))
     held = stored(held.select("row", _bucket(F.col("code"), F.col("t")).alias("b")), "ann-buckets")
@@ -180,15 +185,18 @@ def _met(index: DataFrame, asked: DataFrame, probes: int) -> DataFrame:
     probed = probed.select("chunk", "place", "vec", F.posexplode("probes").alias("i", "code")).where("code >= 0")
     table = F.floor(F.col("i") / F.lit(probes))
     probed = probed.select("chunk", "place", _bucket(F.col("code"), table).alias("b"))
+    probed = probed.groupBy("b", "chunk").agg(F.collect_set("place").alias("places"))
     large = held.groupBy("b").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BUCKET)
     large = stored(large.select("b", F.ceil(F.col("n") / BUCKET).cast("int").alias("keys")), "ann-large")
     keys = F.coalesce("keys", F.lit(1))
     held = held.join(large, "b", "left").select("row", "b", F.pmod("row", keys).cast("int").alias("key"))
     probed = probed.join(large, "b", "left").select(
-        "chunk", "place", "b", F.explode(F.sequence(F.lit(0), keys - 1)).alias("key")
+        "chunk", "places", "b", F.explode(F.sequence(F.lit(0), keys - 1)).alias("key")
     )
     met = held.join(probed, ["b", "key"])
-    return met.groupBy("row", "chunk").agg(F.collect_set("place").alias("places"))
+    return met.groupBy("row", "chunk").agg(
+        F.array_distinct(F.flatten(F.collect_list("places"))).alias("places")
+    )
 
 
 def _all_rows(index: DataFrame, asked: DataFrame, pieces: int) -> DataFrame:
@@ -288,8 +296,8 @@ def _unfolded(counts: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nd
 def _score_chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held = None
     for whole in batches:
-        for start in range(0, whole.num_rows, 2048):
-            batch = whole.slice(start, 2048)
+        for start in range(0, whole.num_rows, 512):
+            batch = whole.slice(start, 512)
             keys = np.stack([batch.column(c).to_numpy() for c in ("chunk", "piece")])
             asks = batch.column("place").is_valid().to_numpy(zero_copy_only=False)
             new = np.any(keys[:, 1:] != keys[:, :-1], axis=0) | (asks[1:] != asks[:-1])
