@@ -160,10 +160,6 @@ def _numbered(queries: DataFrame) -> DataFrame:
     )
 
 
-def _piece(pieces: int) -> F.Column:
-    return F.pmod("row", F.lit(pieces))
-
-
 def _bucket(code: F.Column, table: F.Column) -> F.Column:
     """Bucket of a table as one number, apart for each number of components."""
     d = F.size("vec").cast("long")
@@ -199,23 +195,29 @@ def _met(index: DataFrame, asked: DataFrame, probes: int) -> DataFrame:
     )
 
 
-def _all_rows(index: DataFrame, asked: DataFrame, pieces: int) -> DataFrame:
-    """Every row with every chunk of the queries: ``row, chunk, places``."""
-    chunks = asked.groupBy("chunk").agg(F.collect_set("place").alias("places"))
-    dealt = chunks.select("chunk", "places", F.explode(F.sequence(F.lit(0), F.lit(pieces - 1))).alias("piece"))
-    rows = index.select("row", _piece(pieces).cast("int").alias("piece"))
-    return rows.join(dealt, "piece").select("row", "chunk", "places")
+def _compared(index: DataFrame, asked: DataFrame, pieces: int) -> DataFrame:
+    """The best rows of each query among all rows, chunk after chunk of queries that are numbered without gaps."""
+    chunks = asked.groupBy("chunk").agg(F.max("place").alias("last")).collect()  # one row per CHUNK queries
+    every = F.array(*(F.struct(F.lit(r.chunk).cast("long").alias("chunk"), F.lit(r.last).alias("last")) for r in chunks))
+    met = index.select("row", F.explode(every).alias("c"))
+    met = met.select("row", "c.chunk", F.sequence(F.lit(0), F.col("c.last")).alias("places"))
+    numbers = F.sequence(F.lit(0).cast("long"), F.lit(pieces - 1).cast("long"))
+    wanted = asked.select("chunk", F.explode(numbers).alias("piece"), "place")
+    return _scored(index, asked, met, pieces, wanted)
 
 
-def _scored(index: DataFrame, asked: DataFrame, met: DataFrame, pieces: int) -> DataFrame:
+def _scored(index: DataFrame, asked: DataFrame, met: DataFrame, pieces: int, wanted: DataFrame | None = None) -> DataFrame:
     """The best rows of each query among those it meets: ``chunk, place, score, id, h1, h2``.
 
+    ``wanted`` says which pieces of the rows a query meets, where that need not be found out.
+
     The vectors of a chunk's queries and the rows they meet come to the same task, queries first; rows
     pass by in batches, each with its own vector once for all queries of the chunk.
     """
-    piece = _piece(pieces).alias("piece")
+    piece = F.pmod("row", F.lit(pieces).cast("long")).alias("piece")
     met = stored(met.select("row", "chunk", "places", piece), "ann-met")
-    wanted = met.select("chunk", "piece", F.explode("places").alias("place")).distinct()
+    if wanted is None:
+        wanted = met.select("chunk", "piece", F.explode("places").alias("place")).distinct()
     none = lambda kind: F.lit(None).cast(kind)
     queries = wanted.join(asked, ["chunk", "place"]).select(
         "chunk", "piece", "place", "vec", none("array<int>").alias("places"), none("array<long>").alias("ids"), "h1", "h2"
@@ -334,8 +336,7 @@ def fit_probes(index: DataFrame, queries: DataFrame, pieces: int) -> tuple[int,
     sample = {(r.chunk, r.place): r for r in asked.collect()}
     if not sample:
         return 1, 1.0
-    true = _scored(index, asked, _all_rows(index, asked, pieces), pieces)
-    true = true.join(index.select("h1", "h2", "codes"), ["h1", "h2"])
+    true = _compared(index, asked, pieces).join(index.select("h1", "h2", "codes"), ["h1", "h2"])
     most = PROBE_AXES**AXES
     order = {k: probe_codes(np.array([r.vec]), most)[0] for k, r in sample.items()}
     places = []
@@ -383,19 +384,14 @@ def nearest(
     asked = _numbered(index.join(asking.select("h1", "h2").distinct(), ["h1", "h2"]))
     probes, recall = fit_probes(index, asked, pieces)
     if recall < RECALL:
-        found = _scored(index, asked, _all_rows(index, asked, pieces), pieces)
+        answers = _answers(_compared(index, asked, pieces), asked)
     else:
         found = _scored(index, asked, _met(index, asked, probes), pieces)
-        met = found.groupBy("chunk", "place").agg(F.count("id").alias("n")).where(F.col("n") > NEAREST)
-        short = stored(asked.join(met, ["chunk", "place"], "left_anti").select(asked.columns), "ann-short")
-        again = _scored(index, short, _all_rows(index, short, pieces), pieces)
-        found = found.join(short.select("chunk", "place"), ["chunk", "place"], "left_anti").select(again.columns)
-        found = found.union(again)
-    keys = asked.select("chunk", "place", F.col("h1").alias("k1"), F.col("h2").alias("k2"))
-    own = (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2"))
-    answers = found.join(keys, ["chunk", "place"]).select(
-        F.col("k1").alias("h1"), F.col("k2").alias("h2"), F.col("id").alias("vec_id"), "score", own.alias("own")
-    )
+        full = found.groupBy("chunk", "place").agg(F.count("id").alias("n")).where(F.col("n") > NEAREST)
+        answers = _answers(found.join(full.select("chunk", "place"), ["chunk", "place"], "left_semi"), asked)
+        short = _numbered(asked.join(full, ["chunk", "place"], "left_anti"))
+        if not short.isEmpty():
+            answers = answers.union(_answers(_compared(index, short, pieces), short))
     rows = asking.join(answers, ["h1", "h2"]).where(~((F.col("id") == F.col("vec_id")) & F.col("own")))
     order = Window.partitionBy("id", "h1", "h2").orderBy(F.desc("score"), "vec_id")
     return (
@@ -405,6 +401,15 @@ def nearest(
     )
 
 
+def _answers(found: DataFrame, asked: DataFrame) -> DataFrame:
+    """What was found by the key of the query's vector: ``h1, h2, vec_id, score, own``."""
+    keys = asked.select("chunk", "place", F.col("h1").alias("k1"), F.col("h2").alias("k2"))
+    own = (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2"))
+    return found.join(keys, ["chunk", "place"]).select(
+        F.col("k1").alias("h1"), F.col("k2").alias("h2"), F.col("id").alias("vec_id"), "score", own.alias("own")
+    )
+
+
 def _with_probes(batches: Iterable[pa.RecordBatch], probes: int) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for at in range(0, whole.num_rows, 64):
