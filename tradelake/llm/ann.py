@@ -150,9 +150,10 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 def _numbered(queries: DataFrame) -> DataFrame:
     """Query vectors, written, with their chunk and their place in it; a chunk holds CHUNK at most.
 
-    They are dealt over so few partitions that chunks, which lie inside one, are full.
+    They are read by so few tasks that chunks, which lie inside one, are full.
     """
-    queries = queries.repartition(max(1, -(-queries.count() // (16 * CHUNK))), "h1", "h2")
+    queries = stored(queries.select("h1", "h2", "vec"), "ann-asked")
+    queries = queries.coalesce(max(1, -(-queries.count() // (16 * CHUNK))))
     q = F.monotonically_increasing_id()
     chunk, place = F.shiftright(q, CHUNK.bit_length() - 1), q.bitwiseAND(F.lit(CHUNK - 1)).cast("int")
     return stored(
