@@ -10,7 +10,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tradelake.operators.flow_totals import check_choice
@@ -25,7 +25,7 @@ from tradelake.schema import (
     key_columns,
 )
 from tradelake.session import work_folder
-from tradelake.sources import datasets, registry
+from tradelake.sources import datasets, registry, versions
 
 MODES = ("append", "merge", "replace")
 DUPLICATES = ("keep_first", "keep_last")
@@ -144,10 +144,16 @@ def update_dataset(
     parser than the newest row's is refused (``latest_metadata`` stands in for that row).  ``order`` says which of the
     batch's rows of one key is the last, by default the reading order.
 
-    The new content of those folders is written aside first, since a folder cannot be read and
-    overwritten by one job, and moved in with a dynamic partition overwrite.  A folder whose
-    rows all moved elsewhere is deleted last; until then its rows are stale duplicates, so a
-    failed update is repeated with ``merge``, which ends in the same state.
+    A dataset that begins with an update is versioned, as is one that ``datasets.take_over`` was
+    called for: the new content of those folders becomes a set of files of its own, and one rename
+    puts it in force, so that readers see the state before or the state after, and an update that
+    breaks off changes nothing.  An update that another one has overtaken raises
+    ``versions.ConflictError`` and is simply made again.
+
+    Datasets without versions are changed in place.  The new content is written aside first, since
+    a folder cannot be read and overwritten by one job, and moved in with a dynamic partition
+    overwrite.  A folder whose rows all moved elsewhere is deleted last; until then its rows are
+    stale duplicates, so a failed update is repeated with ``merge``, which ends in the same state.
     """
     check_choice("mode", mode, MODES)
     spark = batch.sparkSession
@@ -163,12 +169,14 @@ def update_dataset(
     given = as_canonical(batch)
     order = order or ((SEQ,) if SEQ in given.columns else tuple(given.columns))
     # The reduced batch is used several times below; a written table is its single version.
-    reduce_batch(given, duplicates, order=order).write.parquet(f"{stage}/batch")
-    reduced = spark.read.parquet(f"{stage}/batch")
+    seen = Observation(f"update-{uuid.uuid4().hex}")
+    watched = given.observe(seen, F.count(F.lit(1)).alias("n"))
+    reduce_batch(watched, duplicates, order=order).write.parquet(f"{stage}/batch")
+    reduced, total = spark.read.parquet(f"{stage}/batch"), seen.get["n"]
     try:
         if not datasets.path_exists(spark, path):
-            datasets.write_dataset(reduced, path, fmt, compression=compression)
-            n, total = reduced.count(), given.count()
+            datasets.write_dataset(reduced, path, fmt, compression=compression, versioned=True)
+            n = reduced.count()
             if registry_path is not None:
                 registry.register(
                     spark,
@@ -182,9 +190,10 @@ def update_dataset(
                     source_count=total,
                 )
             return UpdateResult(mode, n, 0, total - n, path)
-        existing = datasets.read_dataset(spark, path, fmt)
+        base = versions.newest(spark, path) if versions.is_versioned(spark, path) else None
+        existing = datasets.read_dataset(spark, path, fmt, base)
         if SEQ in reduced.columns and SEQ in existing.columns:
-            reduced = reduced.withColumn(SEQ, F.col(SEQ) + F.lit(next_number(existing)))
+            reduced = reduced.withColumn(SEQ, F.col(SEQ) + F.lit(next_number(datasets.stored_numbers(spark, path, fmt, base))))
         elif SEQ in reduced.columns:
             existing = existing.withColumn(SEQ, F.lit(None).cast("bigint"))
         elif SEQ in existing.columns:
@@ -198,17 +207,19 @@ def update_dataset(
         ).distinct().write.parquet(f"{stage}/colliding")
         colliding = spark.read.parquet(f"{stage}/colliding")
         merged = colliding.select(*[f"_key_{n}" for n in COMPOSITE_KEY]).distinct().count()
-        added, total = reduced.count(), given.count()
-        if mode == "append":
+        added = reduced.count()
+        if mode == "append" and base is None:
             datasets.write_dataset(reduced, path, fmt, mode="append", compression=compression)
+        elif mode == "append":
+            datasets.write_version(reduced, path, fmt, base=base, compression=compression)
         else:
-            _rewrite(spark, existing, colliding, reduced, path, fmt, stage, compression)
+            _rewrite(spark, existing, colliding, reduced, path, fmt, stage, compression, base)
         if registry_path is not None:
             registry.register(
                 spark,
                 registry_path,
                 dataset_name=name,
-                record_count=datasets.read_dataset(spark, path, fmt).count(),
+                record_count=datasets.stored_count(spark, path, fmt),
                 destination=path,
                 backend=fmt,
                 parser_name=parser_name,
@@ -244,6 +255,7 @@ def _rewrite(
     fmt: str,
     stage: str,
     compression: str | None,
+    base: int | None,
 ) -> None:
     _partitions(_partitions(colliding).unionByName(_partitions(reduced))).write.parquet(
         f"{stage}/folders"
@@ -251,6 +263,11 @@ def _rewrite(
     folders = spark.read.parquet(f"{stage}/folders")
 
     affected = _in_folders(existing, folders)
+    if base is not None:
+        datasets.write_version(
+            combine(affected, reduced, "merge"), path, fmt, base=base, kept=folders, compression=compression
+        )
+        return
     combine(affected, reduced, "merge").write.parquet(f"{stage}/rows")
     rows = spark.read.parquet(f"{stage}/rows")
 

@@ -157,7 +157,7 @@ def ingest(
         good = accepted(stored)
         single = latest_wins(first_wins(good, within=("_src_file",))) if conflict == "latest" else first_wins(good)
         going_on = mode == "append" and datasets.path_exists(spark, target)
-        start = next_number(datasets.read_dataset(spark, target, fmt)) if going_on else 0
+        start = next_number(datasets.stored_numbers(spark, target, fmt)) if going_on else 0
         single.write.parquet(f"{work}/single")
         clean = number_rows(spark.read.parquet(f"{work}/single"), f"{work}/clean", start)
         written = clean.count()

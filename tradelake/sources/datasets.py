@@ -10,13 +10,16 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradelake.schema import CANONICAL, FILE_ORDER, PARTITION_COLUMNS, SEQ, as_canonical
 from tradelake.session import work_folder
+from tradelake.sources import versions
+from tradelake.sources.paths import delete_path, file_system, make_folder, path_exists
 
 FORMATS = ("csv", "json", "parquet")
 _SUFFIXES = {".csv": "csv", ".json": "json", ".parquet": "parquet", ".pq": "parquet"}
@@ -69,15 +72,32 @@ def write_dataset(
     mode: str = "error",
     compression: str | None = None,
     touched_only: bool = False,
+    versioned: bool = False,
 ) -> None:
     """Write a trade table in its canonical columns.
 
     ``partition_by=()`` writes without folders.  Overwriting replaces the whole dataset, or with
     ``touched_only`` just the folders that receive rows.  CSV has a header and plain decimal text,
     JSON is one object per line with decimals as text, so no digit is lost in either.
+
+    ``versioned`` begins a dataset whose changes come into force in one step (see
+    :mod:`tradelake.sources.versions`); whatever is written to it later becomes a version, too.
     """
     if fmt not in FORMATS:
         raise StorageError(f"format must be one of {FORMATS}; got {fmt!r}")
+    spark = df.sparkSession
+    going_on = mode in ("append", "overwrite") and versions.is_versioned(spark, path)
+    if versioned or going_on:
+        if tuple(partition_by) != PARTITION_COLUMNS:
+            raise StorageError(f"versions are kept by {PARTITION_COLUMNS}; got {tuple(partition_by)}")
+        if not going_on and path_exists(spark, path):
+            raise StorageError(f"{path} exists already")
+        # from here on the path counts as versioned, so that a first write can be made again
+        make_folder(spark, f"{path.rstrip('/')}/{versions.LISTS}")
+        base = versions.newest(spark, path)
+        kept = "others" if touched_only else "all" if mode == "append" else "none"
+        write_version(df, path, fmt, base=base, kept=kept, compression=compression)
+        return
     codec = _compression(fmt, compression)
     out = spread(as_canonical(df), partition_by)
     if fmt != "parquet":
@@ -98,17 +118,90 @@ def write_dataset(
     writer.format(fmt).save(path)
 
 
-def read_dataset(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+def write_version(
+    df: DataFrame,
+    path: str,
+    fmt: str = "parquet",
+    *,
+    base: int,
+    kept: str | DataFrame = "all",
+    compression: str | None = None,
+) -> int:
+    """Write rows as a new set and put the version after ``base`` in force; returns its number.
+
+    ``kept`` says which folders of ``base`` stay: ``all``, ``none``, the ``others`` that receive no
+    rows, or those outside a frame of folder keys.
+    """
+    spark, name = df.sparkSession, versions.new_set()
+    where = f"{path.rstrip('/')}/{versions.SET}={name}"
+    write_dataset(df, where, fmt, compression=compression)
+    old = versions.listed(spark, path, base)
+    new = spark.createDataFrame([], versions.LISTED)
+    if _holds_folders(spark, where):
+        new = versions.counted(read_dataset(spark, where, fmt), name)
+    if isinstance(kept, DataFrame):
+        old = old.join(kept, list(PARTITION_COLUMNS), "left_anti")
+    elif kept == "others":
+        old = old.join(new, list(PARTITION_COLUMNS), "left_anti")
+    return versions.commit(spark, path, base, new if isinstance(kept, str) and kept == "none" else old.unionByName(new))
+
+
+def take_over(spark: SparkSession, path: str, fmt: str = "parquet") -> int:
+    """Make a dataset stored in the standard layout a versioned one; its files stay where they are."""
+    if versions.is_versioned(spark, path):
+        raise StorageError(f"{path} has versions already")
+    rows = read_dataset(spark, path, fmt)
+    return versions.commit(spark, path, 0, versions.counted(rows, ""))
+
+
+def _holds_folders(spark: SparkSession, path: str) -> bool:
+    fs, hadoop_path = file_system(spark, path)
+    return any(s.isDirectory() for s in _children(fs, hadoop_path))
+
+
+def stored_numbers(spark: SparkSession, path: str, fmt: str, version: int | None = None) -> DataFrame:
+    """Row numbers of a stored dataset, or the largest of each folder where versions list those."""
+    if versions.is_versioned(spark, path):
+        return versions.listed(spark, path, version).select(F.col("last_row").alias(SEQ))
+    return read_dataset(spark, path, fmt)
+
+
+def stored_count(spark: SparkSession, path: str, fmt: str) -> int:
+    """Rows of a stored dataset; versions list them by folder, so their rows are not read."""
+    if versions.is_versioned(spark, path):
+        return versions.listed(spark, path).agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+    return read_dataset(spark, path, fmt).count()
+
+
+def read_dataset(
+    spark: SparkSession, path: str, fmt: str = "parquet", version: int | None = None
+) -> DataFrame:
     """Read a stored dataset with the canonical types; text that does not fit is an error.
 
-    The stored row number comes back when the dataset has one.
+    The stored row number comes back when the dataset has one.  Of a versioned dataset the version
+    in force is read, or an older one by its number.
     """
     if fmt not in FORMATS:
         raise StorageError(f"format must be one of {FORMATS}; got {fmt!r}")
-    reader = spark.read.format(fmt)
+    if not versions.is_versioned(spark, path):
+        if version is not None:
+            raise StorageError(f"{path} has no versions")
+        return _read(spark, spark.read, path, fmt)
+    parts = [
+        _read(spark, spark.read.option("basePath", path), folders, fmt)
+        for folders in versions.live_folders(spark, path, version)
+        if folders
+    ]
+    if not parts:
+        return spark.createDataFrame([], stored_schema())
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def _read(spark: SparkSession, reader: DataFrameReader, path: str | list[str], fmt: str) -> DataFrame:
+    reader = reader.format(fmt)
     if fmt == "csv":
         # Columns are matched by header, not by position.
-        names = spark.read.options(header=True).csv(path).columns
+        names = [n for n in reader.options(header=True).load(path).columns if n != versions.SET]
         kinds = {f.name: f.dataType for f in stored_schema()}
         unknown = [n for n in names if n not in kinds]
         if unknown:
@@ -169,21 +262,6 @@ def read_json_documents(spark: SparkSession, path: str) -> DataFrame:
 # -- finding out what is stored ---------------------------------------------------------------
 
 
-def _file_system(spark: SparkSession, path: str):
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, hadoop_path = _file_system(spark, path)
-    return fs.exists(hadoop_path)
-
-
-def delete_path(spark: SparkSession, path: str) -> None:
-    fs, hadoop_path = _file_system(spark, path)
-    fs.delete(hadoop_path, True)
-
-
 def _visible(name: str) -> bool:
     return not name.startswith(("_", ".")) and not name.endswith(".meta.json")
 
@@ -200,11 +278,14 @@ def _format_of_name(name: str) -> str | None:
     return next((f for suffix, f in _SUFFIXES.items() if name.endswith(suffix)), None)
 
 
-def detect_format(spark: SparkSession, path: str) -> str:
+def detect_format(spark: SparkSession, path: str, version: int | None = None) -> str:
     """Format of a file by its suffix, of a folder by the first data file in it."""
-    fs, hadoop_path = _file_system(spark, path)
+    fs, hadoop_path = file_system(spark, path)
     if not fs.exists(hadoop_path):
         raise StorageError(f"no dataset at {path}")
+    if versions.is_versioned(spark, path):
+        path = next((p for paths in versions.live_folders(spark, path, version) for p in paths), path)
+        fs, hadoop_path = file_system(spark, path)
     waiting = [fs.getFileStatus(hadoop_path)]
     while waiting:
         status = waiting.pop(0)
@@ -218,12 +299,19 @@ def detect_format(spark: SparkSession, path: str) -> str:
     raise StorageError(f"no csv, json or parquet data at {path}")
 
 
-def open_dataset(spark: SparkSession, path: str) -> DataFrame:
-    """Read whatever format is stored at a path; JSON as lines of rows or as whole documents."""
+def open_dataset(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """Read whatever format is stored at a path; JSON as lines of rows or as whole documents.
+
+    ``version`` picks an older version of a versioned dataset.
+    """
+    if versions.is_versioned(spark, path):
+        if not any(versions.live_folders(spark, path, version)):
+            return spark.createDataFrame([], stored_schema())
+        return read_dataset(spark, path, detect_format(spark, path, version), version)
     fmt = detect_format(spark, path)
     if fmt == "json" and not _starts_with_a_row(spark, path):
         return read_json_documents(spark, path)
-    return read_dataset(spark, path, fmt)
+    return read_dataset(spark, path, fmt, version)
 
 
 def _starts_with_a_row(spark: SparkSession, path: str) -> bool:
