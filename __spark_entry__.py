@@ -45,7 +45,7 @@ from tradelake.plans import pipeline, reports  # noqa: E402
 from tradelake.plans.analysis import Analysis, metric_row  # noqa: E402
 from tradelake.schema import COMPOSITE_KEY, SEQ, VALUE, as_canonical, flat_record, nested_record  # noqa: E402
 from tradelake.session import work_folder  # noqa: E402
-from tradelake.sources import codelists, datasets, fixtures, registry, responses  # noqa: E402
+from tradelake.sources import codelists, datasets, fixtures, registry, responses, versions  # noqa: E402
 from tradelake.sources.fixtures import table, trade_table  # noqa: E402
 from tradelake.sources.responses import records_from_text  # noqa: E402
 
@@ -851,6 +851,36 @@ def stored_rows(mode: str) -> Query:
     return run
 
 
+def versioned_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored dataset taken over as version 1, and what a merge made of it."""
+    t = fixtures.full_table(spark, sf_dir)
+    path = _stored(spark, _existing(t))
+    datasets.take_over(spark, path)
+    update.update_dataset(_batch(t), path, mode="merge", order=ORDER)
+    return datasets.open_dataset(spark, path).select(*KEY_SHOWN, SEQ, _as_text(VALUE).alias("value"))
+
+
+def versioned_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each version of a dataset that is written, merged into and appended to: listed and read."""
+    t = fixtures.full_table(spark, sf_dir)
+    path = _aside(spark, "versions")
+    datasets.write_dataset(_existing(t), path, versioned=True)
+    for mode in ("merge", "append"):
+        update.update_dataset(_batch(t), path, mode=mode, order=ORDER)
+    found = [
+        datasets.open_dataset(spark, path, n)
+        .agg(F.count(F.lit(1)).alias("read_rows"), F.count_distinct(SEQ).alias("row_numbers"))
+        .withColumns(
+            {
+                "version": F.lit(n),
+                "listed_rows": versions.listed(spark, path, n).agg(F.sum("rows")).scalar(),
+            }
+        )
+        for n in versions.numbers(spark, path)
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
 def stored_update_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     done, _ = stored_update(spark, sf_dir, "merge")
     counts = (done.records_added, done.records_merged, done.duplicates_in_input)
@@ -1088,6 +1118,8 @@ def _storage() -> dict[str, Query]:
         "stored_partition": stored_partition,
         "stored_merge": stored_rows("merge"),
         "stored_append": stored_rows("append"),
+        "versioned_merge": versioned_merge,
+        "versioned_history": versioned_history,
         "stored_update_counts": stored_update_counts,
         "stored_reports": stored_reports,
         "stored_recipe": stored_recipe,

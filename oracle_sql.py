@@ -919,6 +919,23 @@ def storage_sql() -> dict[str, str]:
             BATCH,
             numbered,
         ),
+        "versioned_merge": q(
+            f"""select {rows} from (select * from existing e where not exists
+              (select 1 from reduced b where {JOIN_KEY}) union all select * from numbered)""",
+            BATCH,
+            numbered,
+        ),
+        "versioned_history": q(
+            """select v as version, n as listed_rows, n as read_rows, d as row_numbers from (
+              select 1 as v, count(*) as n, count(distinct seq) as d from existing
+              union all select 2, k.n + r.n, k.d + r.d from kept k, given r
+              union all select 3, k.n + 2 * r.n, k.d + 2 * r.d from kept k, given r)""",
+            BATCH,
+            f"""kept as (select count(*) as n, count(distinct seq) as d from existing e
+              where not exists (select 1 from reduced b where {JOIN_KEY}))""",
+            # every update is numbered on from the last row, so its numbers are new ones
+            "given as (select count(*) as n, count(distinct seq) as d from reduced)",
+        ),
         "stored_update_counts": record_sql()["update_counts"],
         "stored_reports": f"""select *, (select count(*) from lineitem) as dataset_rows,
             'parse_records' as parser_name, '1.0.0' as schema_version
