@@ -170,3 +170,35 @@ def test_distinct_counts_do_not_copy_facts(spark):
 
 def scans_of(text):
     return text.count("lineitem.parquet")
+
+
+def largest_methods(spark, df):
+    """Bytes of the largest method in each piece of whole-stage code of a plan."""
+    package = getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$")
+    pieces = getattr(package, "MODULE$").codegenStringSeq(df._jdf.queryExecution().executedPlan())
+    return [pieces.apply(i)._3().maxMethodCodeSize() for i in range(pieces.size())]
+
+
+def test_methods_of_the_parse_are_small_enough_to_be_compiled(spark, tmp_path):
+    spark.createDataFrame([(1, "{}")], "_seq bigint, json string").write.parquet(str(tmp_path / "raw"))
+    raw = records_from_text(spark.read.parquet(str(tmp_path / "raw")), "json", "_seq")
+    for df in (ingest.accepted(ingest.parse_records(raw)), ingest.reject_counts(ingest.parse_records(raw)).select("reason")):
+        if "AdaptiveSparkPlan" in plan(df):
+            df.collect()
+        sizes = largest_methods(spark, df)
+        assert sizes and max(sizes) <= 8000, sizes
+
+
+def test_shortcuts_of_the_checks_agree_with_their_patterns(spark):
+    texts = ["", " ", "\t\n", " ", "　 ", " a", " a", "a", "!", "~", "\x7f", "é", "0", "\x1f"]
+    blanks = spark.createDataFrame([(t,) for t in texts], "t string").select(
+        F.expr(ingest._blank("t")).alias("short"), F.col("t").rlike(ingest.BLANK).alias("whole")
+    )
+    assert all(r["short"] == r["whole"] for r in blanks.collect())
+    tokens = {
+        "1.0000000000000000001": True, "0.000000000000000001": False, "1e-19": True, "1E-18": False,
+        '"1.0000000000000000001"': True, '"1.5e-18"': True, "1.50e-18": True, "10e-19": False, "12": False,
+        "1.000000000000000000000": False,
+    }
+    fine = spark.createDataFrame([(t,) for t in tokens], "t string").select("t", F.expr(ingest._too_fine("t")).alias("f"))
+    assert {r["t"]: r["f"] for r in fine.collect()} == tokens

@@ -4,6 +4,10 @@ Each field is taken from the variant once, then converted and checked by column
 Text fields come as text.  All others come as their JSON token (``12.7``, ``"12"``, ``true``),
 which keeps every digit and still tells a number from a text.  A row is never an error: it either
 has all its typed values or a reject reason.
+
+The conversions and the checks of 45 fields are too much code for one method: the JVM leaves methods
+of over 8,000 bytes uncompiled.  :func:`_split` keeps them out of Spark's whole-stage code, so that
+Spark deals them over methods of bounded size.
 """
 
 from __future__ import annotations
@@ -104,9 +108,23 @@ def blank(text: Column) -> Column:
 #: Text without a visible character.
 BLANK = r"(?U)^\s*$"
 
+#: Bounds of texts that begin with a visible ASCII character, by bytes.
+_VISIBLE = ("!", "\x7f")
+
 # The rules below are SQL text over the columns ``_t_...``: texts, or JSON tokens.
 
 
+def _split(condition: str) -> str:
+    """The same condition by way of a lambda, which Spark does not take into whole-stage code."""
+    return f"exists(array({condition}), found -> found)"
+
+
+def _blank(text: str) -> str:
+    """``blank`` as SQL; the pattern is only tried on texts without a visible first character."""
+    low, high = (_quoted(c) for c in _VISIBLE)
+    return f"(({text} < {low} or {text} >= {high}) and {text} rlike {_quoted(BLANK)})"
+
+
 def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -140,11 +158,13 @@ def as_amount(token: str) -> str:
 
 def _too_fine(token: str) -> str:
     """An amount with a digit behind the last decimal of the column."""
-    plain = f"{_bare(token)} rlike '^[^eE]*[.][0-9]{{18}}0*[1-9]'"
+    # a point and 19 digits at least; a power needs its letter: few tokens meet the patterns
+    plain = f"(length({token}) > 19 and {_bare(token)} rlike '^[^eE]*[.][0-9]{{18}}0*[1-9]')"
+    powered = f"(contains({token}, 'e') or contains({token}, 'E'))"
     behind = f"length(regexp_extract({token}, '[.]([0-9]*?)0*[eE]', 1))"
     digits = f"if(contains({token}, '.'), {behind}, -length(regexp_extract({token}, '(0*)[eE]', 1)))"
     power = f"try_cast(regexp_extract({token}, '[eE]([+-]?[0-9]+)', 1) as int)"
-    return f"({plain} or coalesce({digits} - {power} > 18, false))"
+    return f"({plain} or ({powered} and coalesce({digits} - {power} > 18, false)))"
 
 
 def as_flag(token: str) -> str:
@@ -227,9 +247,9 @@ def _problems(field: RawField) -> list[tuple[str, str]]:
     out = []
     if field.kind in ("text", "iso"):
         if field.required:
-            out.append((f"{text} is null or {text} rlike {_quoted(BLANK)}", "missing"))
+            out.append((f"{text} is null or {_blank(text)}", "missing"))
         elif field.kind == "text":
-            out.append((f"{value} rlike {_quoted(BLANK)}", "blank"))
+            out.append((_blank(value), "blank"))
         else:
             world = _quoted(S.WORLD_ISO3)
             wrong = f"{value} <> {world} and not {value} rlike '^[A-Z]{{3}}$'"
@@ -247,9 +267,9 @@ def _problems(field: RawField) -> list[tuple[str, str]]:
     return out
 
 
-def _reason(rec: str) -> str:
+def _reason() -> str:
     """The first problem of a record, null when there is none."""
-    branches = [f"when {rec} is null then {_quoted(MALFORMED)}"]
+    branches = [f"when {_split('_t_malformed')} then {_quoted(MALFORMED)}"]
     for field in RAW_FIELDS:
         for wrong, label in _problems(field):
             branches.append(f"when {wrong} then {_quoted(f'{field.key}: {label}')}")
@@ -277,7 +297,8 @@ def parse_records(raw: DataFrame, rec: str = "rec") -> DataFrame:
         *[c for c in tokens.columns if c.removeprefix("_t_") not in second],
         *[f"if({absent}, null, _t_{c}) as _t_{c}" for c in second],
     )
-    typed = tokens.selectExpr("*", *[f"{_converted(f)} as {f.column}" for f in RAW_FIELDS])
+    malformed = f"{_split(f'{rec} is null')} as _t_malformed"
+    typed = tokens.selectExpr("*", malformed, *[f"{_converted(f)} as {f.column}" for f in RAW_FIELDS])
     shown = {f.column: f.column for f in RAW_FIELDS}
     shown |= {
         f.column: f"coalesce({f.column}, {str(f.default).lower()})"
@@ -286,7 +307,7 @@ def parse_records(raw: DataFrame, rec: str = "rec") -> DataFrame:
     }
     shown |= {"edition": "classification_code", "provenance": "provenance"}
     values = [f"{shown[c]} as {c}" for c in S.COLUMNS]
-    judged = typed.selectExpr(*carried, *values, f"{_reason(rec)} as {REASON}")
+    judged = typed.selectExpr(*carried, *values, f"{_reason()} as {REASON}")
     return _settled(judged, REASON)
 
 
