@@ -915,7 +915,7 @@ def _raw_lines(spark: SparkSession, sf_dir: str, again: bool = False) -> DataFra
 def ingest_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same lines taken in twice: numbers go on, so first and last per key are settled."""
     source, target = _aside(spark, "lines"), _aside(spark, "twice")
-    _raw_lines(spark, sf_dir).write.text(source)
+    _raw_lines(spark, sf_dir).write.text(source, compression="gzip")
     for _ in range(2):
         done = pipeline.ingest(spark, source, target, layout="lines", mode="append", conflict="first")
         if done.cause:
@@ -936,7 +936,7 @@ def ingest_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines and a later revision of them in one ingest: the revision stays."""
     source, target = _aside(spark, "revisions"), _aside(spark, "latest")
     for n, again in enumerate((True, False)):
-        _raw_lines(spark, sf_dir, again).coalesce(1).write.text(f"{source}/{n}")
+        _raw_lines(spark, sf_dir, again).write.text(f"{source}/{n}", compression="gzip")
     done = pipeline.ingest(spark, source, target, layout="lines")
     if done.cause:
         raise done.cause

@@ -301,3 +301,36 @@ def test_commodity_editions_and_lookups(spark, tmp_path):
     assert codelists.classification_editions(spark, "SITC").count() == 0
     with pytest.raises(KeyError):
         codelists.code_list("planets")
+
+
+def test_ingest_keeps_one_working_table_and_no_text_of_good_records(spark, tmp_path, monkeypatch):
+    from tradelake.plans import pipeline
+    from tradelake.session import RELEASE
+    from tradelake.sources import datasets
+
+    (tmp_path / "in").mkdir()
+    lines = [with_(), with_(refPeriodId=20220102), with_(flowCode="M"), with_(flowCode="DX"), "no json"]
+    (tmp_path / "in" / "a.txt").write_text("\n".join(lines))
+    delete, seen, released = datasets.delete_path, [], []
+
+    def watched(session, path):
+        released.append(session.conf.get(RELEASE, None))
+        if path.endswith("/parsed"):
+            kept = session.read.parquet(path).select("rec", "_text", "_reject_reason").collect()
+            seen.append(sorted(((r["rec"] is not None, r["_text"], r["_reject_reason"] is not None) for r in kept), key=str))
+        elif path.endswith("/single"):
+            seen.append(datasets.path_exists(session, path.removesuffix("single") + "parsed"))
+        delete(session, path)
+
+    monkeypatch.setattr(datasets, "delete_path", watched)
+    done = pipeline.ingest(spark, str(tmp_path / "in"), str(tmp_path / "out"), layout="lines")
+    assert done.status == "success" and (done.records_in, done.records_out) == (5, 2)
+    good, bad = (False, None, False), (True, None, True)
+    assert seen[1] is False and [r for r in seen[0] if r[1] is None] == [good, good, good, bad]
+    assert [r[1:] for r in seen[0] if r[1] is not None] == [("no json", True)]
+    # shuffle files go with each write, and the session is as it was
+    assert released[:2] == ["true", "true"] and spark.conf.get(RELEASE, None) != "true"
+    target = str(tmp_path / "kept")
+    pipeline.ingest(spark, str(tmp_path / "in"), target, layout="lines", quarantine_path=str(tmp_path / "bad"))
+    records_kept = {r["record"][:8] for r in spark.read.parquet(str(tmp_path / "bad")).collect()}
+    assert len(records_kept) == 2 and "no json" in records_kept

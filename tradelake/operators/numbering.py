@@ -30,7 +30,7 @@ def number_rows(df: DataFrame, work: str, start: int = 0) -> DataFrame:
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
     ranged.withColumn("_range", F.spark_partition_id()).withColumn(
         "_row", F.monotonically_increasing_id().bitwiseAND(F.lit(_IN_TASK))
-    ).write.parquet(work)
+    ).write.parquet(work, compression="zstd")
     spark = df.sparkSession
     written = spark.read.parquet(work)
     sizes = written.groupBy("_range").agg(F.count(F.lit(1)).alias("n")).collect()

@@ -17,7 +17,7 @@ from tradelake.operators.flow_totals import check_choice
 from tradelake.operators.ingest import REASON, accepted, parse_records, quarantined
 from tradelake.operators.numbering import next_number, number_rows
 from tradelake.operators.quality import dataset_warnings, first_wins, latest_wins
-from tradelake.session import work_folder
+from tradelake.session import shuffles_released, work_folder
 from tradelake.sources import datasets, registry
 from tradelake.sources.responses import read_lines, read_responses
 
@@ -138,7 +138,8 @@ def ingest(
 
     Parsed rows and clean rows are each written once to the shared work folder and read back,
     so the text is parsed a single time however many outputs are made of it, and a lost executor
-    costs one stage at most.
+    costs one stage at most.  Only rejected rows are kept with their record's text, and each written
+    table is deleted as soon as the next one stands, as are the shuffle files of each write.
     """
     check_choice("layout", layout, ("responses", "lines"))
     check_choice("conflict", conflict, ("latest", "first"))
@@ -147,26 +148,31 @@ def ingest(
     parse_seen = Observation(f"{name}-parse")
     rows = F.count(F.lit(1))
     try:
-        parsed = parse_records(reader(spark, source_paths)).withColumn("rec", F.to_json("rec"))
-        parsed.observe(
-            parse_seen,
-            rows.alias("given"),
-            F.count_if(F.col(REASON).isNotNull()).alias("rejected"),
-        ).write.parquet(f"{work}/parsed")
-        stored = spark.read.parquet(f"{work}/parsed")
-        good = accepted(stored)
-        single = latest_wins(first_wins(good, within=("_src_file",))) if conflict == "latest" else first_wins(good)
-        going_on = mode == "append" and datasets.path_exists(spark, target)
-        start = next_number(datasets.stored_numbers(spark, target, fmt)) if going_on else 0
-        single.write.parquet(f"{work}/single")
-        clean = number_rows(spark.read.parquet(f"{work}/single"), f"{work}/clean", start)
-        written = clean.count()
-        warnings = [
-            f"{w['aspect']}: {w['found']}" for w in dataset_warnings(clean).collect()
-        ]
-        datasets.write_dataset(clean, target, fmt, mode=mode, compression=compression)
-        if quarantine_path is not None:
-            quarantined(stored).write.mode("append").parquet(quarantine_path)
+        with shuffles_released(spark):
+            parsed = parse_records(reader(spark, source_paths))
+            parsed = parsed.withColumn("rec", F.when(F.col(REASON).isNotNull(), F.to_json("rec")))
+            parsed.observe(
+                parse_seen,
+                rows.alias("given"),
+                F.count_if(F.col(REASON).isNotNull()).alias("rejected"),
+            ).write.parquet(f"{work}/parsed", compression="zstd")
+            stored = spark.read.parquet(f"{work}/parsed")
+            good = accepted(stored)
+            single = latest_wins(first_wins(good, within=("_src_file",))) if conflict == "latest" else first_wins(good)
+            going_on = mode == "append" and datasets.path_exists(spark, target)
+            start = next_number(datasets.stored_numbers(spark, target, fmt)) if going_on else 0
+            single.write.parquet(f"{work}/single", compression="zstd")
+            if quarantine_path is None:
+                datasets.delete_path(spark, f"{work}/parsed")
+            clean = number_rows(spark.read.parquet(f"{work}/single"), f"{work}/clean", start)
+            datasets.delete_path(spark, f"{work}/single")
+            written = clean.count()
+            warnings = [
+                f"{w['aspect']}: {w['found']}" for w in dataset_warnings(clean).collect()
+            ]
+            datasets.write_dataset(clean, target, fmt, mode=mode, compression=compression)
+            if quarantine_path is not None:
+                quarantined(stored).write.mode("append").parquet(quarantine_path)
     except Exception as exc:
         return PipelineResult(FAILED, errors=[str(exc)], failed_stage="ingest", cause=exc)
     finally:
