@@ -12,7 +12,7 @@ from tradelake.operators import balance, commodity, compare, country, ingest, qu
 from tradelake.operators.metrics import Filter
 from tradelake.operators.predicates import FieldTest
 from tradelake.operators.query import Query
-from tradelake.schema import SEQ, VALUE
+from tradelake.schema import SEQ, VALUE, as_narrow
 from tradelake.sources import datasets
 from tradelake.sources.fixtures import trade_table
 from tradelake.sources.responses import records_from_text
@@ -202,3 +202,17 @@ def test_shortcuts_of_the_checks_agree_with_their_patterns(spark):
     }
     fine = spark.createDataFrame([(t,) for t in tokens], "t string").select("t", F.expr(ingest._too_fine("t")).alias("f"))
     assert {r["t"]: r["f"] for r in fine.collect()} == tokens
+
+
+def test_windows_and_key_joins_sort_by_a_hash_first(hot):
+    for df in (quality.first_wins(hot), quality.last_wins(hot), quality.latest_wins(hot)):
+        assert "xxhash64(" in plan(df)
+    assert "_key_hash" in plan(update.untouched(hot, quality.last_wins(hot)))
+
+
+def test_rows_are_moved_narrow_and_their_order_is_made_once(stored):
+    given = stored.drop("provenance").withColumn("quantity_qty", F.col("ref_year") + 1)
+    narrow = as_narrow(given, datasets.PARTITION_COLUMNS)
+    assert narrow.schema["quantity_qty"].dataType.simpleString() == "int" and "provenance" not in narrow.columns
+    (order,) = re.findall(r"Sort \[(.*?)\]", plan(datasets.spread(given, datasets.PARTITION_COLUMNS)))
+    assert "cast(" not in order and "_text_commodity_code" in order

@@ -7,6 +7,8 @@ engine column that numbers rows in the order they were read, which is what every
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -151,6 +153,23 @@ def as_canonical(df: DataFrame) -> DataFrame:
     return df.select(*picked, *([SEQ] if SEQ in present else []))
 
 
+def as_narrow(df: DataFrame, early: Iterable[str]) -> DataFrame:
+    """The canonical columns ``df`` has, those in ``early`` always there and in their stored types.
+
+    For rows still to be moved or sorted: ``as_canonical`` afterwards adds absent columns and widens
+    amounts.  Missing required columns are an error here, too.
+    """
+    names, early = as_canonical(df).columns, {*early}
+    picked = [
+        (F.col(n) if n in df.columns else F.lit(None)).cast(CANONICAL[n].dataType).alias(n)
+        if n in early and n != SEQ
+        else F.col(n)
+        for n in names
+        if n in early or n in df.columns
+    ]
+    return df.select(*picked)
+
+
 def nested_record() -> list[Column]:
     """Select list for the nested view of a flat row (reporter, partner, quantity, ...)."""
     groups = {

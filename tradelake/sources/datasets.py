@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradelake.schema import CANONICAL, FILE_ORDER, PARTITION_COLUMNS, SEQ, as_canonical
+from tradelake.schema import CANONICAL, FILE_ORDER, PARTITION_COLUMNS, SEQ, as_canonical, as_narrow
 from tradelake.session import work_folder
 from tradelake.sources import versions
 from tradelake.sources.paths import delete_path, file_system, make_folder, path_exists
@@ -46,13 +46,16 @@ def canonical_order(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """Move rows to where their folder is written.
+    """Move rows to where their folder is written, in their canonical columns.
 
     Rebalancing merges small pieces into files of a good size and splits folders too big for a
-    task; without folders it evens out the files.
+    task; without folders it evens out the files.  Rows travel and are sorted as narrow as they came:
+    absent columns and wide amounts are made afterwards, and the texts of the order are made once a
+    row, not in every comparison.  Columns that name the folder say nothing about the order in it.
     """
-    df = df.hint("rebalance", *partition_by)
-    return df.sortWithinPartitions(*partition_by, *file_order())
+    rows = as_narrow(df, [*partition_by, *FILE_ORDER]).hint("rebalance", *partition_by)
+    texts = {f"_text_{c}": t for c, t in zip(FILE_ORDER, file_order()) if c not in partition_by}
+    return as_canonical(rows.withColumns(texts).sortWithinPartitions(*partition_by, *texts))
 
 
 def _compression(fmt: str, name: str | None) -> str | None:
@@ -99,7 +102,7 @@ def write_dataset(
         write_version(df, path, fmt, base=base, kept=kept, compression=compression)
         return
     codec = _compression(fmt, compression)
-    out = spread(as_canonical(df), partition_by)
+    out = spread(df, partition_by)
     if fmt != "parquet":
         out = out.select(
             *[
@@ -340,7 +343,7 @@ def write_table(
     in break off, they stay in that folder, which the error names.
     """
     spark = df.sparkSession
-    out = spread(as_canonical(df), partition_by)
+    out = spread(df, partition_by)
     exists = spark.catalog.tableExists(table)
     if exists and not overwrite:
         out.select(*spark.table(table).columns).write.insertInto(table)
