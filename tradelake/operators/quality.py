@@ -27,8 +27,13 @@ def _key(key: Sequence[str | Column]) -> list[Column]:
 def pick_one(
     df: DataFrame, key: Sequence[str | Column], order: Sequence[Column]
 ) -> DataFrame:
-    """The first row of each key in the given order."""
-    window = Window.partitionBy(*_key(key)).orderBy(*order)
+    """The first row of each key in the given order.
+
+    A hash of the key leads the window: the sort then compares one number, where the key's own
+    parts, codes that most rows share, would be compared as texts row by row.
+    """
+    parts = _key(key)
+    window = Window.partitionBy(F.xxhash64(*parts), *parts).orderBy(*order)
     return df.withColumn(_RANK, F.row_number().over(window)).filter(F.col(_RANK) == 1).drop(_RANK)
 
 
