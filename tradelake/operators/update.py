@@ -10,7 +10,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
 from tradelake.operators.flow_totals import check_choice
@@ -22,6 +22,7 @@ from tradelake.schema import (
     SCHEMA_VERSION,
     SEQ,
     as_canonical,
+    as_narrow,
     key_columns,
 )
 from tradelake.session import work_folder
@@ -44,24 +45,23 @@ def reduce_batch(
     return pick(batch, order=order)
 
 
-def _with_key(df: DataFrame) -> DataFrame:
+def _key_parts() -> list[Column]:
+    """The key for joins, led by its hash: sorts compare one number instead of codes most rows share."""
     named = [c.alias(f"_key_{n}") for c, n in zip(key_columns(), COMPOSITE_KEY)]
-    return df.select("*", *named)
+    return [F.xxhash64(*key_columns()).alias("_key_hash"), *named]
 
 
-def _same_key(left: DataFrame, right: DataFrame) -> list[Column]:
-    return [left[f"_key_{n}"] == right[f"_key_{n}"] for n in COMPOSITE_KEY]
+def _with_key(df: DataFrame) -> DataFrame:
+    return df.select("*", *_key_parts())
 
 
-def keys_of(df: DataFrame) -> DataFrame:
-    """Distinct composite keys."""
-    named = [c.alias(f"_key_{n}") for c, n in zip(key_columns(), COMPOSITE_KEY)]
-    return df.select(*named).distinct()
+def _same_key(left: DataFrame, right: DataFrame) -> list[Column]:
+    return [left[n] == right[n] for n in ("_key_hash", *(f"_key_{n}" for n in COMPOSITE_KEY))]
 
 
 def untouched(existing: DataFrame, reduced: DataFrame) -> DataFrame:
     """Existing rows whose key the batch does not bring (anti join)."""
-    keyed, keys = _with_key(existing), keys_of(reduced)
+    keyed, keys = _with_key(existing), reduced.select(*_key_parts())
     return keyed.join(keys, _same_key(keyed, keys), "left_anti").select(*existing.columns)
 
 
@@ -150,9 +150,8 @@ def update_dataset(
     breaks off changes nothing.  An update that another one has overtaken raises
     ``versions.ConflictError`` and is simply made again.
 
-    Datasets without versions are changed in place.  The new content is written aside first, since
-    a folder cannot be read and overwritten by one job, and moved in with a dynamic partition
-    overwrite.  A folder whose rows all moved elsewhere is deleted last; until then its rows are
+    Datasets without versions are changed in place by a dynamic partition overwrite, which writes the
+    new content aside and moves it in after its last row has been read.  A folder whose rows all moved elsewhere is deleted last; until then its rows are
     stale duplicates, so a failed update is repeated with ``merge``, which ends in the same state.
     """
     check_choice("mode", mode, MODES)
@@ -166,12 +165,13 @@ def update_dataset(
         raise SchemaIncompatibleError(why)
 
     stage = f"{work_folder(spark).rstrip('/')}/update-{uuid.uuid4().hex}"
-    given = as_canonical(batch)
-    order = order or ((SEQ,) if SEQ in given.columns else tuple(given.columns))
+    columns = as_canonical(batch).columns
+    order = order or ((SEQ,) if SEQ in columns else tuple(columns))
+    given = as_narrow(batch, [*COMPOSITE_KEY, *order])
     # The reduced batch is used several times below; a written table is its single version.
     seen = Observation(f"update-{uuid.uuid4().hex}")
     watched = given.observe(seen, F.count(F.lit(1)).alias("n"))
-    reduce_batch(watched, duplicates, order=order).write.parquet(f"{stage}/batch")
+    as_canonical(reduce_batch(watched, duplicates, order=order)).write.parquet(f"{stage}/batch")
     reduced, total = spark.read.parquet(f"{stage}/batch"), seen.get["n"]
     try:
         if not datasets.path_exists(spark, path):
@@ -199,7 +199,7 @@ def update_dataset(
         elif SEQ in existing.columns:
             reduced = reduced.withColumn(SEQ, F.lit(None).cast("bigint"))
         # the stored rows with a key of the batch, by reporter folders and key columns only
-        keys = keys_of(reduced)
+        keys = reduced.select(*_key_parts())
         mine = _in_folders(existing, _partitions(reduced).select("reporter_code").distinct())
         here = _with_key(mine.select(*dict.fromkeys([*PARTITION_COLUMNS, *COMPOSITE_KEY])))
         here.join(keys, _same_key(here, keys), "left_semi").select(
@@ -213,7 +213,7 @@ def update_dataset(
         elif mode == "append":
             datasets.write_version(reduced, path, fmt, base=base, compression=compression)
         else:
-            _rewrite(spark, existing, colliding, reduced, path, fmt, stage, compression, base)
+            _rewrite(existing, colliding, reduced, path, fmt, stage, compression, base)
         if registry_path is not None:
             registry.register(
                 spark,
@@ -246,8 +246,16 @@ def _in_folders(df: DataFrame, wanted: DataFrame) -> DataFrame:
     return df.join(wanted, wanted.columns, "left_semi").select(*names)
 
 
+def _left_empty(existing: DataFrame, colliding: DataFrame, reduced: DataFrame) -> list[Row]:
+    """Folders all of whose rows move elsewhere.  At most one row per touched folder reaches the driver."""
+    leaving = _partitions(colliding).join(_partitions(reduced), list(PARTITION_COLUMNS), "left_anti")
+    if leaving.isEmpty():
+        return []
+    staying = _partitions(untouched(_in_folders(existing, leaving), reduced))
+    return leaving.join(staying, list(PARTITION_COLUMNS), "left_anti").collect()
+
+
 def _rewrite(
-    spark: SparkSession,
     existing: DataFrame,
     colliding: DataFrame,
     reduced: DataFrame,
@@ -257,26 +265,21 @@ def _rewrite(
     compression: str | None,
     base: int | None,
 ) -> None:
+    spark = existing.sparkSession
     _partitions(_partitions(colliding).unionByName(_partitions(reduced))).write.parquet(
         f"{stage}/folders"
     )
     folders = spark.read.parquet(f"{stage}/folders")
 
-    affected = _in_folders(existing, folders)
+    rows = combine(_in_folders(existing, folders), reduced, "merge")
     if base is not None:
-        datasets.write_version(
-            combine(affected, reduced, "merge"), path, fmt, base=base, kept=folders, compression=compression
-        )
+        datasets.write_version(rows, path, fmt, base=base, kept=folders, compression=compression)
         return
-    combine(affected, reduced, "merge").write.parquet(f"{stage}/rows")
-    rows = spark.read.parquet(f"{stage}/rows")
-
+    left_empty = _left_empty(existing, colliding, reduced)
     datasets.write_dataset(
         rows, path, fmt, mode="overwrite", compression=compression, touched_only=True
     )
-    # Folder names only: at most one row per touched folder reaches the driver.
-    left_empty = folders.join(_partitions(rows), list(PARTITION_COLUMNS), "left_anti")
-    for row in left_empty.toLocalIterator():
+    for row in left_empty:
         parts = "/".join(f"{c}={row[c]}" for c in PARTITION_COLUMNS)
         datasets.delete_path(spark, f"{path.rstrip('/')}/{parts}")
 
