@@ -430,3 +430,35 @@ def test_the_registry_is_the_gate(spark, stored, tmp_path):
     with pytest.raises(update.SchemaIncompatibleError, match="schema_version"):
         update.update_dataset(batch, str(tmp_path / "new"), registry_path=rows, name="n", schema_version="9")
     update.update_dataset(batch, str(tmp_path / "new"), registry_path=rows, name="other", schema_version="9")
+
+
+@pytest.mark.parametrize("fmt", datasets.FORMATS)
+def test_stored_rows_are_written_where_they_lie(spark, t, tmp_path, fmt):
+    first, again = str(tmp_path / "first"), str(tmp_path / "again")
+    datasets.write_dataset(t, first)
+    stored = datasets.open_dataset(spark, first)
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    datasets.write_dataset(stored, again, fmt, laid_out=True)
+    same(datasets.open_dataset(spark, again), t)
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+    rows = [
+        [r["commodity_code"] + str(r[S.SEQ]) for r in datasets.load_partition(df, (1, 2020, "A")).collect()]
+        for df in (stored, datasets.open_dataset(spark, again))
+    ]
+    assert rows[0] and rows[0] == rows[1]
+
+
+def test_an_update_in_place_writes_its_rows_once(spark, stored, monkeypatch):
+    from pathlib import Path
+
+    held = []
+    delete = datasets.delete_path
+
+    def watched(spark, path):
+        if "/update-" in path:
+            held.extend(p.name for p in Path(path.removeprefix("file:")).iterdir())
+        return delete(spark, path)
+
+    monkeypatch.setattr(datasets, "delete_path", watched)
+    update.update_dataset(small(spark, *BATCH), stored)
+    assert {"batch", "folders"} <= set(held) and "rows" not in held
