@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from tradelake.llm import repeats, substring, suffix_dedup
+from tradelake.session import RELEASE
 
 
 def plain(texts, size, split):
@@ -118,3 +119,32 @@ def test_index_counts():
             low, high = index.step(np.array([s]), low, high)
         want = sum((symbols[i : i + size] == symbols[at : at + size]).all() for i in range(401 - size))
         assert high[0] - low[0] == want
+
+
+def test_edges_fall_out_as_blocks(spark, monkeypatch):
+    # passages of a common text, each with own text on both sides: runs share a core, not a whole
+    rng = random.Random(5)
+    common = "".join(rng.choices("abcdefgh", k=3000))
+    rows = []
+    for _ in range(40):
+        own = ["".join(rng.choices("ijklmnop", k=500)) for _ in range(2)]
+        a = rng.randrange(2400)
+        rows.append(own[0] + common[a : a + rng.randrange(330, 600)] + own[1])
+    written, released = {}, set()
+
+    def stored(df, name, keep=repeats.stored):
+        released.add(spark.conf.get(RELEASE))
+        out = keep(df, name)
+        written.setdefault(name, []).append(out)
+        return out
+
+    monkeypatch.setattr(repeats, "stored", stored)
+    got = {r.doc_id: r for r in suffix_dedup.deduplicate(frame(spark, rows)).collect()}
+    for i, (n, removed, kept) in enumerate(plain(rows, 400, lambda t: t.encode())):
+        r = got[i]
+        assert (r.n, sum(s.end - s.start for s in r.spans), bytes(r.kept)) == (n, removed, bytes(kept))
+    edges = written["kinds"][0].where("kinds > 1")
+    windows = sum(r.t - r.s + 1 for r in edges.collect())
+    assert windows > 2000
+    assert written["rank-pairs"][0].count() * 3 < windows  # they were all written one by one
+    assert released == {"true"} and spark.conf.get(RELEASE, None) != "true"
