@@ -492,3 +492,20 @@ def test_whole_licences_and_headers(spark):
     got = {r.path: r.own_licence for r in licenses.scan(df).collect()}
     assert {p: got[p] for p in want} == {p: x for p, (_, x) in want.items()}
     assert not any(got[p] for p, _ in noise)
+
+
+def test_nearest_takes_no_list_of_queries_apart(spark, monkeypatch):
+    # a row for each pair of a query and a row it meets grows much faster than the table
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=8).tolist(), 1, "x") for i in range(300)]
+    plans = []
+
+    def stored(df, name, keep=ann.stored):
+        plans.append(df._jdf.queryExecution().toString().lower())
+        return keep(df, name)
+
+    monkeypatch.setattr(ann, "stored", stored)
+    monkeypatch.setattr(ann, "PIECE", 100)
+    out = ann.nearest(vectors(spark, rows), F.col("id") % 5 == 0).collect()
+    assert len(out) == 60 * ann.NEAREST
+    assert plans and not any("explode(places" in p for p in plans)

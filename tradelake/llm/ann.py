@@ -202,25 +202,22 @@ def _compared(index: DataFrame, asked: DataFrame, pieces: int) -> DataFrame:
     every = F.array(*(F.struct(F.lit(r.chunk).cast("long").alias("chunk"), F.lit(r.last).alias("last")) for r in chunks))
     met = index.select("row", F.explode(every).alias("c"))
     met = met.select("row", "c.chunk", F.sequence(F.lit(0), F.col("c.last")).alias("places"))
-    numbers = F.sequence(F.lit(0).cast("long"), F.lit(pieces - 1).cast("long"))
-    wanted = asked.select("chunk", F.explode(numbers).alias("piece"), "place")
-    return _scored(index, asked, met, pieces, wanted)
+    return _scored(index, asked, met, pieces)
 
 
-def _scored(index: DataFrame, asked: DataFrame, met: DataFrame, pieces: int, wanted: DataFrame | None = None) -> DataFrame:
+def _scored(index: DataFrame, asked: DataFrame, met: DataFrame, pieces: int) -> DataFrame:
     """The best rows of each query among those it meets: ``chunk, place, score, id, h1, h2``.
 
-    ``wanted`` says which pieces of the rows a query meets, where that need not be found out.
+    A chunk's queries go to every piece that any of them meets: CHUNK rows a piece at most, so that
+    the lists of a row's queries need not be taken apart.
 
     The vectors of a chunk's queries and the rows they meet come to the same task, queries first; rows
     pass by in batches, each with its own vector once for all queries of the chunk.
     """
     piece = F.pmod("row", F.lit(pieces).cast("long")).alias("piece")
     met = stored(met.select("row", "chunk", "places", piece), "ann-met")
-    if wanted is None:
-        wanted = met.select("chunk", "piece", F.explode("places").alias("place")).distinct()
     none = lambda kind: F.lit(None).cast(kind)
-    queries = wanted.join(asked, ["chunk", "place"]).select(
+    queries = met.select("chunk", "piece").distinct().join(asked, "chunk").select(
         "chunk", "piece", "place", "vec", none("array<int>").alias("places"), none("array<long>").alias("ids"), "h1", "h2"
     )
     rows = met.join(index, "row").select(
