@@ -246,3 +246,22 @@ def test_pointers_follow_long_chains():
     ends = np.arange(2, 20_001, 2)
     a, b = alignment.terminals(np.append(ends, 20_001), np.append(ends - 1, 20_001))
     assert set(a.tolist()) == set(b.tolist()) == {len(ends)}
+
+
+def test_words_are_aligned_once(monkeypatch):
+    import pyarrow as pa
+
+    texts = [*TEXTS, "a  b\n\n c \t d\n e ", "\nx it's 12 ab  \r\n c", "one two three\none two"]
+    texts += ["one two three", "two three one " * 50 + "one"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts, pa.string())], names=["_row", "text"])
+    words = alignment._tokenizers(*FILES)[-1]
+    assert words.usable
+    whole = []
+    both = alignment._both
+    monkeypatch.setattr(alignment, "_both", lambda a, b, text: (whole.append(text), both(a, b, text))[1])
+    cut = pa.Table.from_batches(alignment._aligned([batch], *FILES))
+    assert not {"one two three", texts[-1]} & set(whole)
+    assert {" one", " two", " three", "\none"} <= set(words.held)
+    monkeypatch.setattr(words, "usable", False)
+    assert pa.Table.from_batches(alignment._aligned([batch], *FILES)).equals(cut)
+    assert texts[-1] in whole

@@ -10,8 +10,10 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from collections.abc import Iterable, Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +36,10 @@ B_BITS = 15
 PLAIN = regex.compile(r"[\x00-ɏ]*")
 #: Longest text given to the quick encoder, which recurses on runs of blanks.
 QUICK = 1 << 18
+#: Where no token of either side crosses: before a blank or line end that follows anything but a blank.
+CUT = re.compile(r"(?<=\S)(?=[ \n])")
+#: Different words that a task's process keeps aligned.
+WORDS = 1 << 18
 
 
 def _letters() -> dict[str, int]:
@@ -100,6 +106,27 @@ class PieceTokens:
                 self.tokens.append(bytes([int(piece[3:-1], 16)]))
             else:
                 self.tokens.append(piece.replace("▁", " ").encode())
+        self.by_words = self._by_words()
+
+    def _by_words(self) -> bool:
+        """Whether texts can be encoded word by word: they stay as they are, and no piece goes on past a word's end."""
+        try:
+            from sentencepiece import sentencepiece_model_pb2
+        except ImportError:
+            return False
+        proto = sentencepiece_model_pb2.ModelProto()
+        proto.ParseFromString(self.model.serialized_model_proto())
+        rules, trainer = proto.normalizer_spec, proto.trainer_spec
+        same = not rules.precompiled_charsmap and not rules.remove_extra_whitespaces
+        same = same and rules.escape_whitespaces and rules.add_dummy_prefix and not trainer.treat_whitespace_as_suffix
+        bpe = trainer.model_type == trainer.BPE and not any(p.type == p.USER_DEFINED for p in proto.pieces)
+        inside = any("▁" in p.piece.lstrip("▁") or " " in p.piece or "\n" in p.piece for p in proto.pieces)
+        return same and bpe and not inside
+
+    def encode_words(self, words: list[str]) -> list[list[int]]:
+        """The ids of words as they are in a text; those that no blank begins lose the one added."""
+        found = self.model.encode([w[1:] if w[:1] == " " else w for w in words], num_threads=1)
+        return [ids if w[:1] == " " else ids[1:] for w, ids in zip(words, found, strict=True)]
 
     def encode(self, text: str) -> list[int]:
         return self.model.encode(text, num_threads=1)
@@ -107,13 +134,13 @@ class PieceTokens:
 
 @cache
 def _tokenizers(a_path: str, b_path: str):
-    """Both tokenizers, their tokens' lengths, and the ids as text followed by each separator."""
+    """Both tokenizers, their tokens' lengths, the ids as text followed by each separator, and aligned words."""
     a, b = ByteTokens(a_path), PieceTokens(b_path)
     if len(b.tokens) > 1 << B_BITS or len(a.tokens) > 1 << (31 - B_BITS):
         raise ValueError("vocabularies too large for a pair of 31 bits")
     lengths = [np.array([len(t) for t in x.tokens], np.int64) for x in (a, b)]
     shown = np.array([f"{i}{s}" for i in range(max(len(a.tokens), len(b.tokens))) for s in (",", "|", ";")], object)
-    return a, b, *lengths, shown
+    return a, b, *lengths, shown, Words(a, b, lengths, shown)
 
 
 def terminals(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -144,10 +171,10 @@ def links(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.searchsorted(a_ends, ends, "left"), np.searchsorted(b_ends, ends, "left")
 
 
-def groups_text(a: np.ndarray, b: np.ndarray, a_group: np.ndarray, b_group: np.ndarray, shown: np.ndarray) -> str:
-    """``a1,a2|b1;a3|b2,b3``: the ids of each group, A before B."""
+def groups_list(a: np.ndarray, b: np.ndarray, a_group: np.ndarray, b_group: np.ndarray, shown: np.ndarray) -> list[str]:
+    """``a1,a2|b1;a3|b2,b3;``: the ids of each group, A before B, each with what separates it from the next."""
     if not len(a):
-        return ""
+        return []
     out = np.empty(len(a) + len(b), np.int64)
     a_last = np.concatenate((a_group[1:] != a_group[:-1], [True]))
     b_last = np.concatenate((b_group[1:] != b_group[:-1], [True]))
@@ -155,7 +182,59 @@ def groups_text(a: np.ndarray, b: np.ndarray, a_group: np.ndarray, b_group: np.n
     upto = np.searchsorted(a_group, b_group, "right")  # A tokens of this group and earlier ones
     out[np.arange(len(a)) + before] = a * 3 + a_last
     out[np.arange(len(b)) + upto] = b * 3 + 2 * b_last
-    return "".join(shown[out].tolist())[:-1]
+    return shown[out].tolist()
+
+
+class Words:
+    """Aligned words: texts are cut where no token crosses, so groups and links lie inside words.
+
+    ``held``: of each word the numbers of tokens, groups and links, the groups' text and the linked pairs
+    as bytes; None where a tokenizer changes its bytes.
+    """
+
+    def __init__(self, a: ByteTokens, b: PieceTokens, lengths: list[np.ndarray], shown: np.ndarray) -> None:
+        self.a, self.b, self.lengths, self.shown = a, b, lengths, shown
+        self.held: dict[str, tuple | None] = {}
+        self.usable = a.quick is not None and b.by_words
+
+    def cut(self, text: str | None) -> list[str]:
+        """The words of a space and the text; none for texts that have to be encoded whole."""
+        if not text or not self.usable or len(text) > QUICK or not PLAIN.fullmatch(text):
+            return []
+        return CUT.split(" " + text)
+
+    def learn(self, texts: list[list[str]]) -> None:
+        """Aligns the words that aren't held, all at once."""
+        if len(self.held) > WORDS:
+            self.held.clear()
+        new = [w for w in dict.fromkeys(w for words in texts for w in words) if w not in self.held]
+        if not new:
+            return
+        sides = [[self.a.quick.encode_ordinary(w) for w in new], self.b.encode_words(new)]
+        same = [
+            b"".join([self.a.tokens[i] for i in x]) == b"".join([self.b.tokens[i] for i in y]) == w.encode()
+            for w, x, y in zip(new, *sides, strict=True)
+        ]
+        self.held.update((w, None) for w, ok in zip(new, same, strict=True) if not ok)
+        new, *sides = ([x for x, ok in zip(side, same, strict=True) if ok] for side in (new, *sides))
+        if not new:
+            return
+        a, b = (np.fromiter(chain.from_iterable(side), np.int64) for side in sides)
+        n_a, n_b = (np.array([len(ids) for ids in side], np.int64) for side in sides)
+        a_ends, b_ends = (np.cumsum(n[ids]) for n, ids in zip(self.lengths, (a, b), strict=True))
+        a_group, b_group = terminals(a_ends, b_ends)
+        x, y = links(a_ends, b_ends)
+        pairs = ((a[x] << B_BITS) | b[y]).astype(np.int32).tobytes()
+        a_stops, b_stops = np.cumsum(n_a), np.cumsum(n_b)
+        link_stops = np.searchsorted(x, a_stops, "left")
+        ends = np.append(a_group[1:] != a_group[:-1], True)
+        groups = np.cumsum(ends)[a_stops - 1]
+        shown = groups_list(a, b, a_group, b_group, self.shown)
+        p0 = q0 = g0 = m0 = 0
+        for w, p, q, g, m in zip(new, *(k.tolist() for k in (a_stops, b_stops, groups, link_stops)), strict=True):
+            text = "".join(shown[p0 + q0 : p + q])[:-1]
+            self.held[w] = (p - p0, q - q0, g - g0, m - m0, text, pairs[4 * m0 : 4 * m])
+            p0, q0, g0, m0 = p, q, g, m
 
 
 COLUMNS = "n_a long, n_b long, n_groups long, n_links long, groups string, links array<int>"
@@ -163,18 +242,28 @@ COLUMNS = "n_a long, n_b long, n_groups long, n_links long, groups string, links
 
 def _aligned(batches: Iterable[pa.RecordBatch], a_path: str, b_path: str) -> Iterator[pa.RecordBatch]:
     a_path, b_path = (p if os.path.exists(p) else SparkFiles.get(os.path.basename(p)) for p in (a_path, b_path))
-    first, second, a_lengths, b_lengths, shown = _tokenizers(a_path, b_path)
+    first, second, a_lengths, b_lengths, shown, words = _tokenizers(a_path, b_path)
     for batch in pieces(batches, "text", STEP):
         rows: list[list] = [[], [], [], [], []]
         held = []
-        for text in batch.column("text").to_pylist():
+        texts = batch.column("text").to_pylist()
+        cuts = [words.cut(text) for text in texts]
+        words.learn(cuts)
+        for text, cut in zip(texts, cuts, strict=True):
+            known = list(map(words.held.get, cut))
+            if known and None not in known:
+                *counts, groups, pairs = zip(*known, strict=True)
+                held.append(np.frombuffer(b"".join(pairs), np.int32))
+                for out, value in zip(rows, (*map(sum, counts), ";".join(groups)), strict=True):
+                    out.append(value)
+                continue
             a, b = _both(first, second, text)
             a_ends, b_ends = np.cumsum(a_lengths[a]), np.cumsum(b_lengths[b])
             a_group, b_group = terminals(a_ends, b_ends)
             x, y = links(a_ends, b_ends)
             held.append(((a[x] << B_BITS) | b[y]).astype(np.int32))
             n_groups = int((a_group[1:] != a_group[:-1]).sum()) + 1 if len(a) else 0
-            for out, value in zip(rows, (len(a), len(b), n_groups, len(x), groups_text(a, b, a_group, b_group, shown)), strict=True):
+            for out, value in zip(rows, (len(a), len(b), n_groups, len(x), "".join(groups_list(a, b, a_group, b_group, shown))[:-1]), strict=True):
                 out.append(value)
         ends = np.concatenate(([0], np.cumsum([len(x) for x in held])))
         pairs = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(held)))
