@@ -334,3 +334,35 @@ def test_ingest_keeps_one_working_table_and_no_text_of_good_records(spark, tmp_p
     pipeline.ingest(spark, str(tmp_path / "in"), target, layout="lines", quarantine_path=str(tmp_path / "bad"))
     records_kept = {r["record"][:8] for r in spark.read.parquet(str(tmp_path / "bad")).collect()}
     assert len(records_kept) == 2 and "no json" in records_kept
+
+
+def test_ingest_decides_on_narrow_rows_of_small_splits(spark, tmp_path, monkeypatch):
+    from tradelake.plans import pipeline
+    from tradelake.session import SPLIT
+    from tradelake.sources import datasets
+
+    (tmp_path / "in").mkdir()
+    old, new = with_(cmdCode="02", primaryValue=1.5), with_(cmdCode="02", primaryValue=2.5, refPeriodId=20220102)
+    (tmp_path / "in" / "a.txt").write_text("\n".join([old, with_(cmdCode="0101"), with_(flowCode="DX"), "{"]))
+    (tmp_path / "in" / "b.txt").write_text("\n".join([new, with_(cmdCode="0303"), with_(cmdCode="0101", primaryValue=9)]))
+    read, number, splits, moved = pipeline.read_lines, pipeline.number_rows, [], []
+
+    def reading(session, paths):
+        splits.append(int(session.conf.get(SPLIT).rstrip("b")))
+        return read(session, paths)
+
+    def numbering(df, *args):
+        moved.append(set(df.columns))
+        return number(df, *args)
+
+    monkeypatch.setattr(pipeline, "read_lines", reading)
+    monkeypatch.setattr(pipeline, "number_rows", numbering)
+    before = spark.conf.get(SPLIT)
+    done = pipeline.ingest(spark, str(tmp_path / "in"), str(tmp_path / "out"), layout="lines")
+    assert done.status == "success" and done.counts == {"rejected": 2, "duplicates": 2}
+    rows = datasets.open_dataset(spark, str(tmp_path / "out")).orderBy("_seq").collect()
+    found = [(r["_seq"], r["commodity_code"], float(r["trade_value_primary_value"])) for r in rows]
+    assert [f[:2] for f in found] == [(0, "0101"), (1, "02"), (2, "0303")] and found[1][2] == 2.5 and found[0][2] != 9
+    # amounts and names stay where they are while rows are chosen and numbered
+    assert not moved[0] & {"trade_value_primary_value", "quantity_qty", "reporter_name", "rec", "provenance"}
+    assert splits == [pipeline.PARSE_SPLIT] and spark.conf.get(SPLIT) == before

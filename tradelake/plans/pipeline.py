@@ -17,7 +17,8 @@ from tradelake.operators.flow_totals import check_choice
 from tradelake.operators.ingest import REASON, accepted, parse_records, quarantined
 from tradelake.operators.numbering import next_number, number_rows
 from tradelake.operators.quality import dataset_warnings, first_wins, latest_wins
-from tradelake.session import shuffles_released, work_folder
+from tradelake.schema import COLUMNS, COMPOSITE_KEY, SEQ, reading_order
+from tradelake.session import SPLIT, setting, shuffles_released, work_folder
 from tradelake.sources import datasets, registry
 from tradelake.sources.responses import read_lines, read_responses
 
@@ -116,6 +117,18 @@ def resolve(
     return latest_wins(records, order=order) if conflict == "latest" else records
 
 
+#: Number of a parsed row, and the columns that decide which rows stay.
+_ROW = "_parsed_row"
+_DECIDING = (*COMPOSITE_KEY, "ref_period_id")
+
+#: Bytes of input a parse task reads at most: parsing takes so long a byte that few large tasks end apart.
+PARSE_SPLIT = 16 << 20
+
+
+def _parse_split(spark: SparkSession) -> int:
+    return min(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes(), PARSE_SPLIT)
+
+
 def ingest(
     spark: SparkSession,
     source_paths: str | Sequence[str],
@@ -136,10 +149,11 @@ def ingest(
     decides: ``latest`` keeps a key's newest revision, ``first`` the row read first.  Rows are
     numbered in reading order, from where the numbers of a dataset that is appended to end.
 
-    Parsed rows and clean rows are each written once to the shared work folder and read back,
-    so the text is parsed a single time however many outputs are made of it, and a lost executor
-    costs one stage at most.  Only rejected rows are kept with their record's text, and each written
-    table is deleted as soon as the next one stands, as are the shuffle files of each write.
+    Parsed rows are written once to the shared work folder and read back, so the text is parsed a
+    single time however many outputs are made of it, and a lost executor costs one stage at most.
+    Which rows stay, and their numbers, are found on the few columns that decide it; whole rows are
+    moved once, to meet their numbers.  Only rejected rows are kept with their record.  The shuffle
+    files of each write go with it, the written tables once the dataset stands.
     """
     check_choice("layout", layout, ("responses", "lines"))
     check_choice("conflict", conflict, ("latest", "first"))
@@ -149,30 +163,35 @@ def ingest(
     rows = F.count(F.lit(1))
     try:
         with shuffles_released(spark):
-            parsed = parse_records(reader(spark, source_paths))
-            parsed = parsed.withColumn("rec", F.when(F.col(REASON).isNotNull(), F.to_json("rec")))
-            parsed.observe(
-                parse_seen,
-                rows.alias("given"),
-                F.count_if(F.col(REASON).isNotNull()).alias("rejected"),
-            ).write.parquet(f"{work}/parsed", compression="zstd")
+            with setting(spark, SPLIT, str(_parse_split(spark))):
+                parsed = parse_records(reader(spark, source_paths)).observe(
+                    parse_seen,
+                    rows.alias("given"),
+                    F.count_if(F.col(REASON).isNotNull()).alias("rejected"),
+                )
+                # as a variant: made into text only where rejected rows are asked for
+                parsed = parsed.withColumn("rec", F.when(F.col(REASON).isNotNull(), F.col("rec")))
+                parsed.withColumn(_ROW, F.monotonically_increasing_id()).write.parquet(
+                    f"{work}/parsed", compression="zstd"
+                )
             stored = spark.read.parquet(f"{work}/parsed")
-            good = accepted(stored)
-            single = latest_wins(first_wins(good, within=("_src_file",))) if conflict == "latest" else first_wins(good)
+            good = stored.filter(F.col(REASON).isNull())
+            narrow = good.select(*_DECIDING, *reading_order(good), _ROW)
+            single = latest_wins(first_wins(narrow, within=("_src_file",))) if conflict == "latest" else first_wins(narrow)
             going_on = mode == "append" and datasets.path_exists(spark, target)
             start = next_number(datasets.stored_numbers(spark, target, fmt)) if going_on else 0
             single.write.parquet(f"{work}/single", compression="zstd")
-            if quarantine_path is None:
-                datasets.delete_path(spark, f"{work}/parsed")
-            clean = number_rows(spark.read.parquet(f"{work}/single"), f"{work}/clean", start)
-            datasets.delete_path(spark, f"{work}/single")
-            written = clean.count()
+            numbered = number_rows(spark.read.parquet(f"{work}/single"), f"{work}/clean", start)
+            written = numbered.count()
             warnings = [
-                f"{w['aspect']}: {w['found']}" for w in dataset_warnings(clean).collect()
+                f"{w['aspect']}: {w['found']}" for w in dataset_warnings(numbered).collect()
             ]
+            clean = good.select(*COLUMNS, _ROW).join(numbered.select(_ROW, SEQ), _ROW).drop(_ROW)
             datasets.write_dataset(clean, target, fmt, mode=mode, compression=compression)
             if quarantine_path is not None:
                 quarantined(stored).write.mode("append").parquet(quarantine_path)
+            datasets.delete_path(spark, f"{work}/parsed")
+            datasets.delete_path(spark, f"{work}/single")
     except Exception as exc:
         return PipelineResult(FAILED, errors=[str(exc)], failed_stage="ingest", cause=exc)
     finally:

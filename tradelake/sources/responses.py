@@ -82,7 +82,7 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
             ).alias(SOURCE_POSITION),
             "value",
         )
-        .filter(F.length(F.trim("value")) > 0)
+        .filter(F.trim("value") != "")  # a length would be counted character by character
         .select(SOURCE_FILE, SOURCE_POSITION, rec.alias("rec"), "value")
         .select(SOURCE_FILE, SOURCE_POSITION, "rec", F.when(F.col("rec").isNull(), F.col("value")).alias("_text"))
     )
