@@ -44,7 +44,7 @@ from tradelake.operators.query import Query as TradeQuery  # noqa: E402
 from tradelake.plans import pipeline, reports  # noqa: E402
 from tradelake.plans.analysis import Analysis, metric_row  # noqa: E402
 from tradelake.schema import COMPOSITE_KEY, SEQ, VALUE, as_canonical, flat_record, nested_record  # noqa: E402
-from tradelake.session import work_folder  # noqa: E402
+from tradelake.session import HASHED_LISTS, setting, shuffles_released, work_folder  # noqa: E402
 from tradelake.sources import codelists, datasets, fixtures, registry, responses, versions  # noqa: E402
 from tradelake.sources.fixtures import table, trade_table  # noqa: E402
 from tradelake.sources.responses import records_from_text  # noqa: E402
@@ -950,16 +950,20 @@ def ingest_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Responses of up to 500 orders each, as envelopes or lists, and one without records."""
+    """Responses of up to 500 orders each, as envelopes or lists, and one without records.
+
+    They are saved compressed, one after the other as their records come, so no text is moved or sorted.
+    """
     path = _aside(spark, "responses")
-    doc = F.floor(F.col(SEQ) / 4000)
-    texts = fixtures.raw_trade(spark, sf_dir).groupBy(doc.alias("doc")).agg(
+    rows = fixtures.raw_trade(spark, sf_dir, F.floor(F.col(SEQ) / 4000))
+    texts = rows.groupBy("doc").agg(
         F.array_join(F.collect_list("json"), ",").alias("rows"), F.count(F.lit(1)).alias("n")
     )
     envelope = F.format_string('{"count":%d,"error":"","data":[%s]}', "n", "rows")
     bare = F.concat(F.lit("["), "rows", F.lit("]"))
     texts = texts.select("doc", F.when(F.col("doc") % 2 == 0, envelope).otherwise(bare).alias("value"))
-    texts.repartition("doc").write.partitionBy("doc").text(path)
+    with shuffles_released(spark), setting(spark, HASHED_LISTS, "false"):
+        texts.write.partitionBy("doc").text(path, compression="gzip")
     spark.createDataFrame([('{"count":0,"data":null}',)], "value string").write.text(f"{path}/doc=none")
     records = responses.read_responses(spark, path)
     heads = responses.read_envelopes(spark, path)

@@ -216,3 +216,30 @@ def test_rows_are_moved_narrow_and_their_order_is_made_once(stored):
     assert narrow.schema["quantity_qty"].dataType.simpleString() == "int" and "provenance" not in narrow.columns
     (order,) = re.findall(r"Sort \[(.*?)\]", plan(datasets.spread(given, datasets.PARTITION_COLUMNS)))
     assert "cast(" not in order and "_text_commodity_code" in order
+
+
+def test_documents_are_made_where_their_rows_lie_and_saved_compressed(spark, tmp_path):
+    """Rows of a document are moved as line items: no text of a record is in an exchange or a sort."""
+    from pathlib import Path
+
+    from tradelake.session import HASHED_LISTS
+    from tradelake.sources import fixtures
+    from tradelake.sources.responses import read_envelopes, read_responses
+
+    rows = fixtures.raw_trade(spark, SF_SMALL, F.floor(F.col(SEQ) / 4000))
+    lists = rows.groupBy("doc").agg(F.collect_list("json").alias("texts"))
+    text = plan(lists)
+    made = text.index("AS json#")
+    assert "Exchange" not in text[:made] and "Sort " not in text[:made] and "Exchange" in text[made:]
+    plain = fixtures.raw_trade(spark, SF_SMALL)
+    assert rows.select(SEQ, "json").exceptAll(plain).count() == 0 and rows.count() == plain.count()
+
+    hashed = spark.conf.get(HASHED_LISTS)
+    entry.read_documents(spark, SF_SMALL)
+    assert spark.conf.get(HASHED_LISTS) == hashed
+    folder = max(Path(entry.work_folder(spark).removeprefix("file:")).glob("responses-*"), key=lambda p: p.stat().st_mtime)
+    saved = [f for f in folder.rglob("part-*") if "doc=none" not in str(f)]
+    assert saved and all(f.name.endswith(".txt.gz") for f in saved)
+    assert len(saved) == rows.select("doc").distinct().count()
+    assert read_responses(spark, str(folder)).count() == plain.count()
+    assert read_envelopes(spark, str(folder)).agg(F.sum("record_count")).first()[0] == plain.count()

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import lru_cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -78,10 +78,12 @@ def trade_table(
     partner: bool = True,
     commodity: bool = True,
     extra: tuple[str, ...] = (),
+    doc: Column | None = None,
 ) -> DataFrame:
     """The trade table, optionally without the reporter, partner or commodity columns.
 
-    ``extra`` names line item columns to carry along.
+    ``extra`` names line item columns to carry along.  ``doc``, made of the row number, becomes a
+    column; rows of one ``doc`` lie together and in its order.
     """
     facts = table(spark, sf_dir, "lineitem")
     picked = [*FACT_COLUMNS, *extra]
@@ -125,6 +127,11 @@ def trade_table(
             "partner_name",
             "cast(null as int) as partner2_code",
         ]
+    if doc is not None:
+        # Line items are moved as they are read, their trade columns made afterwards.
+        facts = facts.withColumn(SEQ, F.expr(FACT_COLUMNS[0])).withColumn("doc", doc).drop(SEQ)
+        facts = facts.repartition("doc").sortWithinPartitions("doc")
+        picked += ["doc"]
     return facts.selectExpr(*picked)
 
 
@@ -182,12 +189,16 @@ def full_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_trade(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The trade table as raw JSON records with planted defects: ``_seq`` and ``json``."""
+def raw_trade(spark: SparkSession, sf_dir: str, doc: Column | None = None) -> DataFrame:
+    """The trade table as raw JSON records with planted defects: ``_seq`` and ``json``.
+
+    With ``doc`` they come with that number, those of one number together and in its order.  Rows are
+    moved and sorted for it before they are made into text, which is many times as long.
+    """
     pieces = ",\n".join(_RAW_PIECES)
-    return trade_table(spark, sf_dir, extra=("l_partkey",)).selectExpr(
-        SEQ, f"concat('{{', concat_ws(',', {pieces}), '}}') as json"
-    )
+    kept = [SEQ] if doc is None else [SEQ, "doc"]
+    rows = trade_table(spark, sf_dir, extra=("l_partkey",), doc=doc)
+    return rows.selectExpr(*kept, f"concat('{{', concat_ws(',', {pieces}), '}}') as json")
 
 
 def raw_reporters(spark: SparkSession, sf_dir: str) -> DataFrame:
