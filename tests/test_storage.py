@@ -462,3 +462,24 @@ def test_an_update_in_place_writes_its_rows_once(spark, stored, monkeypatch):
     monkeypatch.setattr(datasets, "delete_path", watched)
     update.update_dataset(small(spark, *BATCH), stored)
     assert {"batch", "folders"} <= set(held) and "rows" not in held
+
+
+def test_a_write_leaves_no_shuffle_files(spark, tmp_path):
+    import time
+
+    from tradelake.session import RELEASE
+
+    def moved():
+        files = spark._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+        return {str(files.apply(i).getName()) for i in range(files.size())}
+
+    t = frame(spark, [row(1 + i % 3, 2, 2020, "M", f"{i:02}", i) for i in range(10, 60)])
+    before, setting = moved(), spark.conf.get(RELEASE, None)
+    datasets.write_dataset(t, str(tmp_path / "d"))
+    for _ in range(20):
+        if not {f for f in moved() - before if f.startswith("shuffle_")}:
+            break
+        time.sleep(0.5)
+    assert not {f for f in moved() - before if f.startswith("shuffle_")}
+    assert spark.conf.get(RELEASE, None) == setting
+    assert datasets.open_dataset(spark, str(tmp_path / "d")).count() == 50

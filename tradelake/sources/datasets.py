@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Iterator, Sequence
-from contextlib import AbstractContextManager, nullcontext
+from contextlib import contextmanager, nullcontext
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradelake.schema import CANONICAL, FILE_ORDER, PARTITION_COLUMNS, SEQ, as_canonical, as_narrow
-from tradelake.session import WRITERS, setting, work_folder
+from tradelake.session import WRITERS, setting, shuffles_released, work_folder
 from tradelake.sources import versions
 from tradelake.sources.paths import delete_path, file_system, make_folder, path_exists
 
@@ -124,7 +124,7 @@ def write_dataset(
         writer = writer.option("compression", codec)
     if fmt == "csv":
         writer = writer.options(header=True, escape='"', emptyValue="", nullValue="")
-    with _writers(spark, laid_out):
+    with _writing(spark, laid_out):
         writer.format(fmt).save(path)
 
 
@@ -133,8 +133,11 @@ def write_dataset(
 SIDE_BY_SIDE = 64
 
 
-def _writers(spark: SparkSession, laid_out: bool) -> AbstractContextManager[None]:
-    return setting(spark, WRITERS, str(SIDE_BY_SIDE)) if laid_out else nullcontext()
+@contextmanager
+def _writing(spark: SparkSession, laid_out: bool) -> Iterator[None]:
+    """Settings of a write: what it moves is of no use once the rows are stored, and goes with it."""
+    with shuffles_released(spark), setting(spark, WRITERS, str(SIDE_BY_SIDE)) if laid_out else nullcontext():
+        yield
 
 
 def write_version(
@@ -363,11 +366,11 @@ def write_table(
     out = as_canonical(df) if laid_out else spread(df, partition_by)
     exists = spark.catalog.tableExists(table)
     if exists and not overwrite:
-        with _writers(spark, laid_out):
+        with _writing(spark, laid_out):
             out.select(*spark.table(table).columns).write.insertInto(table)
         return
     if not exists:
-        with _writers(spark, laid_out):
+        with _writing(spark, laid_out):
             out.write.format("parquet").partitionBy(*partition_by).saveAsTable(table)
         return
     stage = f"{work_folder(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
